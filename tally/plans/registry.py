@@ -40,4 +40,5 @@ def load_all() -> None:
     from tally.plans import (  # noqa: F401
         q_clean,
         q_segments,
+        q_profile,
     )
