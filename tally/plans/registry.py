@@ -41,4 +41,5 @@ def load_all() -> None:
         q_clean,
         q_segments,
         q_profile,
+        q_dims,
     )

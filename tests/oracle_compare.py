@@ -33,7 +33,9 @@ def _norm(v, digits):
     import datetime
     import decimal
 
-    if v is None:
+    import pandas as pd
+
+    if v is None or v is pd.NaT or v is pd.NA:
         return None
     if isinstance(v, decimal.Decimal):
         v = float(v)
