@@ -42,4 +42,5 @@ def load_all() -> None:
         q_segments,
         q_profile,
         q_dims,
+        q_promo,
     )
