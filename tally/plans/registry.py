@@ -43,4 +43,5 @@ def load_all() -> None:
         q_profile,
         q_dims,
         q_promo,
+        q_ts,
     )
