@@ -44,4 +44,5 @@ def load_all() -> None:
         q_dims,
         q_promo,
         q_ts,
+        q_forecast,
     )
