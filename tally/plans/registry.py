@@ -45,4 +45,5 @@ def load_all() -> None:
         q_promo,
         q_ts,
         q_forecast,
+        q_ml,
     )
