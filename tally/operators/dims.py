@@ -22,22 +22,11 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return first_per_key(df, keys, order)
 
 
-def warehouse_hierarchy(
-    warehouses: DataFrame,
-    profiles: DataFrame,
-    closure: DataFrame,
-    include: str | None = None,
-) -> DataFrame:
-    """Warehouses with their replenishment centre, deduplicated, under their ancestors.
-
-    ``warehouses``: name, city, state, global_id, warehouse_type, physical_warehouse, active,
-    disabled, inactive, modified. ``profiles``: warehouse, replenishment_center, active, modified.
-    ``closure``: ref_parent, ref_docname, ref_doctype (already materialised: no recursion).
-
-    Sector warehouses take their physical warehouse's centre (J8: one profile table used under
-    two keys); ``is_crc`` flags warehouses that are some warehouse's centre (J7: existence as a
-    left join to distinct keys). Rows are then kept latest per (city, global_id, centre).
-    """
+def warehouses_with_profile(warehouses: DataFrame, profiles: DataFrame) -> DataFrame:
+    """B6 first half: active, named warehouses of the three types with their replenishment
+    centre. Sector warehouses take their physical warehouse's centre (J8: one profile table used
+    under two keys); ``is_crc`` flags warehouses that are some warehouse's centre (J7: existence
+    as a left join to distinct keys)."""
     prof = latest_per_key(
         profiles.filter(F.col("active") == 1),
         ["warehouse"],
@@ -47,7 +36,7 @@ def warehouse_hierarchy(
     sector = prof.select(F.col("warehouse").alias("physical_warehouse"), F.col("replenishment_center").alias("_rc_phys"))
     centres = prof.select(F.col("replenishment_center").alias("name")).distinct().withColumn("_is_centre", F.lit(1))
     ok_name = X.exclude_names("name", WAREHOUSE_EXCLUDE)
-    wh = (
+    return (
         warehouses.filter(
             (F.col("active") == 1)
             & (F.coalesce(F.col("global_id"), F.lit("")) != "")
@@ -65,7 +54,24 @@ def warehouse_hierarchy(
             ),
         )
         .withColumn("is_crc", F.coalesce("_is_centre", F.lit(0)))
+        .drop("_rc_own", "_rc_phys", "_is_centre")
     )
+
+
+def warehouse_hierarchy(
+    warehouses: DataFrame,
+    profiles: DataFrame,
+    closure: DataFrame,
+    include: str | None = None,
+) -> DataFrame:
+    """Warehouses with their replenishment centre, deduplicated, under their ancestors.
+
+    ``warehouses``: name, city, state, global_id, warehouse_type, physical_warehouse, active,
+    disabled, inactive, modified. ``profiles``: warehouse, replenishment_center, active, modified.
+    ``closure``: ref_parent, ref_docname, ref_doctype (already materialised: no recursion).
+    Main warehouses are kept latest per (city, global_id, centre) and placed under every ancestor.
+    """
+    wh = warehouses_with_profile(warehouses, profiles)
     mains = wh.filter(
         (F.col("disabled") == 0)
         & (F.col("inactive") == 0)

@@ -46,4 +46,6 @@ def load_all() -> None:
         q_ts,
         q_forecast,
         q_ml,
+        q_regress,
+        q_training,
     )
