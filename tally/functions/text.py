@@ -12,7 +12,7 @@ import os
 import zipfile
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -39,8 +39,9 @@ def clean_tokens(text: str | Column, stop: tuple[str, ...] | None = None, min_le
     letters = F.lower(F.regexp_replace(t, "[^a-zA-Z]", " "))
     toks = F.filter(F.split(F.trim(letters), r"\s+"), lambda w: F.length(w) >= F.lit(max(1, min_len)))
     if stop:
-        sw = F.array(*[F.lit(s) for s in stop])
-        toks = F.filter(toks, lambda w: ~F.array_contains(sw, w))
+        # ``isin`` with many literals is planned as a hash-set lookup (InSet), not a list scan
+        stop_list = list(stop)
+        toks = F.filter(toks, lambda w: ~w.isin(stop_list))
     return toks
 
 
@@ -188,15 +189,31 @@ def bow_vocabulary(tokens: DataFrame, token_col: str = "token", max_features: in
         .agg(F.count(F.lit(1)).alias("corpus_count"))
     )
     top = counts.orderBy(F.col("corpus_count").desc(), F.col("term")).limit(max_features)
-    terms = top.agg(F.array_sort(F.collect_list("term")).alias("_t")).scalar()
-    return top.withColumn("term_index", (F.array_position(terms, F.col("term")) - 1).cast("int"))
+    return top.withColumn("term_index", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
 
 
-def bow_counts(doc_tokens: DataFrame, vocab: DataFrame, doc_col: str, token_col: str = "token") -> DataFrame:
+def stemmed_counts(doc_tokens: DataFrame, doc_col: str, token_col: str = "token") -> DataFrame:
+    """``(doc, term, tf)`` of Porter stems. Tokens are counted per document first (partial
+    aggregation before any shuffle); stems are attached to those counts, not to every token."""
+    per_doc = doc_tokens.groupBy(doc_col, F.col(token_col).alias("token")).agg(F.count(F.lit(1)).alias("_c"))
+    stems = stem_vocabulary(per_doc, "token")
+    return per_doc.join(stems, "token").groupBy(doc_col, F.col("stem").alias("term")).agg(F.sum("_c").alias("tf"))
+
+
+def bow_vocabulary_from_counts(counts: DataFrame, max_features: int = 1500) -> DataFrame:
+    """M11 on ``(doc, term, tf)`` counts: top terms by corpus count, ties alphabetical,
+    alphabetical term index."""
+    totals = counts.filter(F.length("term") >= 2).groupBy("term").agg(F.sum("tf").alias("corpus_count"))
+    top = totals.orderBy(F.col("corpus_count").desc(), F.col("term")).limit(max_features)
+    # a window over at most ``max_features`` rows: bounded by construction
+    return top.withColumn("term_index", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
+
+
+def bow_counts(counts: DataFrame, vocab: DataFrame, doc_col: str) -> DataFrame:
     """Sparse document-term counts ``(doc, term_index, tf)``. The vocabulary has at most
     ``max_features`` rows, so broadcasting it is bounded by construction."""
-    v = F.broadcast(vocab.select(F.col("term").alias(token_col), "term_index"))
-    return doc_tokens.join(v, token_col).groupBy(doc_col, "term_index").agg(F.count(F.lit(1)).alias("tf"))
+    v = F.broadcast(vocab.select("term", "term_index"))
+    return counts.join(v, "term").select(doc_col, "term_index", F.col("tf").cast("bigint").alias("tf"))
 
 
 def bow_vectors(counts: DataFrame, doc_col: str, size: int) -> DataFrame:

@@ -82,13 +82,12 @@ def rfm_scores(rfm: DataFrame, materialize: bool = True) -> DataFrame:
             "m": score_descending(F.col("monetary").cast("double"), q["monetary"]),
         }
     )
-    out = out.withColumns(
+    return out.withColumns(
         {
             "rfm_group": F.concat(F.col("r").cast("string"), F.col("f").cast("string"), F.col("m").cast("string")),
             "rfm_score": (F.col("r") + F.col("f") + F.col("m")),
         }
     )
-    return cut_lineage(out) if materialize else out
 
 
 def quartile_bins(df: DataFrame, column: str, labels: Sequence[str], out: str) -> DataFrame:
@@ -99,8 +98,13 @@ def quartile_bins(df: DataFrame, column: str, labels: Sequence[str], out: str) -
     return df.withColumn(out, lab.otherwise(labels[3]))
 
 
-def rfm_levels(scored: DataFrame) -> DataFrame:
-    """B2: loyalty level from the quartile bins of ``rfm_score`` (low score = Diamond)."""
+def rfm_levels(scored: DataFrame, materialize: bool = True) -> DataFrame:
+    """B2: loyalty level from the quartile bins of ``rfm_score`` (low score = Diamond).
+
+    The scores feed the quartile job and the binning pass; by default they are checkpointed
+    first so the scoring (itself built on scalar subqueries) runs once."""
+    if materialize:
+        scored = cut_lineage(scored)
     return quartile_bins(scored, "rfm_score", LOYALTY_LABELS, "loyalty_level")
 
 

@@ -227,13 +227,13 @@ def ensemble_blend(t):
     )
 
 
-def published(t, run_utc: str, version: str):
+def _frames(t):
     _, ma, ml = model_forecasts(t)
-    frames = {
-        "ma": ens.split_id(ma),
-        "ml": ens.split_id(ml),
-        "ensemble": blended(t),
-    }
+    return {"ma": ens.split_id(ma), "ml": ens.split_id(ml), "ensemble": blended(t)}
+
+
+def published(t, run_utc: str, version: str, frames=None):
+    frames = frames or _frames(t)
     return ens.publish_rows(frames, APP, {m: version for m in frames}, F.lit(run_utc).cast("timestamp"))
 
 
@@ -266,8 +266,13 @@ act as (select p.* exclude (active), cast(p.create_timestamp = n.nt as integer)
 
 
 def _active(t):
-    both = published(t, RUN_A, "v1").unionByName(published(t, RUN_B, "v2"))
-    return ens.active_run(both)
+    """Two runs appended to one published table (written once, as the publish step would), then
+    the active flag is derived on read."""
+    from tally.session import cut_lineage
+
+    frames = {k: cut_lineage(v) for k, v in _frames(t).items()}
+    both = published(t, RUN_A, "v1", frames).unionByName(published(t, RUN_B, "v2", frames))
+    return ens.active_run(cut_lineage(both))
 
 
 @query("active_run", f"with {_ENS_SQL}, {_ACTIVE_SQL} select * from act")

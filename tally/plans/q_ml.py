@@ -242,27 +242,26 @@ def _doc_tokens(t):
     return d.select("doc_id", F.explode("_t").alias("token"))
 
 
-def stemmed_tokens(t):
-    toks = _doc_tokens(t)
-    stems = tx.stem_vocabulary(toks)
-    return toks.join(stems, "token").select("doc_id", F.col("stem").alias("token"))
+def stemmed_counts(t):
+    return tx.stemmed_counts(_doc_tokens(t), "doc_id")
 
 
 @query("text_stem_vocab", None)
 def text_stem_vocab(t):
     """Porter stem of every distinct token of the English documents."""
-    return tx.stem_vocabulary(_doc_tokens(t))
+    toks = _doc_tokens(t).groupBy("token").agg(F.count(F.lit(1)).alias("_c"))
+    return tx.stem_vocabulary(toks)
 
 
 @query("bow_vocab", None)
 def bow_vocab(t):
     """1500 most frequent stems (ties alphabetical), alphabetical term index."""
-    return tx.bow_vocabulary(stemmed_tokens(t), max_features=1500)
+    return tx.bow_vocabulary_from_counts(stemmed_counts(t), max_features=1500)
 
 
 @query("bow_vectors", None)
 def bow_vectors(t):
     """Per document sparse stem counts over the 1500-term vocabulary."""
-    st = stemmed_tokens(t)
-    vocab = tx.bow_vocabulary(st, max_features=1500)
-    return tx.bow_counts(st, vocab, "doc_id")
+    counts = stemmed_counts(t)
+    vocab = tx.bow_vocabulary_from_counts(counts, max_features=1500)
+    return tx.bow_counts(counts, vocab, "doc_id")

@@ -46,9 +46,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss; never local)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as Parquet in the shared checkpoint folder and read it back.
+
+    Survives executor loss (files on the shared file system, never a machine-local folder or
+    ``localCheckpoint``) and, unlike ``Dataset.checkpoint(eager=True)``, computes the input only
+    once; the re-read gets column pruning and filter pushdown."""
+    import uuid
+
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), f"tally-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def checkpoint_path(spark: SparkSession, name: str) -> str:
