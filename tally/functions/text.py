@@ -161,7 +161,7 @@ def porter_stem(word: str) -> str:
         if m > 1 or (m == 1 and not _cvc(stem)):
             w = stem
     # step 5b
-    if _measure(w) > 1 and _double_cons(w) and w.endswith("l"):
+    elif _measure(w) > 1 and _double_cons(w) and w.endswith("l"):
         w = w[:-1]
     return w
 

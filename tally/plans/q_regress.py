@@ -9,8 +9,8 @@ from tally.plans.registry import query
 
 
 def daily_revenue(t):
-    """One series: total order revenue per day (exact decimal sum as double)."""
-    return t.orders.groupBy(F.lit("all").alias("series_id"), F.to_date("o_orderdate").alias("ds")).agg(
+    """Daily order revenue per order status (exact decimal sums as double): three series."""
+    return t.orders.groupBy(F.col("o_orderstatus").alias("series_id"), F.to_date("o_orderdate").alias("ds")).agg(
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("y")
     )
 
