@@ -41,15 +41,11 @@ from events group by 1
 """,
 )
 def daily_totals(t):
-    """Four measures summed per day; money summed as exact decimals."""
-    v = F.col("value").cast("decimal(18,2)")
-    purchase = F.col("event_type") == "purchase"
-    return t.events.groupBy(F.to_date("ts").alias("event_date")).agg(
-        F.count(F.lit(1)).alias("n_events"),
-        F.sum(v).cast("double").alias("total_value"),
-        F.count(F.when(purchase, 1)).alias("n_purchases"),
-        F.coalesce(F.sum(F.when(purchase, v)), F.lit(0)).cast("double").alias("purchase_value"),
-    )
+    """Four measures summed per day; money summed as exact decimals (the same
+    expressions as the streaming version in ``tally.streaming.daily``)."""
+    from tally.streaming.daily import daily_measures
+
+    return t.events.groupBy(F.to_date("ts").alias("event_date")).agg(*daily_measures())
 
 
 @query(
