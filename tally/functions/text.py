@@ -45,6 +45,16 @@ def clean_tokens(text: str | Column, stop: tuple[str, ...] | None = None, min_le
     return toks
 
 
+def tokens_long(df: DataFrame, doc_col: str, text_col: str, stop: tuple[str, ...] | None = None) -> DataFrame:
+    """``(doc, token)`` rows of the cleaned texts; stop words are removed after the explode,
+    where ``isin`` is planned as a hash-set probe."""
+    letters = F.lower(F.regexp_replace(F.col(text_col), "[^a-zA-Z]", " "))
+    out = df.select(doc_col, F.explode(F.split(F.trim(letters), r"\s+")).alias("token")).filter(F.length("token") >= 1)
+    if stop:
+        out = out.filter(~F.col("token").isin(list(stop)))
+    return out
+
+
 # ---- Porter (1980) stemmer --------------------------------------------------------------------
 # Fixed values from the published algorithm: suffix rules of steps 2, 3 and 4 in the paper's order.
 _STEP2 = (
@@ -169,6 +179,8 @@ def porter_stem(word: str) -> str:
 def stem_vocabulary(tokens: DataFrame, token_col: str = "token") -> DataFrame:
     """``(token, stem)`` for every distinct token; Python runs once per distinct word."""
     distinct = tokens.select(F.col(token_col).alias("token")).distinct()
+    # spread the Python work over every core (AQE would coalesce a small shuffle to few tasks)
+    distinct = distinct.repartition(max(2, tokens.sparkSession.sparkContext.defaultParallelism), "token")
 
     def stem_batches(batches):
         for pdf in batches:
@@ -200,6 +212,14 @@ def stemmed_counts(doc_tokens: DataFrame, doc_col: str, token_col: str = "token"
     return per_doc.join(stems, "token").groupBy(doc_col, F.col("stem").alias("term")).agg(F.sum("_c").alias("tf"))
 
 
+def stem_corpus_counts(tokens: DataFrame, token_col: str = "token") -> DataFrame:
+    """``(term, tf)`` corpus counts of Porter stems: tokens are counted first (map-side partial
+    aggregation collapses repeats), then each distinct token is stemmed once."""
+    per_token = tokens.groupBy(F.col(token_col).alias("token")).agg(F.count(F.lit(1)).alias("_c"))
+    stems = stem_vocabulary(per_token, "token")
+    return per_token.join(stems, "token").groupBy(F.col("stem").alias("term")).agg(F.sum("_c").alias("tf"))
+
+
 def bow_vocabulary_from_counts(counts: DataFrame, max_features: int = 1500) -> DataFrame:
     """M11 on ``(doc, term, tf)`` counts: top terms by corpus count, ties alphabetical,
     alphabetical term index."""

@@ -18,6 +18,14 @@ def _create():
 
 
 def brand_panel(t):
+    """Dense brand x month panel, materialised once per query build (it feeds the backtest, the
+    metrics and the forecast)."""
+    from tally.session import cut_lineage
+
+    return t.memo("brand_panel", lambda: cut_lineage(_brand_panel(t)))
+
+
+def _brand_panel(t):
     li = t.lineitem.select("l_partkey", "l_shipdate", "l_quantity")
     p = t.part.select("p_partkey", "p_brand")
     j = li.join(p, li.l_partkey == p.p_partkey)
@@ -118,6 +126,13 @@ def ma_forecast(t):
 # ---- ensemble ------------------------------------------------------------------------------
 
 def region_brand_panel(t):
+    """Dense (region|brand) x month panel, materialised once per query build."""
+    from tally.session import cut_lineage
+
+    return t.memo("region_brand_panel", lambda: cut_lineage(_region_brand_panel(t)))
+
+
+def _region_brand_panel(t):
     li = t.lineitem.select("l_partkey", "l_suppkey", "l_shipdate", "l_quantity")
     p = t.part.select("p_partkey", "p_brand")
     s = t.supplier.select("s_suppkey", "s_nationkey")
@@ -141,6 +156,10 @@ def model_forecasts(t):
 
 
 def weights(t):
+    return t.memo("weights", lambda: _weights(t))
+
+
+def _weights(t):
     sp, _, _ = model_forecasts(t)
     c = _create()
     bt = fcst.ma_backtest(sp, "id", "quantity", F.add_months(c, -3), F.add_months(c, -1), windows=(3,)).select(
@@ -232,6 +251,7 @@ def _frames(t):
     return {"ma": ens.split_id(ma), "ml": ens.split_id(ml), "ensemble": blended(t)}
 
 
+
 def published(t, run_utc: str, version: str, frames=None):
     frames = frames or _frames(t)
     return ens.publish_rows(frames, APP, {m: version for m in frames}, F.lit(run_utc).cast("timestamp"))
@@ -270,7 +290,7 @@ def _active(t):
     the active flag is derived on read."""
     from tally.session import cut_lineage
 
-    frames = {k: cut_lineage(v) for k, v in _frames(t).items()}
+    frames = _frames(t)
     both = published(t, RUN_A, "v1", frames).unionByName(published(t, RUN_B, "v2", frames))
     return ens.active_run(cut_lineage(both))
 

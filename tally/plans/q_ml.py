@@ -238,8 +238,7 @@ def text_clean(t):
 
 
 def _doc_tokens(t):
-    d = en_docs(t).withColumn("_t", tx.clean_tokens("text", tx.stop_words()))
-    return d.select("doc_id", F.explode("_t").alias("token"))
+    return tx.tokens_long(en_docs(t), "doc_id", "text", tx.stop_words())
 
 
 def stemmed_counts(t):
@@ -256,7 +255,7 @@ def text_stem_vocab(t):
 @query("bow_vocab", None)
 def bow_vocab(t):
     """1500 most frequent stems (ties alphabetical), alphabetical term index."""
-    return tx.bow_vocabulary_from_counts(stemmed_counts(t), max_features=1500)
+    return tx.bow_vocabulary_from_counts(tx.stem_corpus_counts(_doc_tokens(t)), max_features=1500)
 
 
 @query("bow_vectors", None)

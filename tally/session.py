@@ -14,6 +14,7 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -23,6 +24,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     for k, v in DEFAULTS.items():
         b = b.config(k, v)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    # single-machine sessions: smaller AQE target partitions keep all local cores busy on the
+    # small shuffles of test data (a cluster keeps its own, larger setting)
+    b = b.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
     b = b.config("spark.driver.memory", "16g")
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -26,6 +26,12 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/")
         self._cache: dict[str, DataFrame] = {}
 
+    def memo(self, key: str, build):
+        """One derived frame per query build (e.g. a materialised panel used by several steps)."""
+        if key not in self._cache:
+            self._cache[key] = build()
+        return self._cache[key]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in TABLES:
             raise AttributeError(name)
