@@ -68,7 +68,7 @@ def fill_nulls(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 def exact_mean(c: str, scale: int = 2) -> Column:
     """Mean of a column holding ``scale``-decimal values: exact decimal sum / count, so the result
     does not depend on the order in which partitions are summed."""
-    return F.sum(F.col(c).cast(f"decimal(18,{scale})")).cast("double") / F.count(c)
+    return F.try_divide(F.sum(F.col(c).cast(f"decimal(18,{scale})")).cast("double"), F.count(c))
 
 
 def mean_by_key(

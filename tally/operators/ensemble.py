@@ -28,15 +28,18 @@ def split_id(df: DataFrame, id_col: str = "id") -> DataFrame:
 def ensemble_weights(backtest: DataFrame, id_col: str, models: Sequence[str], eps: float = 1e-6) -> DataFrame:
     """Per id, weight of each model proportional to 1 / (backtest wmape + eps); weights sum
     to 1. ``backtest`` has ``actual`` and ``<model>_prediction`` columns."""
+    # an id whose actuals sum to 0 has no wmape: its weights stay null (filled at blend time)
     inv = {
-        m: 1.0
-        / (F.sum(F.abs(F.col("actual") - F.col(f"{m}_prediction"))) / F.sum(F.col("actual")) + F.lit(eps))
+        m: F.try_divide(
+            F.lit(1.0),
+            F.try_divide(F.sum(F.abs(F.col("actual") - F.col(f"{m}_prediction"))), F.sum(F.col("actual"))) + F.lit(eps),
+        )
         for m in models
     }
     total = None
     for m in models:
         total = inv[m] if total is None else total + inv[m]
-    return backtest.groupBy(id_col).agg(*[(inv[m] / total).alias(f"weight_{m}_prediction") for m in models])
+    return backtest.groupBy(id_col).agg(*[F.try_divide(inv[m], total).alias(f"weight_{m}_prediction") for m in models])
 
 
 def ensemble_blend(
@@ -71,7 +74,7 @@ def ensemble_blend(
         if wc in merged.columns:
             fc = fc + F.col(p) * F.col(wc)
             sw = sw + F.col(wc)
-    out = merged.withColumn("forecast", fc / sw if normalize else fc).withColumn("sum_weight", sw)
+    out = merged.withColumn("forecast", F.try_divide(fc, sw) if normalize else fc).withColumn("sum_weight", sw)
     return out
 
 

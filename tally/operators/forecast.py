@@ -59,8 +59,8 @@ def accuracy(df: DataFrame, keys: Sequence[str], actual: str = "actual", forecas
     """Wmape and bias (percent of the actual total) per key."""
     a, f = F.col(actual), F.col(forecast)
     return df.groupBy(*keys).agg(
-        (F.sum(F.abs(a - f)) / F.sum(a) * 100).alias("wmape"),
-        (F.sum(f - a) / F.sum(a) * 100).alias("bias_pct"),
+        (F.try_divide(F.sum(F.abs(a - f)), F.sum(a)) * 100).alias("wmape"),
+        (F.try_divide(F.sum(f - a), F.sum(a)) * 100).alias("bias_pct"),
     )
 
 

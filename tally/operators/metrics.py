@@ -39,7 +39,7 @@ def class_metrics(df: DataFrame, label: str, pred: str, positive=1) -> DataFrame
     rec = F.try_divide(F.col("tp"), F.col("tp") + F.col("fn"))
     return agg.select(
         "n", "tp", "fp", "fn",
-        (F.col("correct") / F.col("n")).alias("accuracy"),
+        F.try_divide(F.col("correct"), F.col("n")).alias("accuracy"),
         prec.alias("precision"),
         rec.alias("recall"),
         F.try_divide(2 * prec * rec, prec + rec).alias("f1"),

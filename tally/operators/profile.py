@@ -46,7 +46,7 @@ def profile_nulls(df: DataFrame, columns: Sequence[str] | None = None, exact_dis
         for i, c in enumerate(cols)
     ]
     out = one.select(F.inline(F.array(*structs)))
-    return out.withColumn("pct_null", F.col("n_null") * 100.0 / F.col("n_rows"))
+    return out.withColumn("pct_null", F.try_divide(F.col("n_null") * 100.0, F.col("n_rows")))
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str], decimals: int = 6) -> DataFrame:
@@ -116,7 +116,8 @@ def histogram_by_class(df: DataFrame, value: str, cls: str, bins: int = 10) -> D
     lo, hi = mm["lo"], mm["hi"]
     width = (hi - lo) / F.lit(bins)
     x = F.col(value).cast("double")
-    b = F.least(F.floor((x - lo) / (hi - lo) * F.lit(bins)) + 1, F.lit(bins)).cast("int")
+    # a constant column (hi = lo) puts every value in bin 1
+    b = F.coalesce(F.least(F.floor(F.try_divide(x - lo, hi - lo) * F.lit(bins)) + 1, F.lit(bins)), F.lit(1)).cast("int")
     binned = df.filter(F.col(value).isNotNull()).select(cls, b.alias("bin"))
     return (
         binned.groupBy(cls, "bin")

@@ -245,7 +245,7 @@ def backtest_metrics(bt: DataFrame, by: Sequence[str] = ("horizon_days",)) -> Da
         {
             "_err": F.col("yhat") - F.col("y"),
             "_ape": F.abs((F.col("yhat") - F.col("y")) / F.when(F.col("y") != 0, F.col("y"))),
-            "_sape": F.abs(F.col("yhat") - F.col("y")) / ((F.abs("y") + F.abs("yhat")) / 2),
+            "_sape": F.try_divide(F.abs(F.col("yhat") - F.col("y")), (F.abs("y") + F.abs("yhat")) / 2),
             "_cov": ((F.col("y") >= F.col("yhat_lower")) & (F.col("y") <= F.col("yhat_upper"))).cast("double"),
         }
     )

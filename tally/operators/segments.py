@@ -34,10 +34,13 @@ def rfm_table(
     """
     if as_of is None:
         as_of = facts.agg(F.max(ts) + F.expr("interval 1 day")).scalar()
-    agg = facts.groupBy(customer).agg(
+    # distinct purchase timestamps without an Expand: collapse (customer, ts) first (map-side
+    # partial aggregation), then count the collapsed rows per customer
+    per_ts = facts.groupBy(customer, ts).agg(F.sum(X.money(amount)).alias("_m"))
+    agg = per_ts.groupBy(customer).agg(
         F.max(ts).alias("_last"),
-        F.count_distinct(ts).alias("frequency"),
-        F.sum(X.money(amount)).cast("double").alias("monetary"),
+        F.count(F.lit(1)).alias("frequency"),
+        F.sum("_m").cast("double").alias("monetary"),
     )
     return agg.select(
         customer,

@@ -90,7 +90,7 @@ def ts_durbin_watson(df: DataFrame, series: str, ts: str, value: str) -> DataFra
     return (
         df.select(series, ts, value, d.alias("_d"))
         .groupBy(series)
-        .agg((F.sum(F.col("_d") * F.col("_d")) / F.sum(F.col(value) * F.col(value))).alias("durbin_watson"))
+        .agg(F.try_divide(F.sum(F.col("_d") * F.col("_d")), F.sum(F.col(value) * F.col(value))).alias("durbin_watson"))
     )
 
 
@@ -106,7 +106,7 @@ def ts_acf(df: DataFrame, series: str, ts: str, value: str, nlags: int = 24) ->
         F.sum(F.col("_c") * F.col("_c")).alias("_s0"),
         *[F.sum(F.col("_c") * F.col(f"_l{k}")).alias(f"_s{k}") for k in range(1, nlags + 1)],
     )
-    arr = F.array(*[F.struct(F.lit(k).alias("lag"), (F.col(f"_s{k}") / F.col("_s0")).alias("acf")) for k in range(0, nlags + 1)])
+    arr = F.array(*[F.struct(F.lit(k).alias("lag"), F.try_divide(F.col(f"_s{k}"), F.col("_s0")).alias("acf")) for k in range(0, nlags + 1)])
     return sums.select(series, F.inline(arr))
 
 

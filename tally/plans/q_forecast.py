@@ -82,8 +82,8 @@ def ma_backtest(t):
 @query(
     "ma_metrics",
     f"""with {_bt_sql()}
-select ma_window, round(sum(abs(actual - forecast)) / sum(actual) * 100, 6) as wmape,
-       round(sum(forecast - actual) / sum(actual) * 100, 6) as bias_pct
+select ma_window, round(sum(abs(actual - forecast)) / nullif(sum(actual), 0) * 100, 6) as wmape,
+       round(sum(forecast - actual) / nullif(sum(actual), 0) * 100, 6) as bias_pct
 from bt group by ma_window""",
 )
 def ma_metrics(t):
@@ -93,8 +93,8 @@ def ma_metrics(t):
 
 
 _BEST_SQL = """
-metrics as (select ma_window, sum(abs(actual - forecast)) / sum(actual) * 100 as wmape,
-                   sum(forecast - actual) / sum(actual) * 100 as bias_pct from bt group by ma_window),
+metrics as (select ma_window, sum(abs(actual - forecast)) / nullif(sum(actual), 0) * 100 as wmape,
+                   sum(forecast - actual) / nullif(sum(actual), 0) * 100 as bias_pct from bt group by ma_window),
 best as (select arg_min(ma_window, wmape + abs(bias_pct)) as ma_window from metrics)"""
 
 
@@ -193,9 +193,9 @@ ebt0 as (select id, month, quantity as actual,
 ebt as (select b.id, b.month, b.actual, b.ma_prediction, coalesce(e.quantity, 0) as ml_prediction
         from ebt0 b left join ep e on e.id = b.id and e.month = cast(b.month - interval 12 month as date)
         where b.month between date '{CREATE}' - interval 3 month and date '{CREATE}' - interval 1 month and b.ma_prediction is not null),
-winv as (select id, 1.0 / (sum(abs(actual - ma_prediction)) / sum(actual) + 1e-6) as ima,
-                    1.0 / (sum(abs(actual - ml_prediction)) / sum(actual) + 1e-6) as iml from ebt group by id),
-weights as (select id, ima / (ima + iml) as weight_ma_prediction, iml / (ima + iml) as weight_ml_prediction from winv
+winv as (select id, 1.0 / nullif(sum(abs(actual - ma_prediction)) / nullif(sum(actual), 0) + 1e-6, 0) as ima,
+                    1.0 / nullif(sum(abs(actual - ml_prediction)) / nullif(sum(actual), 0) + 1e-6, 0) as iml from ebt group by id),
+weights as (select id, ima / nullif(ima + iml, 0) as weight_ma_prediction, iml / nullif(ima + iml, 0) as weight_ml_prediction from winv
             where cast(regexp_extract(id, 'Brand#(\\d+)', 1) as integer) % 4 <> 0),
 j as (select split_part(a.id, '|', 1) as location, substr(a.id, strpos(a.id, '|') + 1) as product,
              a.forecast_create_period, a.forecast_target_period, a.forecast as ma_prediction, b.forecast as ml_prediction

@@ -39,7 +39,7 @@ _PROFILE_COLS = ["l_orderkey", *NUMERIC, *CATEGORICAL, "l_shipdate"]
 def _nulls_sql():
     parts = [
         f"select '{c}' as column_name, count(*) as n_rows, count(*) - count({c}) as n_null, "
-        f"count(distinct {c}) as n_distinct, (count(*) - count({c})) * 100.0::double / count(*) as pct_null from li"
+        f"count(distinct {c}) as n_distinct, (count(*) - count({c})) * 100.0::double / nullif(count(*), 0) as pct_null from li"
         for c in _PROFILE_COLS
     ]
     return f"with {_LI_NULLS_SQL} " + " union all ".join(parts)
@@ -107,7 +107,7 @@ def crosstab_counts(t):
     """
 with mm as (select min(l_extendedprice) as lo, max(l_extendedprice) as hi from lineitem),
 b as (
-  select l_returnflag, cast(least(floor((l_extendedprice - lo) / (hi - lo) * 10) + 1, 10) as integer) as bin, lo, hi
+  select l_returnflag, cast(coalesce(least(floor((l_extendedprice - lo) / nullif(hi - lo, 0) * 10) + 1, 10), 1) as integer) as bin, lo, hi
   from lineitem, mm
 )
 select l_returnflag, bin, count(*) as n, lo + (bin - 1) * ((hi - lo) / 10) as bin_lo, lo + bin * ((hi - lo) / 10) as bin_hi

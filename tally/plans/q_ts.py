@@ -93,7 +93,7 @@ def ts_decompose(t):
     f"""
 with {_SERIES_SQL},
 d as (select series_id, value, value - lag(value) over (partition by series_id order by ts) as d from s)
-select series_id, round(sum(d * d) / sum(value * value), 9) as durbin_watson from d group by series_id
+select series_id, round(sum(d * d) / nullif(sum(value * value), 0), 9) as durbin_watson from d group by series_id
 """,
 )
 def ts_durbin_watson(t):
@@ -109,7 +109,7 @@ def _acf_sql():
     leads = ",\n         ".join(f"lead(c, {k}) over w as l{k}" for k in range(1, NLAGS + 1))
     sums = ",\n         ".join(f"sum(c * l{k}) as s{k}" for k in range(1, NLAGS + 1))
     rows = " union all ".join(
-        f"select series_id, {k} as lag, round({'s0' if k == 0 else f's{k}'} / s0, 9) as acf from sums" for k in range(0, NLAGS + 1)
+        f"select series_id, {k} as lag, round({'s0' if k == 0 else f's{k}'} / nullif(s0, 0), 9) as acf from sums" for k in range(0, NLAGS + 1)
     )
     return f"""
 with {_SERIES_SQL},

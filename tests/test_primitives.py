@@ -13,10 +13,17 @@ def test_exact_quantiles_bracket_path(spark):
     pdf.loc[pdf.g == 1, "x"] = 42.0  # a group that is one repeated value
     df = spark.createDataFrame(pdf)
     probs = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
-    got = quantiles(df, "x", probs, by="g", accuracy=200).toPandas()
+    got = quantiles(df, "x", probs, by="g", accuracy=200, small_group_limit=None).toPandas()
     for (g, p), q in got.set_index(["g", "p"])["q"].items():
         assert abs(q - pdf[pdf.g == g].x.quantile(p)) < 1e-9
-    got = quantiles(df, "x", probs, accuracy=200).toPandas()
+    got = quantiles(df, "x", probs, accuracy=200, small_group_limit=None).toPandas()
+    for p, q in got.set_index("p")["q"].items():
+        assert abs(q - pdf.x.quantile(p)) < 1e-9
+    # the sorted small-group path gives the same numbers
+    got = quantiles(df, "x", probs, by="g").toPandas()
+    for (g, p), q in got.set_index(["g", "p"])["q"].items():
+        assert abs(q - pdf[pdf.g == g].x.quantile(p)) < 1e-9
+    got = quantiles(df, "x", probs).toPandas()
     for p, q in got.set_index("p")["q"].items():
         assert abs(q - pdf.x.quantile(p)) < 1e-9
 
