@@ -22,16 +22,25 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return first_per_key(df, keys, order)
 
 
+def latest_value(df: DataFrame, keys: Sequence[str], value: str, newest: str, tie: str | None = None) -> DataFrame:
+    """W1 as an aggregate: per key, ``value`` of the row with the newest ``newest`` (nulls last),
+    ties to the smallest ``tie``. Partial aggregation keeps one row per key per map task, so a key
+    holding a third of all rows costs no more than any other (a sort-based window would send all
+    its rows to one task)."""
+    order = F.struct(
+        F.col(newest).isNull().alias("_null"),
+        (-F.unix_micros(F.col(newest).cast("timestamp"))).alias("_age"),
+        F.col(tie or value).alias("_tie"),
+    )
+    return df.groupBy(*keys).agg(F.min_by(F.col(value), order).alias(value))
+
+
 def warehouses_with_profile(warehouses: DataFrame, profiles: DataFrame) -> DataFrame:
     """B6 first half: active, named warehouses of the three types with their replenishment
     centre. Sector warehouses take their physical warehouse's centre (J8: one profile table used
     under two keys); ``is_crc`` flags warehouses that are some warehouse's centre (J7: existence
     as a left join to distinct keys)."""
-    prof = latest_per_key(
-        profiles.filter(F.col("active") == 1),
-        ["warehouse"],
-        [F.col("modified").desc(), F.col("replenishment_center")],
-    ).select("warehouse", "replenishment_center")
+    prof = latest_value(profiles.filter(F.col("active") == 1), ["warehouse"], "replenishment_center", "modified")
     own = prof.select(F.col("warehouse").alias("name"), F.col("replenishment_center").alias("_rc_own"))
     sector = prof.select(F.col("warehouse").alias("physical_warehouse"), F.col("replenishment_center").alias("_rc_phys"))
     centres = prof.select(F.col("replenishment_center").alias("name")).distinct().withColumn("_is_centre", F.lit(1))
