@@ -195,7 +195,7 @@ _ROC_SQL = f"""{_SCORED_SQL},
 per as (select score as threshold, count(case when label = 1 then 1 end) as pos, count(case when label <> 1 then 1 end) as neg
         from scored group by 1),
 tot as (select sum(pos) as p, sum(neg) as n from per),
-cum as (select threshold, pos, neg, sum(pos) over w as tp, sum(neg) over w as fp from per
+cum as (select threshold, pos, neg, cast(sum(pos) over w as bigint) as tp, cast(sum(neg) over w as bigint) as fp from per
         window w as (order by threshold desc rows between unbounded preceding and current row)),
 pts as (select threshold, tp, fp, tp / nullif(p, 0) as tpr, fp / nullif(n, 0) as fpr,
                (tp - pos) / nullif(p, 0) as tpr_prev, (fp - neg) / nullif(n, 0) as fpr_prev from cum, tot)"""

@@ -73,7 +73,7 @@ def _categorical_sql():
 with {_LI_NULLS_SQL}, long as ({" union all ".join(parts)}),
 freq as (select column_name, value, count(*) as n from long group by all),
 ranked as (select *, row_number() over (partition by column_name order by n desc, value) as rn from freq)
-select column_name, sum(n) as count, count(*) as unique,
+select column_name, cast(sum(n) as bigint) as count, count(*) as unique,
        max(case when rn = 1 then value end) as top, max(n) as freq
 from ranked group by column_name
 """

@@ -85,7 +85,7 @@ ilv_promo_final as (
 promo_months as (
   select month, pf.promo_warehouse, apply_on_custom as apply_on, promo_brand, promo_item_sub_category, di.item_linkage,
          avg(schemes) as schemes, avg(avg_discount_amount) as avg_discount_amount,
-         avg(avg_discount_percentage) as avg_discount_percentage, max(days_of_promo) as max_days_of_promo,
+         avg(avg_discount_percentage) as avg_discount_percentage, cast(max(days_of_promo) as integer) as max_days_of_promo,
          avg(days_of_promo) as avg_days_of_promo
   from ilv_promo_final pf
   left join (select cast(p_partkey as varchar) as item_code, p_name as item_linkage from part) di on pf.promo_item_code = di.item_code
@@ -121,7 +121,7 @@ loc as (
 g as (
   select location, month, promo_item_sub_category, item_linkage, promo_brand, apply_on,
          sum(schemes) as schemes, avg(avg_discount_amount) as avg_discount_amount,
-         avg(avg_discount_percentage) as avg_discount_percentage, max(max_days_of_promo) as max_days_of_promo,
+         avg(avg_discount_percentage) as avg_discount_percentage, cast(max(max_days_of_promo) as integer) as max_days_of_promo,
          avg(avg_days_of_promo) as avg_days_of_promo
   from loc where location is not null group by all)
 select *, location || '|' || promo_item_sub_category || '|' || item_linkage || '|' || promo_brand || '|' || apply_on as key,

@@ -110,7 +110,7 @@ ranked as (
                                order by engagement_rate desc nulls last, c_custkey) as rank
   from tiered where tier is not null
 )
-select country, category, tier, rank, c_custkey, followers_m, engagement_rate from ranked where rank <= 10
+select country, category, tier, cast(rank as integer) as rank, c_custkey, followers_m, engagement_rate from ranked where rank <= 10
 """,
 )
 def influencer_shortlist(t):
