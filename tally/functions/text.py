@@ -189,21 +189,6 @@ def stem_vocabulary(tokens: DataFrame, token_col: str = "token") -> DataFrame:
     return distinct.mapInPandas(stem_batches, "token string, stem string")
 
 
-def bow_vocabulary(tokens: DataFrame, token_col: str = "token", max_features: int = 1500) -> DataFrame:
-    """The ``max_features`` most frequent terms over the corpus (ties alphabetical),
-    indexed alphabetically as a fitted count vectoriser does. Terms are tokens of 2+ letters.
-
-    The top-k is a ``TakeOrderedAndProject`` (k rows kept per task), so its size is bounded by
-    ``max_features`` whatever the corpus size."""
-    counts = (
-        tokens.filter(F.length(token_col) >= 2)
-        .groupBy(F.col(token_col).alias("term"))
-        .agg(F.count(F.lit(1)).alias("corpus_count"))
-    )
-    top = counts.orderBy(F.col("corpus_count").desc(), F.col("term")).limit(max_features)
-    return top.withColumn("term_index", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
-
-
 def stemmed_counts(doc_tokens: DataFrame, doc_col: str, token_col: str = "token") -> DataFrame:
     """``(doc, term, tf)`` of Porter stems. Tokens are counted per document first (partial
     aggregation before any shuffle); stems are attached to those counts, not to every token."""

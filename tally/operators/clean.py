@@ -20,6 +20,23 @@ def string_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in exclude]
 
 
+def select_by_position(df: DataFrame, start: int = 0, stop: int | None = None, positions: Sequence[int] | None = None) -> DataFrame:
+    """Columns by position (``iloc[:, a:b]`` or ``iloc[:, [0, 3, -1]]``)."""
+    cols = df.columns
+    chosen = [cols[i] for i in positions] if positions is not None else cols[start:stop]
+    return df.select(*chosen)
+
+
+def cast_columns(df: DataFrame, columns: Sequence[str], data_type: str) -> DataFrame:
+    """One cast for many columns (a single projection)."""
+    return df.withColumns({c: F.col(c).cast(data_type) for c in columns})
+
+
+def drop_if_exists(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Drop columns; missing names are ignored (``DataFrame.drop`` already is silent)."""
+    return df.drop(*columns)
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Keep the first row per key under an explicit total order.
 

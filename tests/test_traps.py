@@ -271,3 +271,12 @@ def test_rfm_invariant_to_partitioning(spark):
         r = segments.rfm_scores(segments.rfm_table(o.repartition(n), "o_custkey", "o_orderdate", "o_totalprice"))
         res.append(sorted(tuple(x) for x in r.collect()))
     assert res[0] == res[1]
+
+
+def test_projection_helpers(spark):
+    df = spark.createDataFrame([(1, "2", 3.0, "x")], "a int, b string, c double, d string")
+    assert clean.select_by_position(df, 1, 3).columns == ["b", "c"]
+    assert clean.select_by_position(df, positions=[0, -1]).columns == ["a", "d"]
+    assert dict(clean.cast_columns(df, ["a", "b"], "float").dtypes)["b"] == "float"
+    assert clean.drop_if_exists(df, ["d", "nope"]).columns == ["a", "b", "c"]
+    assert clean.numeric_columns(df) == ["a", "c"]
