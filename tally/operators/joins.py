@@ -25,7 +25,8 @@ def asof_join(
     rate of its window. Windows are per (keys, time bucket) so a hot key is spread over its
     buckets; the value carried into a bucket from earlier buckets comes from a small table of
     the last rate per (keys, bucket), itself carried forward by a window over buckets only.
-    On ties in time a rate counts as earlier than the fact (``<=``).
+    On ties in time a rate counts as earlier than the fact (``<=``); rates sharing one time
+    resolve to the largest value, so the answer never depends on row order.
     """
     keys = list(by)
     trunc = lambda c: F.date_trunc(bucket, F.col(c))
@@ -42,13 +43,13 @@ def asof_join(
     u = f.unionByName(r, allowMissingColumns=True).withColumn("_b", trunc("_t"))
     w = (
         Window.partitionBy(*keys, "_b")
-        .orderBy("_t", "_side")
+        .orderBy("_t", "_side", "_val")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     within = u.withColumn("_in", F.last("_val", ignorenulls=True).over(w)).filter(F.col("_side") == 1)
     # last rate per bucket, carried to later buckets
     last_per_bucket = rates.groupBy(*keys, trunc(rate_time).alias("_rb")).agg(
-        F.max_by(F.col(value), F.col(rate_time)).alias("_lv")
+        F.max_by(F.col(value), F.struct(F.col(rate_time), F.col(value))).alias("_lv")
     )
     fact_buckets = facts.select(*keys, trunc(fact_time).alias("_rb")).distinct().withColumn("_lv", F.lit(None).cast("double"))
     wb = Window.partitionBy(*keys).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)

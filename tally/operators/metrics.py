@@ -1,9 +1,9 @@
 """Classifier evaluation (M13-M16, T10): confusion matrix, class metrics, ROC and AUC.
 
 ROC needs running sums over all scores in descending order. A window without partitioning would
-put every row in one task, so the running sums are computed in two levels: rows are
-range-partitioned by score, each partition sums itself, the (few) partition totals are turned
-into offsets, and each row adds its partition's offset to its within-partition running sum.
+put every row in one task, so the running sums are computed in two levels: scores fall into
+contiguous ranges (bounds from a sketch of the scores), each range sums itself, the (few) range
+totals become offsets, and each row adds its range's offset to its in-range running sum.
 """
 
 from __future__ import annotations
@@ -46,21 +46,29 @@ def class_metrics(df: DataFrame, label: str, pred: str, positive=1) -> DataFrame
     )
 
 
-def global_running_sum(df: DataFrame, order: Column, values: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Running sums of ``values`` over the whole frame in ``order`` without a single-task window.
-
-    Adds ``cum_<v>`` columns. Rows are range-partitioned on the order key (ties stay together);
-    partition totals (one row per partition) give each partition's offset."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parted = df.repartitionByRange(n, order).withColumn("_pid", F.spark_partition_id())
-    totals = parted.groupBy("_pid").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
-    wt = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_t_{v}").over(wt), F.lit(0)).alias(f"_o_{v}") for v in values])
-    wp = Window.partitionBy("_pid").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = parted.withColumns({f"_l_{v}": F.sum(v).over(wp) for v in values})
-    out = local.join(F.broadcast(offsets), "_pid")
+def global_running_sum(
+    df: DataFrame, key: str, values: Sequence[str], descending: bool = False, buckets: int | None = None
+) -> DataFrame:
+    """Running sums of ``values`` over the whole frame in ``key`` order, without a single-task
+    window. Adds ``cum_<v>`` columns; ``key`` must be unique (aggregate by it first).
+
+    Rows go to ``buckets`` contiguous key ranges whose bounds come from a sketch of the key (a
+    function of the data, not of partitioning or scheduling, so recomputation after a lost
+    executor gives the same buckets). Each bucket's total becomes an offset for the later
+    buckets (one row per bucket), and each row adds its bucket offset to its in-bucket running sum."""
+    n = buckets or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    k = (-F.col(key) if descending else F.col(key)).cast("double")
+    bounds = df.agg(F.percentile_approx(k, [i / n for i in range(1, n)], 10_000).alias("_b")).scalar()
+    ranked = df.withColumn("_k", k).withColumn("_bounds", bounds)
+    ranked = ranked.withColumn("_bkt", F.size(F.filter("_bounds", lambda b: b < F.col("_k")))).drop("_bounds")
+    totals = ranked.groupBy("_bkt").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
+    wt = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_bkt", *[F.coalesce(F.sum(f"_t_{v}").over(wt), F.lit(0)).alias(f"_o_{v}") for v in values])
+    wp = Window.partitionBy("_bkt").orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranked.withColumns({f"_l_{v}": F.sum(v).over(wp) for v in values})
+    out = local.join(F.broadcast(offsets), "_bkt")
     return out.withColumns({f"cum_{v}": F.col(f"_l_{v}") + F.col(f"_o_{v}") for v in values}).drop(
-        "_pid", *[f"_l_{v}" for v in values], *[f"_o_{v}" for v in values]
+        "_bkt", "_k", *[f"_l_{v}" for v in values], *[f"_o_{v}" for v in values]
     )
 
 
@@ -71,7 +79,7 @@ def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
         F.count(F.when(F.col(label) == 1, 1)).alias("pos"), F.count(F.when(F.col(label) != 1, 1)).alias("neg")
     )
     tot = per.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
-    cum = global_running_sum(per, F.col("threshold").desc(), ["pos", "neg"])
+    cum = global_running_sum(per, "threshold", ["pos", "neg"], descending=True)
     return cum.select(
         "threshold",
         F.col("cum_pos").alias("tp"),

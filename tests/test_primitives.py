@@ -45,3 +45,14 @@ def test_asof_join_matches_brute_force(spark):
         exp = cand.sort_values("rts").rate.iloc[-1] if len(cand) else None
         g = got.loc[row.id]
         assert (exp is None and pd.isna(g)) or abs(g - exp) < 1e-12
+
+
+def test_global_running_sum_across_buckets(spark):
+    from tally.operators.metrics import global_running_sum
+
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({"k": rng.permutation(5000).astype(float), "v": rng.integers(0, 5, 5000)})
+    out = global_running_sum(spark.createDataFrame(pdf), "k", ["v"], descending=True, buckets=13).toPandas()
+    exp = pdf.sort_values("k", ascending=False).assign(cum=lambda d: d.v.cumsum()).set_index("k").cum
+    got = out.set_index("k").cum_v
+    assert (got.sort_index() == exp.sort_index()).all()
