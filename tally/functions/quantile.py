@@ -112,6 +112,11 @@ def quantiles(
         .withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_n") - 1))
     )
     if keys:
+        # The sketch merge depends on shuffle-fetch order, so a recomputed stats stage could give
+        # other bounds; the small bracket table is written once so every task sees the same one.
+        from tally.session import cut_lineage
+
+        brackets = cut_lineage(brackets)
         if broadcast_brackets:
             brackets_side = F.broadcast(brackets)
         else:
