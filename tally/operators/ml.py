@@ -95,12 +95,42 @@ def _total_ss(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def bisecting_segments(df: DataFrame, features: Sequence[str], k: int = 4, seed: int = 42) -> DataFrame:
-    """M6 (re-aimed): divisive bisecting k-means instead of Ward linkage (quadratic memory)."""
-    from pyspark.ml.clustering import BisectingKMeans
+    """M6 (re-aimed): divisive clustering instead of Ward linkage (quadratic memory).
+
+    Starting from one cluster, the cluster with the largest within-cluster sum of squares is split
+    in two by ``KMeans(k=2)`` until there are ``k`` clusters (or none can be split). Each step is
+    a distributed fit on that cluster's rows; the driver reads only the per-cluster sums of
+    squares (at most ``k`` rows), and the labelled rows are re-materialised in the shared
+    checkpoint folder so lineage stays flat. (``ml.BisectingKMeans`` can return fewer clusters
+    than asked on tightly scaled data, so the splitting is spelled out.)"""
+    from pyspark.ml.clustering import KMeans
 
-    data = assemble(df, features)
-    model = BisectingKMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(data)
-    return model.transform(data).drop("features")
+    from tally.session import cut_lineage
+
+    cols = list(features)
+    labeled = cut_lineage(df.withColumn("cluster", F.lit(0)))
+    blocked: set[int] = set()
+    new_id = 1
+    while new_id < k:
+        sse = [F.sum(F.col(c) * F.col(c)) - F.count(F.col(c)) * F.avg(c) * F.avg(c) for c in cols]
+        total = sse[0]
+        for e in sse[1:]:
+            total = total + e
+        stats = labeled.groupBy("cluster").agg(total.alias("sse"), F.count(F.lit(1)).alias("n")).collect()
+        cand = sorted((r for r in stats if r["cluster"] not in blocked and r["n"] >= 2), key=lambda r: (-r["sse"], r["cluster"]))
+        if not cand or cand[0]["sse"] <= 0:
+            break
+        pick = cand[0]["cluster"]
+        part = assemble(labeled.filter(F.col("cluster") == pick), cols, "_f")
+        model = KMeans(k=2, seed=seed, featuresCol="_f", predictionCol="_half").fit(part)
+        halves = model.transform(part)
+        if halves.select("_half").distinct().count() < 2:
+            blocked.add(pick)
+            continue
+        split = halves.withColumn("cluster", F.when(F.col("_half") == 1, F.lit(new_id)).otherwise(F.lit(pick))).drop("_f", "_half")
+        labeled = cut_lineage(labeled.filter(F.col("cluster") != pick).unionByName(split))
+        new_id += 1
+    return labeled
 
 
 def _fit_predict(estimator, train: DataFrame, test: DataFrame, features: Sequence[str], label: str) -> DataFrame:
