@@ -111,10 +111,7 @@ _LEADS_SQL = ",\n".join(
 )
 
 
-@query(
-    "promo_features",
-    f"""
-with {_PROMO_SQL}, {q_dims._WAREHOUSE_SQL.strip()},
+_FEATS_SQL = f"""
 loc as (
   select pm.*, h.city || '~' || h.global_id || '~' || h.replenishment_center as location
   from promo_months pm left join hierarchy h on pm.promo_warehouse = h.higher_hier_warehouse),
@@ -123,13 +120,15 @@ g as (
          sum(schemes) as schemes, avg(avg_discount_amount) as avg_discount_amount,
          avg(avg_discount_percentage) as avg_discount_percentage, cast(max(max_days_of_promo) as integer) as max_days_of_promo,
          avg(avg_days_of_promo) as avg_days_of_promo
-  from loc where location is not null group by all)
-select *, location || '|' || promo_item_sub_category || '|' || item_linkage || '|' || promo_brand || '|' || apply_on as key,
-{_LEADS_SQL}
-from g
-window w as (partition by location, promo_item_sub_category, item_linkage, promo_brand, apply_on order by month)
-""",
-)
+  from loc where location is not null group by all),
+feats as (
+  select *, location || '|' || promo_item_sub_category || '|' || item_linkage || '|' || promo_brand || '|' || apply_on as key,
+  {_LEADS_SQL}
+  from g
+  window w as (partition by location, promo_item_sub_category, item_linkage, promo_brand, apply_on order by month))"""
+
+
+@query("promo_features", f"with {_PROMO_SQL}, {q_dims._WAREHOUSE_SQL.strip()}, {_FEATS_SQL} select * from feats")
 def promo_features(t):
     """B9 + W2 + P15: promotions at locations, regrouped, leads 0-2 of five measures."""
     wh, prof, closure = q_dims._warehouse_inputs(t)
@@ -163,7 +162,9 @@ def seasonality_frame(t):
     )
 
 
-def _seasonality_sql():
+def _seasonality_sql(sales_sql: str | None = None):
+    """Reference-form seasonality SQL; ``sales_sql`` (columns state, crc, item_sub_category,
+    er_variant, date, amount) replaces the default lineitem sales."""
     sums = ",\n    ".join(
         f"cast(sum(case when month(date) = {i} then cast(amount as decimal(38,2)) else 0 end) as double) as {m}_sales"
         for i, m in enumerate(season.MONTHS, start=1)
@@ -186,25 +187,28 @@ def _seasonality_sql():
         for m in season.MONTHS
     )
     statuses = ", ".join(f"{m}_seasonality_status" for m in season.MONTHS)
-    return f"""
-ilv_sales as (
+    default_sales = """
   select n.n_regionkey as state, s.s_nationkey as crc, p.p_type as item_sub_category, p.p_brand as er_variant,
          cast(l.l_shipdate as date) as date, l.l_extendedprice as amount
   from lineitem l join part p on l.l_partkey = p.p_partkey join supplier s on l.l_suppkey = s.s_suppkey
   join nation n on s.s_nationkey = n.n_nationkey
-  where l.l_linestatus = 'F' and cast(l.l_shipdate as date) between date '{AS_OF}' - interval 730 day and date '{AS_OF}'),
+  where l.l_linestatus = 'F'"""
+    return f"""
+ilv_sales as (
+  select * from ({sales_sql or default_sales}) x
+  where date between date '{AS_OF}' - interval 730 day and date '{AS_OF}'),
 ilv_grp1 as (
   select state, crc, item_sub_category, er_variant,
     cast(sum(cast(amount as decimal(38,2))) as double) as total_sales,
     {sums},
     min(date) as introduction_date
   from ilv_sales group by state, crc, item_sub_category, er_variant),
-dimdate as (select cast(unnest(generate_series(date '1990-01-01', date '{AS_OF}', interval 1 day)) as date) as date),
+season_days as (select cast(unnest(generate_series(date '1990-01-01', date '{AS_OF}', interval 1 day)) as date) as date),
 ilv_grp2 as (
   select g.*,
     count(distinct case when d.date >= g.introduction_date then cast(month(d.date) as varchar) || cast(year(d.date) as varchar) end) as months_seen,
     {seen}
-  from ilv_grp1 g cross join dimdate d
+  from ilv_grp1 g cross join season_days d
   where d.date > (select min(introduction_date) from ilv_grp1) and d.date <= date '{AS_OF}'
   group by all),
 ilv_der1 as (select *, {adj},

@@ -42,7 +42,7 @@ def training_frame(t):
 
     def level(scope, keys, suffix):
         f = feats.filter(F.col("apply_on") == scope).groupBy(*keys, F.col("month").alias("month_start_date")).agg(
-            *[F.avg(c).alias(f"{c}_{suffix}") for c in LEAD_COLS]
+            *[F.round(F.avg(c), 9).alias(f"{c}_{suffix}") for c in LEAD_COLS]
         )
         return f
 
@@ -70,7 +70,77 @@ def training_frame(t):
     return season.label_encode(out, STATUS_COLS)
 
 
-@query("training_table", None)
+def _training_sql():
+    def level(scope, key_sql, suffix):
+        cols = ",\n    ".join(f"round(avg({c}), 9) as {c}_{suffix}" for c in LEAD_COLS)
+        return f"""select location, {key_sql}, month as month_start_date,
+    {cols}
+  from feats where apply_on = '{scope}' group by all"""
+
+    fill = ",\n  ".join(
+        f"coalesce({a}.{c}_{s}, 0.0) as {c}_{s}"
+        for a, s in (("b", "brand"), ("c", "category"), ("d", "code"))
+        for c in LEAD_COLS
+    )
+    statuses = ", ".join(f"z.{c}" for c in STATUS_COLS)
+    code_ctes = ",\n".join(
+        f"k{i} as (select v, cast(row_number() over (order by v) - 1 as integer) as code "
+        f"from (select distinct {c} as v from tt where {c} is not null))"
+        for i, c in enumerate(STATUS_COLS)
+    )
+    code_joins = "\n".join(f"left join k{i} on tt.{c} = k{i}.v" for i, c in enumerate(STATUS_COLS))
+    code_cols = ",\n  ".join(
+        f"coalesce(k{i}.code, (select cast(count(*) as integer) from k{i})) as {c}_cat" for i, c in enumerate(STATUS_COLS)
+    )
+    season_sales = """select state, replenishment_center as crc, item_sub_category,
+         coalesce(item_classification, item_sub_category) as er_variant, cast(l_shipdate as date) as date,
+         l_extendedprice as amount
+  from sales where l_linestatus = 'F'"""
+    return f"""with {q_promo._PROMO_SQL}, {q_dims._WAREHOUSE_SQL.strip()}, {q_promo._FEATS_SQL}, {q_dims._ITEMS_SQL.strip()},
+loc_wh as (
+  select name as s_name, state, replenishment_center, city || '~' || global_id || '~' || replenishment_center as location
+  from ilv_warehouse_with_profile),
+sales as (
+  select l.l_partkey, l.l_quantity, l.l_extendedprice, l.l_shipdate, l.l_linestatus, w.state, w.replenishment_center,
+         w.location, i.item_linkage, i.brand, i.item_sub_category, i.item_classification
+  from lineitem l join supplier s on l.l_suppkey = s.s_suppkey join loc_wh w on w.s_name = s.s_name
+  join items i on cast(l.l_partkey as varchar) = i.item_code),
+panel0 as (
+  select location, state, replenishment_center, item_linkage, brand, item_sub_category,
+         cast(date_trunc('month', l_shipdate) as date) as month_start_date, sum(l_quantity) as order_sales
+  from sales group by all),
+panel as (
+  select *, location || '|' || item_linkage as id from panel0
+  where (location || '|' || item_linkage, month_start_date) not in (
+    select (location || '|' || item_linkage, month_start_date) from panel0
+    group by location || '|' || item_linkage, month_start_date having count(*) > 1)),
+lvl_brand as ({level('Brand', 'promo_brand as brand', 'brand')}),
+lvl_cat as ({level('sub_cateogry', 'promo_item_sub_category as item_sub_category', 'category')}),
+lvl_code as ({level('Item Code', 'item_linkage', 'code')}),
+j as (
+  select p.*,
+  {fill}
+  from panel p
+  left join lvl_brand b on b.location = p.location and b.brand = p.brand and b.month_start_date = p.month_start_date
+  left join lvl_cat c on c.location = p.location and c.item_sub_category = p.item_sub_category and c.month_start_date = p.month_start_date
+  left join lvl_code d on d.location = p.location and d.item_linkage = p.item_linkage and d.month_start_date = p.month_start_date),
+jv as (
+  select j.*, coalesce(v.er_variant, j.item_sub_category) as er_variant
+  from j left join variants v on v.item_linkage = j.item_linkage where j.item_sub_category is not null),
+{q_promo._seasonality_sql(season_sales).strip()},
+tt as (
+  select jv.*, {statuses}
+  from jv left join seasonality z on jv.state = z.state and jv.replenishment_center = z.crc
+   and jv.item_sub_category = z.item_sub_category and jv.er_variant = z.er_variant),
+{code_ctes}
+select tt.*,
+  {code_cols}
+from tt
+{code_joins}
+"""
+
+
+@query("training_table", _training_sql())
 def training_table(t):
     """B12 + B8 + B9 + B10 + B11 + X28: one row per (id, month) with promotion leads at brand,
     category and item level, the item variant, 12 seasonality statuses and their codes."""
