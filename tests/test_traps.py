@@ -280,3 +280,12 @@ def test_projection_helpers(spark):
     assert dict(clean.cast_columns(df, ["a", "b"], "float").dtypes)["b"] == "float"
     assert clean.drop_if_exists(df, ["d", "nope"]).columns == ["a", "b", "c"]
     assert clean.numeric_columns(df) == ["a", "c"]
+
+
+def test_country_codes_keep_na_as_a_code(spark):
+    d = tempfile.mkdtemp(prefix="tally-cc-")
+    p = os.path.join(d, "cc.csv")
+    with open(p, "w") as f:
+        f.write("idx,name,alpha-2,alpha-3,country-code,region\n0,Namibia,NA,NAM,516,Africa\n1,Iceland,IS,ISL,352,Europe\n")
+    rows = io.country_codes(spark, p).orderBy("idx").collect()
+    assert rows[0].alpha2 == "NA" and rows[1].alpha2 == "IS"
