@@ -103,21 +103,34 @@ def engagement_rate(t):
     f"""
 with {fx.INFLUENCERS_SQL}, e as ({_ENGAGE_SELECT}),
 tiered as (
-  select *, case when followers_m < 60 then 'mini' when followers_m > 60 then 'mega' end as tier from e
+  select 'instagram' as platform, *, engagement_rate as rate,
+         case when followers_m < 60 then 'mini' when followers_m > 60 then 'mega' end as tier from e
+  union all
+  select 'youtube' as platform, *, youtube_rate as rate,
+         case when followers_m <= 30 then 'mini' else 'mega' end as tier from e
 ),
 ranked as (
-  select *, row_number() over (partition by country, category, tier
-                               order by engagement_rate desc nulls last, c_custkey) as rank
+  select *, row_number() over (partition by platform, country, category, tier
+                               order by rate desc nulls last, c_custkey) as rank
   from tiered where tier is not null
 )
-select country, category, tier, cast(rank as integer) as rank, c_custkey, followers_m, engagement_rate from ranked where rank <= 10
+select platform, country, category, tier, cast(rank as integer) as rank, c_custkey, followers_m, rate from ranked where rank <= 10
 """,
 )
 def influencer_shortlist(t):
-    """B21 + O2: best 10 by engagement rate per (country, category, mini/mega at 60 M)."""
+    """B21 + O2: best 10 per (country, category, tier) on both platforms: Instagram by engagement
+    rate with mini/mega at 60 M (exactly 60 M is neither), YouTube by its rate with <= 30 M mini."""
     e = _engagement(t)
-    r = seg.influencer_shortlist(e, "country", "category", "engagement_rate", "c_custkey", threshold=60.0, top=10)
-    return r.select("country", "category", "tier", "rank", "c_custkey", "followers_m", "engagement_rate")
+    insta = seg.influencer_shortlist(
+        e.withColumn("rate", F.col("engagement_rate")), "country", "category", "rate", "c_custkey",
+        threshold=seg.INSTAGRAM_THRESHOLD_M, boundary="neither", top=10,
+    ).withColumn("platform", F.lit("instagram"))
+    yt = seg.influencer_shortlist(
+        e.withColumn("rate", F.col("youtube_rate")), "country", "category", "rate", "c_custkey",
+        threshold=seg.YOUTUBE_THRESHOLD_M, boundary="mini", top=10,
+    ).withColumn("platform", F.lit("youtube"))
+    cols = ["platform", "country", "category", "tier", "rank", "c_custkey", "followers_m", "rate"]
+    return insta.select(*cols).unionByName(yt.select(*cols))
 
 
 @query(
