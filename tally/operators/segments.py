@@ -195,6 +195,19 @@ def first_non_null(df: DataFrame, keys: Sequence[str], value: str, order: Sequen
     )
 
 
+def year_end_rates(earnings: DataFrame, rates: DataFrame, country: str = "country", year: str = "year",
+                   rate_time: str = "rate_ts", rate: str = "rate") -> DataFrame:
+    """J14 for B19: the rate in force on 31 December of each (country, year) - the latest rate at
+    or before it (as-of join, buckets of one year with the value carried across years)."""
+    from tally.operators.joins import asof_join
+
+    ends = earnings.select(country, year).distinct().withColumn(
+        "_ts", F.make_date(F.col(year), F.lit(12), F.lit(31)).cast("timestamp_ntz")
+    )
+    r = rates.select(country, F.col(rate_time).cast("timestamp_ntz").alias(rate_time), rate)
+    return asof_join(ends, r, [country], "_ts", rate_time, rate, bucket="year").drop("_ts")
+
+
 def earnings_gap(
     earnings: DataFrame,
     cpi: DataFrame,
@@ -207,7 +220,8 @@ def earnings_gap(
     """Inflation-adjusted earnings gap per country in the country's own latest year.
 
     ``cpi``: (country, cpi) joined left, so a country without CPI keeps a null (Q21).
-    ``rates``: optional (country, year, rate) at year end; amounts are multiplied by it.
+    ``rates``: optional (country, year, rate) at year end (see ``year_end_rates``); the adjusted
+    amount is converted with it and rounded to 3 decimals, as the reference does.
     Output per country: latest year, female and male amounts, gap = male - female, and the sign
     stated in words.
     """

@@ -187,8 +187,11 @@ def first_per_group(t):
 @query(
     "earnings_gap",
     f"""
-with {fx.EARNINGS_SQL}, {fx.CPI_SQL},
-adj as (select e.*, round(e.amount * c.cpi / 100, 3) as adjusted from earnings e left join cpi c using (country)),
+with {fx.EARNINGS_SQL}, {fx.CPI_SQL}, {fx.RATES_SQL},
+ye as (select distinct country, year, cast(make_date(year, 12, 31) as timestamp) as ts from earnings),
+fxr as (select ye.country, ye.year, r.rate from ye asof left join rates r on ye.country = r.country and ye.ts >= r.rate_ts),
+adj as (select e.*, round(round(e.amount * c.cpi / 100, 3) * fxr.rate, 3) as adjusted
+        from earnings e left join cpi c using (country) left join fxr using (country, year)),
 per as (
   select country, year, max(case when gender = 'F' then adjusted end) as female,
          max(case when gender = 'M' then adjusted end) as male
@@ -202,8 +205,10 @@ from latest where year = ly
 """,
 )
 def earnings_gap(t):
-    """B19 + J15 + X29: CPI-adjusted male - female gap in each country's own latest year."""
-    return seg.earnings_gap(fx.earnings(t), fx.cpi_by_nation(t))
+    """B19 + J14 + J15 + X29: CPI-adjusted amounts converted at the year-end rate (as-of join),
+    then the male - female gap in each country's own latest year."""
+    e = fx.earnings(t)
+    return seg.earnings_gap(e, fx.cpi_by_nation(t), seg.year_end_rates(e, fx.daily_rates(t)))
 
 
 @query(
