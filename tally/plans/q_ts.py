@@ -131,10 +131,34 @@ def ts_acf(t):
     return out.withColumns({"acf": F.round("acf", 9), "lag": F.col("lag").cast("int")})
 
 
-@query("ts_pacf", None)
+def _pacf_sql():
+    body = _acf_sql().strip()
+    # the ACF rows (unrounded) as one list per series, then the Durbin-Levinson recursion
+    unrounded = body.replace("round(", "(").replace(", 9) as acf", ") as acf")
+    return f"""
+with recursive acf_rows as ({unrounded}),
+r as (select series_id, list(acf order by lag) as r from acf_rows group by series_id),
+dl as (
+  select series_id, r, 1 as k, [r[2]] as phi, r[2] as pkk from r
+  union all
+  select series_id, r, k + 1 as k,
+         list_append(list_transform(phi, lambda x, j: x - nk.pkk * phi[k + 1 - j]), nk.pkk) as phi,
+         nk.pkk
+  from dl, lateral (
+    select (r[k + 2] - list_sum(list_transform(phi, lambda x, j: x * r[k + 2 - j])))
+           / (1 - list_sum(list_transform(phi, lambda x, j: x * r[j + 1]))) as pkk) nk
+  where k < {NLAGS})
+select series_id, 0 as lag, 1.0::double as pacf from r
+union all
+select series_id, k as lag, round(pkk, 9) as pacf from dl
+"""
+
+
+@query("ts_pacf", _pacf_sql())
 def ts_pacf(t):
     """T5: partial autocorrelation to lag 24 (Durbin-Levinson on the aggregated ACF)."""
-    return tsx.ts_pacf(tsx.ts_acf(monthly_revenue(t), "series_id", "ts", "value", nlags=NLAGS), "series_id")
+    out = tsx.ts_pacf(tsx.ts_acf(monthly_revenue(t), "series_id", "ts", "value", nlags=NLAGS), "series_id")
+    return out.withColumn("pacf", F.round("pacf", 9))
 
 
 @query("ts_adf", None)
