@@ -56,3 +56,24 @@ def test_global_running_sum_across_buckets(spark):
     exp = pdf.sort_values("k", ascending=False).assign(cum=lambda d: d.v.cumsum()).set_index("k").cum
     got = out.set_index("k").cum_v
     assert (got.sort_index() == exp.sort_index()).all()
+
+
+def test_quantiles_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=8, deadline=None)
+    @given(
+        values=st.lists(st.integers(min_value=-50, max_value=50), min_size=1, max_size=400),
+        parts=st.integers(min_value=1, max_value=7),
+        probs=st.lists(st.floats(min_value=0.0, max_value=1.0), min_size=1, max_size=4),
+    )
+    def check(values, parts, probs):
+        pdf = pd.DataFrame({"x": [float(v) for v in values]})
+        df = spark.createDataFrame(pdf).repartition(parts)
+        for limit in (None, 10**6):
+            got = quantiles(df, "x", probs, accuracy=50, small_group_limit=limit).toPandas().set_index("p_index")["q"]
+            for i, p in enumerate(probs):
+                assert abs(got[i] - np.quantile(pdf.x.to_numpy(), p)) < 1e-9
+
+    check()
