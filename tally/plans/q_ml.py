@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tally.functions import text as tx
 from tally.operators import metrics as met, ml, segments as seg
+from tally.plans.porter_sql import porter_sql
 from tally.plans.registry import query
 
 RFM = ["recency", "frequency", "monetary"]
@@ -245,20 +246,39 @@ def stemmed_counts(t):
     return tx.stemmed_counts(_doc_tokens(t), "doc_id")
 
 
-@query("text_stem_vocab", None)
+def _tokens_sql():
+    return f"""
+toks as (
+  select doc_id, token from (
+    select doc_id, unnest(string_split_regex(trim(lower(regexp_replace(text, '[^a-zA-Z]', ' ', 'g'))), '\\s+')) as token
+    from documents where lang = 'en')
+  where length(token) >= 1 and token not in ({_stop_sql()[1:-1]})),
+{porter_sql('toks').strip()},
+per_doc as (
+  select t.doc_id, s.stem as term, count(*) as tf from toks t join stems s using (token) group by all),
+vocab as (
+  select term, corpus_count, cast(row_number() over (order by term) - 1 as integer) as term_index from (
+    select term, cast(sum(tf) as bigint) as corpus_count from per_doc where length(term) >= 2
+    group by term order by corpus_count desc, term limit 1500))"""
+
+
+@query("text_stem_vocab", f"with {_tokens_sql()} select token, stem from stems")
 def text_stem_vocab(t):
     """Porter stem of every distinct token of the English documents."""
     toks = _doc_tokens(t).groupBy("token").agg(F.count(F.lit(1)).alias("_c"))
     return tx.stem_vocabulary(toks)
 
 
-@query("bow_vocab", None)
+@query("bow_vocab", f"with {_tokens_sql()} select term, corpus_count, term_index from vocab")
 def bow_vocab(t):
     """1500 most frequent stems (ties alphabetical), alphabetical term index."""
     return tx.bow_vocabulary_from_counts(tx.stem_corpus_counts(_doc_tokens(t)), max_features=1500)
 
 
-@query("bow_vectors", None)
+@query(
+    "bow_vectors",
+    f"with {_tokens_sql()} select p.doc_id, v.term_index, cast(p.tf as bigint) as tf from per_doc p join vocab v using (term)",
+)
 def bow_vectors(t):
     """Per document sparse stem counts over the 1500-term vocabulary."""
     counts = stemmed_counts(t)
