@@ -210,8 +210,11 @@ def ts_adf(df: DataFrame, series: str, ts: str, value: str, maxlag: int | None =
     Per series: ``dy_t = a + b y_{t-1} + sum_i g_i dy_{t-i}``, lags 0..maxlag compared on the common
     sample (as the usual implementation), the chosen order re-fitted on its own longer sample;
     statistic = t of ``b``. Values are standardised per series first (t and the AIC ranking do not
-    change) so the Gram sums stay well conditioned. Output: statistic, p-value, lags used,
-    observations, critical values, and the verdict at p <= 0.05.
+    change) so the Gram sums stay well conditioned. The data is read once: rows with every lag
+    available are summed, the few earlier rows of each series travel as vectors, and both the AIC
+    search and the refit are solved from those in one small Python step per series.
+    Output: statistic, p-value, lags used, observations, critical values, and the verdict at
+    p <= 0.05.
 
     ``maxlag`` bounds the lag columns generated; by default it is the largest per-series
     ``ceil(12 (n/100)^(1/4))`` (one small aggregate read back to size the plan).
@@ -236,58 +239,67 @@ def ts_adf(df: DataFrame, series: str, ts: str, value: str, maxlag: int | None =
     base = base.withColumn("_dz", F.col("_z") - F.lag("_z", 1).over(w)).withColumn("_zl", F.lag("_z", 1).over(w))
     base = base.withColumns({f"_d{i}": F.lag("_dz", i).over(w) for i in range(1, K + 1)})
     ncols = K + 2
-
-    def design(lag_col: str):
-        cols = {"_y": F.col("_dz"), "_x0": F.lit(1.0), "_x1": F.col("_zl")}
-        for i in range(1, K + 1):
-            cols[f"_x{i + 1}"] = F.when(F.lit(i) <= F.col(lag_col), F.col(f"_d{i}")).otherwise(F.lit(0.0))
-        return cols
-
-    # pass 1: common sample idx >= m + 2, all lags up to the series' m
-    s1 = base.filter(F.col("_idx") >= F.col("_m") + 2).withColumns(design("_m"))
-    g1 = _gram(s1, series, ncols, extra=["_m"])
+    x_cols = [F.lit(1.0), F.col("_zl")] + [F.col(f"_d{i}") for i in range(1, K + 1)]
+    # One pass. Rows with every lag available (idx >= K + 2) are summed into a Gram matrix; the
+    # at most K earlier rows of each series are kept as vectors. Any suffix sample idx >= L + 2
+    # is then "common sums + the early rows with idx >= L + 2", so the AIC search (sample
+    # idx >= m + 2) and the refit (idx >= used + 2) need no second scan.
+    common = base.filter(F.col("_idx") >= K + 2).select(
+        series, F.col("_dz").alias("_y"), *[c.alias(f"_x{a}") for a, c in enumerate(x_cols)]
+    )
+    g = _gram(common, series, ncols)
+    early = (
+        base.filter((F.col("_idx") >= 2) & (F.col("_idx") <= K + 1))
+        .groupBy(series)
+        .agg(F.collect_list(F.struct("_idx", F.col("_dz").alias("_y"), F.array(*x_cols).alias("_x"))).alias("_early"))
+    )
+    per = stats.select(series, "_m").join(g, series, "left").join(early, series, "left")
     key_type = df.schema[series].dataType.simpleString()
 
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
+    def test(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for _, r in pdf.iterrows():
-            nobs = int(r["_nobs"])
-            xy = np.asarray(r["_xy"], dtype=float)
-            xx = np.asarray(r["_xx"], dtype=float)
+            m = int(r["_m"])
+            have = r["_nobs"] is not None and not (isinstance(r["_nobs"], float) and math.isnan(r["_nobs"]))
+            g_n = float(r["_nobs"]) if have else 0.0
+            g_yy = float(r["_yy"]) if have else 0.0
+            g_xy = np.asarray(r["_xy"], dtype=float) if have else np.zeros(ncols)
+            g_xx = _unpack(np.asarray(r["_xx"], dtype=float), ncols, ncols) if have else np.zeros((ncols, ncols))
+            early_rows = list(r["_early"]) if r["_early"] is not None else []
+
+            def sums(start: int, k: int):
+                n, yy, xy, xx = g_n, g_yy, g_xy[:k].copy(), g_xx[:k, :k].copy()
+                for e in early_rows:
+                    if e["_idx"] >= start:
+                        x = np.asarray(e["_x"][:k], dtype=float)
+                        y = float(e["_y"])
+                        n += 1
+                        yy += y * y
+                        xy += x * y
+                        xx += np.outer(x, x)
+                return n, yy, xy, xx
+
             best = None
-            for lag in range(0, int(r["_m"]) + 1):
+            for lag in range(0, m + 1):
                 k = lag + 2
-                g = _unpack(xx, k, ncols)
-                b = np.linalg.lstsq(g, xy[:k], rcond=None)[0]
-                ssr = max(float(r["_yy"] - b @ xy[:k]), 1e-300)
-                llf = -nobs / 2.0 * (math.log(2 * math.pi) + math.log(ssr / nobs) + 1.0)
+                n, yy, xy, xx = sums(m + 2, k)
+                b = np.linalg.lstsq(xx, xy, rcond=None)[0]
+                ssr = max(float(yy - b @ xy), 1e-300)
+                llf = -n / 2.0 * (math.log(2 * math.pi) + math.log(ssr / n) + 1.0)
                 aic = -2.0 * llf + 2.0 * k
                 if best is None or aic < best[0] - 1e-12 * abs(best[0]):
                     best = (aic, lag)
-            rows.append((r[series], best[1] if best else 0))
-        return pd.DataFrame(rows, columns=[series, "_used"])
-
-    used = g1.groupBy(series).applyInPandas(pick, f"{series} {key_type}, _used int")
-    # pass 2: the chosen order on its own sample idx >= used + 2
-    s2 = base.join(used, series).filter(F.col("_idx") >= F.col("_used") + 2).withColumns(design("_used"))
-    g2 = _gram(s2, series, ncols, extra=["_used"])
-
-    def test(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for _, r in pdf.iterrows():
-            nobs = int(r["_nobs"])
-            k = int(r["_used"]) + 2
-            g = _unpack(np.asarray(r["_xx"], dtype=float), k, ncols)
-            xy = np.asarray(r["_xy"], dtype=float)[:k]
-            inv = np.linalg.pinv(g)
+            used = best[1] if best else 0
+            k = used + 2
+            n, yy, xy, xx = sums(used + 2, k)
+            inv = np.linalg.pinv(xx)
             b = inv @ xy
-            ssr = float(r["_yy"] - b @ xy)
-            s2_ = ssr / (nobs - k)
-            stat = float(b[1] / math.sqrt(s2_ * inv[1, 1]))
-            cv = adf_critical_values(nobs)
+            ssr = float(yy - b @ xy)
+            stat = float(b[1] / math.sqrt(ssr / (n - k) * inv[1, 1]))
+            cv = adf_critical_values(int(n))
             p = adf_pvalue(stat)
             rows.append(
-                (r[series], stat, p, int(r["_used"]), nobs, cv["1%"], cv["5%"], cv["10%"],
+                (r[series], stat, p, used, int(n), cv["1%"], cv["5%"], cv["10%"],
                  "stationary" if p <= 0.05 else "non-stationary")
             )
         return pd.DataFrame(
@@ -299,4 +311,4 @@ def ts_adf(df: DataFrame, series: str, ts: str, value: str, maxlag: int | None =
         f"{series} {key_type}, adf_stat double, p_value double, used_lag int, nobs int, "
         "crit_1pct double, crit_5pct double, crit_10pct double, verdict string"
     )
-    return g2.groupBy(series).applyInPandas(test, schema)
+    return per.groupBy(series).applyInPandas(test, schema)
