@@ -12,9 +12,11 @@ TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL")
 
 
 def promos(t):
-    """orders with o_orderkey % 50 = 0 as promotions; k = o_orderkey / 50 (see FIXTURES.md)."""
-    o = t.orders.filter(F.col("o_orderkey") % 50 == 0)
-    k = (F.col("o_orderkey") / 50).cast("bigint")
+    """Every order as a promotion scheme (the whole table); its attributes follow from the order
+    key k: scope, category, brand, item, length (k % 60 days, open-ended when k % 17 = 0),
+    discount percentage and amount."""
+    o = t.orders
+    k = F.col("o_orderkey")
     cat = F.when(k % 3 == 1, F.element_at(F.array(*[F.lit(x) for x in TYPES]), (k % 5 + 1).cast("int"))).when(
         k % 3 == 2, F.lit("")
     )
@@ -51,17 +53,17 @@ ilv_month_start_dates as (
   from dimdate),
 promo_raw as (
   select cast(o_orderkey as varchar) as name, 'NATION_' || cast(o_custkey % 25 as varchar) as warehouse,
-         case when (o_orderkey // 50) % 3 = 2 then 'Item Code' else 'Brand' end as apply_on,
-         case when (o_orderkey // 50) % 3 = 1 then ['ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL'][((o_orderkey // 50) % 5 + 1)::integer]
-              when (o_orderkey // 50) % 3 = 2 then '' end as er_category_to_apply_on,
-         case when (o_orderkey // 50) % 3 <> 2 then 'Brand#' || cast((o_orderkey // 50) % 25 + 1 as varchar) end as brand,
-         case when (o_orderkey // 50) % 3 = 2 then cast(((o_orderkey // 50) * 37) % 1000 as varchar) end as item_code,
+         case when o_orderkey % 3 = 2 then 'Item Code' else 'Brand' end as apply_on,
+         case when o_orderkey % 3 = 1 then ['ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL'][(o_orderkey % 5 + 1)::integer]
+              when o_orderkey % 3 = 2 then '' end as er_category_to_apply_on,
+         case when o_orderkey % 3 <> 2 then 'Brand#' || cast(o_orderkey % 25 + 1 as varchar) end as brand,
+         case when o_orderkey % 3 = 2 then cast((o_orderkey * 37) % 1000 as varchar) end as item_code,
          cast(o_orderdate as date) as valid_from,
-         case when (o_orderkey // 50) % 17 = 0 then null
-              else cast(cast(o_orderdate as date) + cast((o_orderkey // 50) % 60 as integer) as date) end as valid_upto,
-         cast((o_orderkey // 50) % 20 as double) as discount_percentage,
-         cast((o_orderkey // 50) % 11 as double) as discount_amount
-  from orders where o_orderkey % 50 = 0),
+         case when o_orderkey % 17 = 0 then null
+              else cast(cast(o_orderdate as date) + cast(o_orderkey % 60 as integer) as date) end as valid_upto,
+         cast(o_orderkey % 20 as double) as discount_percentage,
+         cast(o_orderkey % 11 as double) as discount_amount
+  from orders),
 ilv_promo as (
   select distinct warehouse, apply_on,
     case when apply_on = 'Brand' and coalesce(er_category_to_apply_on, '') != '' then 'sub_cateogry' else apply_on end as apply_on_custom,
