@@ -75,8 +75,11 @@ def promo_months(
     its end; open-ended promotions pass the filter but are never active (Q5).
     """
     scoped = promo_scope(promos).filter(F.col("valid_upto").isNull() | (F.col("valid_upto") >= calendar_start))
-    # rows per scope group (the window groups null scope values together, as GROUP BY does)
-    scoped = scoped.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*GROUP)))
+    # rows per scope group: an aggregate (partial counts before the shuffle), joined back below
+    # with null-safe equality because scope columns may be null (GROUP BY groups nulls together)
+    rows = scoped.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("_rows")).select(
+        *[F.col(c).alias(f"_g_{c}") for c in GROUP], "_rows"
+    )
     cal_lo, cal_hi = F.trunc(calendar_start, "MM"), F.trunc(calendar_end, "MM")
     lo = F.greatest(X.month_start_quirk("valid_from"), cal_lo)
     hi = F.least(F.trunc("valid_upto", "MM"), cal_hi)
@@ -90,8 +93,8 @@ def promo_months(
         F.expr("avg(distinct discount_percentage)").alias("avg_discount_percentage"),
         F.max(days).alias("_max_days"),
         F.count(F.lit(1)).alias("_active"),
-        F.max("_rows").alias("_rows"),
     )
+    per = per.join(rows, [per[c].eqNullSafe(rows[f"_g_{c}"]) for c in GROUP], "left").drop(*[f"_g_{c}" for c in GROUP])
     # The reference's max also sees a 0 from every inactive promotion row of the group; that
     # matters only when all active rows have negative days (reversed ranges).
     per = per.withColumn(
