@@ -77,3 +77,20 @@ def test_quantiles_property(spark):
                 assert abs(got[i] - np.quantile(pdf.x.to_numpy(), p)) < 1e-9
 
     check()
+
+
+def test_asof_join_year_buckets_carry_across_years(spark):
+    import datetime as dt
+
+    facts = spark.createDataFrame(
+        [("A", dt.datetime(2020, 12, 31)), ("A", dt.datetime(2022, 12, 31)), ("B", dt.datetime(2021, 12, 31))],
+        "k string, ts timestamp_ntz",
+    )
+    rates = spark.createDataFrame(
+        [("A", dt.datetime(2020, 3, 1), 1.0), ("A", dt.datetime(2020, 12, 31), 2.0), ("A", dt.datetime(2021, 6, 1), 3.0),
+         ("B", dt.datetime(2022, 1, 1), 9.0)],
+        "k string, rts timestamp_ntz, rate double",
+    )
+    got = {(r.k, r.ts.year): r.rate for r in asof_join(facts, rates, ["k"], "ts", "rts", "rate", bucket="year").collect()}
+    # same-day rate counts; 2022 has no rate of its own and carries 2021's; B has none yet in 2021
+    assert got == {("A", 2020): 2.0, ("A", 2022): 3.0, ("B", 2021): None}
