@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tally.session import ship_package
 from tally.sources.io import Tables
 
 Builder = Callable[[Tables], DataFrame]
@@ -23,6 +24,7 @@ def query(name: str, sql: str | None):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             # dates in this library are calendar dates; fix the session zone so LTZ casts agree
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            ship_package(spark)
             return fn(Tables(spark, sf_dir))
 
         run.__name__ = name
