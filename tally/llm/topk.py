@@ -13,7 +13,7 @@ k rows per group and query. The stated query set meets all rows, in blocks.
 
 Vectors that are null or hold null or non-finite components take no part, nor do null ids; shorter vectors count
 as padded with zeros; rows that repeat both id and vector count once, and a query never meets its own id. Scores
-are exact while sums stay below 2^63. An empty table gives an empty result; other columns are ignored.
+are exact while sums stay below 2^62. An empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -103,7 +103,7 @@ def _search(blocks: pa.Table, queries: pa.Table, k: int) -> pa.Table:
     q, x = q.astype(kind), x.astype(kind)
     bound = np.maximum(q, 0) @ top.T.astype(kind) + np.minimum(q, 0) @ low.T.astype(kind)
     order = np.argsort(-bound, axis=1, kind="stable")
-    least = np.iinfo(np.int64).min
+    least = -(1 << 62)  # can be negated
     best, best_id = np.full((len(q), k), least), np.full((len(q), k), np.iinfo(np.int64).max)
     live = np.arange(len(q))
     for step in range(len(n)):
