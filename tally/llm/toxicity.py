@@ -120,25 +120,24 @@ def choose_features(rows: DataFrame, most: int) -> tuple[list[str], int, int]:
     return [r["feature"] for r in best.collect()], int(t0), int(t1)
 
 
-def _train(bags: list[list[list[int]]], y: np.ndarray, plain: np.ndarray, n_features: int, bias: float, steps: int, rate: float, ridge: float):
-    """Gradient steps (Adam) on the log loss of the noisy-or, over sentences given by their feature numbers."""
-    sent_doc = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
-    sents = [s for b in bags for s in b]
-    of_sent = np.repeat(np.arange(len(sents)), [len(s) for s in sents])
-    feats = np.array([f for s in sents for f in s], dtype=np.int64)
-    w, b = np.zeros(n_features + 1), 0.0
-    w[-1] = b = bias
+def _train(sentences: np.ndarray, sizes: np.ndarray, feats: np.ndarray, y: np.ndarray, plain: np.ndarray, n_features: int, bias: float, steps: int, rate: float, ridge: float):
+    """Gradient steps (Adam) on the log loss of the noisy-or. Document i has ``sentences[i]`` sentences with features and
+    ``plain[i]`` without; sentence s has the next ``sizes[s]`` of ``feats``."""
+    sent_doc = np.repeat(np.arange(len(y)), sentences)
+    of_sent = np.repeat(np.arange(len(sizes)), sizes)
+    w = np.zeros(n_features + 1)
+    w[-1] = bias
     m, v = np.zeros_like(w), np.zeros_like(w)
     for k in range(1, steps + 1):
-        p = 1 / (1 + np.exp(-np.clip(w[-1] + np.bincount(of_sent, w[feats], len(sents)), -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(w[-1] + np.bincount(of_sent, w[feats], len(sizes)), -30, 30)))
         p0 = 1 / (1 + np.exp(-w[-1]))
-        none = np.bincount(sent_doc, np.log1p(-np.minimum(p, 1 - 1e-9)), len(bags)) + plain * np.log1p(-p0)
+        none = np.bincount(sent_doc, np.log1p(-np.minimum(p, 1 - 1e-9)), len(y)) + plain * np.log1p(-p0)
         q = np.clip(1 - np.exp(none), 1e-9, 1 - 1e-9)
         pull = y * (1 - q) / q - (1 - y)  # d loss / d sentence logit is -pull * p
         gs = pull[sent_doc] * p
         g = np.bincount(feats, gs[of_sent], n_features + 1) if len(feats) else np.zeros(n_features + 1)
         g[-1] = gs.sum() + (pull * plain).sum() * p0
-        g = g / len(bags) - ridge * np.append(w[:-1], 0.0)
+        g = g / len(y) - ridge * np.append(w[:-1], 0.0)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         w = w + rate * (m / (1 - 0.9**k)) / (np.sqrt(v / (1 - 0.999**k)) + 1e-8)
     return w[:-1], float(w[-1])
@@ -164,11 +163,21 @@ def fit_labelled(docs: DataFrame, labels: DataFrame, label_col: str, max_rows: i
                 of = [sorted({f for t in set(s.split()) for f in memo[t]}) for s in SENTENCE.findall(text)] or [[]]
                 hits.append([s for s in of if s])
                 plain.append(len(of) - len(hits[-1]))
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["y"], pa.array(plain, pa.int64()), pa.array(hits, pa.list_(pa.list_(pa.int32())))], names=["doc_id", "y", "plain", "hits"])
+            sizes = [[len(s) for s in h] for h in hits]
+            feats = [[f for s in h for f in s] for h in hits]
+            ints = pa.list_(pa.int32())
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["y"], pa.array(plain, pa.int64()), pa.array(sizes, ints), pa.array(feats, ints)], names=["doc_id", "y", "plain", "sizes", "feats"])
 
-    got = rows.select("doc_id", "y", "text").mapInArrow(run, "doc_id long, y int, plain long, hits array<array<int>>").orderBy("doc_id", "y").collect()
-    y = np.array([r["y"] for r in got], dtype=np.float64)
-    w, bias = _train([r["hits"] for r in got], y, np.array([r["plain"] for r in got], dtype=np.float64), len(kept), -5.0, steps, rate, ridge)
+    sparse = rows.select("doc_id", "y", "text").mapInArrow(run, "doc_id long, y int, plain long, sizes array<int>, feats array<int>")
+    got = sparse.orderBy("doc_id", "y").toArrow().combine_chunks()
+
+    def flat(name: str) -> tuple[np.ndarray, np.ndarray]:
+        lists = got[name].combine_chunks()
+        return np.diff(lists.offsets.to_numpy()), lists.flatten().to_numpy(zero_copy_only=False)
+
+    sentences, sizes = flat("sizes")
+    y, plain = got["y"].to_numpy().astype(np.float64), got["plain"].to_numpy().astype(np.float64)
+    w, bias = _train(sentences, sizes, flat("feats")[1], y, plain, len(kept), -5.0, steps, rate, ridge)
     return Bags(bias, {f: float(w[i]) for f, i in number.items()})
 
 
