@@ -26,7 +26,8 @@ def asof_join(
     buckets; the value carried into a bucket from earlier buckets comes from a small table of
     the last rate per (keys, bucket), itself carried forward by a window over buckets only.
     On ties in time a rate counts as earlier than the fact (``<=``); rates sharing one time
-    resolve to the largest value, so the answer never depends on row order.
+    resolve to the largest value, so the answer never depends on row order. The value keeps its own
+    type; null keys are one key of their own.
     """
     keys = list(by)
     trunc = lambda c: F.date_trunc(bucket, F.col(c))
@@ -51,7 +52,7 @@ def asof_join(
     last_per_bucket = rates.groupBy(*keys, trunc(rate_time).alias("_rb")).agg(
         F.max_by(F.col(value), F.struct(F.col(rate_time), F.col(value))).alias("_lv")
     )
-    fact_buckets = facts.select(*keys, trunc(fact_time).alias("_rb")).distinct().withColumn("_lv", F.lit(None).cast("double"))
+    fact_buckets = facts.select(*keys, trunc(fact_time).alias("_rb")).distinct().withColumn("_lv", F.lit(None).cast(rates.schema[value].dataType))
     wb = Window.partitionBy(*keys).orderBy("_rb").rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         last_per_bucket.withColumn("_fact", F.lit(False))
@@ -61,7 +62,12 @@ def asof_join(
         .withColumn("_prev", F.last("_lv", ignorenulls=True).over(wb))
         .select(*keys, F.col("_rb").alias("_b"), "_prev")
     )
-    res = within.join(carry, on=[*keys, "_b"], how="left")
+    carry = carry.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_b").alias("_cb"), "_prev")
+    # null keys match each other here as they do inside a window
+    same = within["_b"].eqNullSafe(carry["_cb"])
+    for i, k in enumerate(keys):
+        same = same & within[k].eqNullSafe(carry[f"_k{i}"])
+    res = within.join(carry, same, "left")
     return res.select(*f_cols, F.coalesce(F.col("_in"), F.col("_prev")).alias(out or value))
 
 
@@ -72,5 +78,5 @@ def lookup_table(spark: SparkSession, mapping: Mapping, key: str, value: str, ke
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, on: str | Sequence[str] | Column, how: str = "left") -> DataFrame:
-    """Join to a constant lookup; its size is fixed by the code, so broadcasting is safe."""
-    return df.join(F.broadcast(lookup), on=on, how=how)
+    """Join to a lookup; Spark broadcasts it where its known size is under the session's threshold."""
+    return df.join(lookup, on=on, how=how)

@@ -165,13 +165,13 @@ def influencer_shortlist(
     key: str,
     threshold: float = INSTAGRAM_THRESHOLD_M,
     boundary: str = "neither",
-    top: int | None = 10,
+    top: int | None = None,
 ) -> DataFrame:
     """B21 + O2: for every (country, category, tier) the influencers by rate, best first.
 
     The reference answers one (country, category) at a time; this returns all groups with a
-    per-group rank, so a single pass serves every call. ``top`` keeps the first k per group
-    (a top-k report); ``None`` keeps all ranks.
+    per-group rank, so a single pass serves every call. All ranks are kept unless ``top`` asks for
+    the first k per group (a top-k report).
     """
     tiered = df.withColumn("tier", follower_tier(F.col("followers_m"), threshold, boundary)).filter(
         F.col("tier").isNotNull()
@@ -225,7 +225,7 @@ def earnings_gap(
     Output per country: latest year, female and male amounts, gap = male - female, and the sign
     stated in words.
     """
-    adj = earnings.join(F.broadcast(cpi), on=country, how="left").withColumn(
+    adj = earnings.join(cpi, on=country, how="left").withColumn(
         "adjusted", F.round(F.col(amount) * F.col("cpi") / 100, 3)
     )
     if rates is not None:

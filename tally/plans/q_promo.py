@@ -47,10 +47,6 @@ def calendar_bounds(t):
 
 _PROMO_SQL = """
 bounds as (select min(cast(o_orderdate as date)) as s, cast(max(cast(o_orderdate as date)) + 90 as date) as e from orders),
-dimdate as (select cast(unnest(generate_series(s, e, interval 1 day)) as date) as date from bounds),
-ilv_month_start_dates as (
-  select distinct cast(date_trunc('month', date) as date) as start_of_month, last_day(date) as end_of_month, 1 as dummy
-  from dimdate),
 promo_raw as (
   select cast(o_orderkey as varchar) as name, 'NATION_' || cast(o_custkey % 25 as varchar) as warehouse,
          case when o_orderkey % 3 = 2 then 'Item Code' else 'Brand' end as apply_on,
@@ -64,35 +60,38 @@ promo_raw as (
          cast(o_orderkey % 20 as double) as discount_percentage,
          cast(o_orderkey % 11 as double) as discount_amount
   from orders),
-ilv_promo as (
-  select distinct warehouse, apply_on,
-    case when apply_on = 'Brand' and coalesce(er_category_to_apply_on, '') != '' then 'sub_cateogry' else apply_on end as apply_on_custom,
-    er_category_to_apply_on,
-    case when apply_on = 'Brand' then brand else '' end as promo_brand,
-    case when apply_on = 'Brand' and coalesce(er_category_to_apply_on, '') != '' then er_category_to_apply_on else '' end as promo_item_sub_category,
-    case when apply_on != 'Brand' then item_code else '' end as promo_item_code,
-    name, valid_from, valid_upto, discount_percentage, discount_amount, 1 as dummy
-  from promo_raw
-  where valid_upto >= (select s from bounds) or valid_upto is null),
-ilv_promo_final as (
-  select warehouse as promo_warehouse, apply_on, apply_on_custom, er_category_to_apply_on, promo_brand,
-         promo_item_sub_category, promo_item_code, A.start_of_month as month,
-    count(distinct case when A.start_of_month between last_day(B.valid_from - interval 1 day - interval 1 month) + 1 and B.valid_upto then B.name end) as schemes,
-    avg(case when A.start_of_month between last_day(B.valid_from - interval 1 day - interval 1 month) + 1 and B.valid_upto then B.discount_amount end) as avg_discount_amount,
-    avg(distinct case when A.start_of_month between last_day(B.valid_from - interval 1 day - interval 1 month) + 1 and B.valid_upto then B.discount_percentage end) as avg_discount_percentage,
-    max(case when A.start_of_month between last_day(B.valid_from - interval 1 day - interval 1 month) + 1 and B.valid_upto
-             then datediff('day', greatest(A.start_of_month, B.valid_from), least(A.end_of_month, B.valid_upto)) + 1 else 0 end) as days_of_promo
-  from ilv_month_start_dates A join ilv_promo B on A.dummy = B.dummy
-  group by A.start_of_month, warehouse, apply_on, apply_on_custom, er_category_to_apply_on, promo_brand, promo_item_sub_category, promo_item_code),
+scoped as (
+  -- one row per promotion and scope; n_scope: how many share the scope
+  select *, count(*) over (partition by promo_warehouse, apply_on, kind, category, promo_brand, promo_item_sub_category, promo_item_code) as n_scope
+  from (
+    select distinct warehouse as promo_warehouse, apply_on, er_category_to_apply_on as category, name, valid_from, valid_upto,
+      discount_percentage, discount_amount,
+      if(apply_on = 'Brand' and category <> '', 'sub_cateogry', apply_on) as kind,
+      if(apply_on = 'Brand', brand, '') as promo_brand,
+      if(apply_on = 'Brand' and category <> '', category, '') as promo_item_sub_category,
+      if(apply_on = 'Brand', '', item_code) as promo_item_code
+    from promo_raw, bounds where valid_upto is null or valid_upto >= s)),
+running as (
+  -- the months of the calendar in which a promotion is active: from the month of the day before it starts
+  -- (one month is taken off and put on again, which shortens the last days of long months)
+  select *, cast(unnest(generate_series(
+      greatest(date_trunc('month', valid_from - interval 1 day - interval 1 month) + interval 1 month, date_trunc('month', s)),
+      least(cast(valid_upto as timestamp), date_trunc('month', e)), interval 1 month)) as date) as month
+  from scoped, bounds where valid_upto is not null),
+monthly as (
+  select month, promo_warehouse, apply_on, kind, category, promo_brand, promo_item_sub_category, promo_item_code,
+    count(distinct name) as schemes, avg(discount_amount) as amount, avg(distinct discount_percentage) as percentage,
+    max(date_diff('day', greatest(month, valid_from), least(last_day(month), valid_upto)) + 1) as longest,
+    -- a promotion of the scope that is not active this month counts as zero days
+    if(count(*) < any_value(n_scope), greatest(longest, 0), longest) as days
+  from running group by all),
 promo_months as (
-  select month, pf.promo_warehouse, apply_on_custom as apply_on, promo_brand, promo_item_sub_category, di.item_linkage,
-         avg(schemes) as schemes, avg(avg_discount_amount) as avg_discount_amount,
-         avg(avg_discount_percentage) as avg_discount_percentage, cast(max(days_of_promo) as integer) as max_days_of_promo,
-         avg(days_of_promo) as avg_days_of_promo
-  from ilv_promo_final pf
-  left join (select cast(p_partkey as varchar) as item_code, p_name as item_linkage from part) di on pf.promo_item_code = di.item_code
-  where days_of_promo != 0
-  group by promo_warehouse, apply_on, apply_on_custom, er_category_to_apply_on, promo_brand, promo_item_sub_category, di.item_linkage, month)"""
+  select month, promo_warehouse, kind as apply_on, promo_brand, promo_item_sub_category, p_name as item_linkage,
+    avg(schemes) as schemes, avg(amount) as avg_discount_amount, avg(percentage) as avg_discount_percentage,
+    cast(max(days) as integer) as max_days_of_promo, avg(days) as avg_days_of_promo
+  from monthly left join part on cast(p_partkey as varchar) = promo_item_code
+  where days <> 0
+  group by month, promo_warehouse, apply_on, kind, category, promo_brand, promo_item_sub_category, p_name)"""
 
 
 def promo_months_frame(t):
@@ -165,60 +164,37 @@ def seasonality_frame(t):
 
 
 def _seasonality_sql(sales_sql: str | None = None):
-    """Reference-form seasonality SQL; ``sales_sql`` (columns state, crc, item_sub_category,
+    """Statuses from lists of twelve months; ``sales_sql`` (columns state, crc, item_sub_category,
     er_variant, date, amount) replaces the default lineitem sales."""
-    sums = ",\n    ".join(
-        f"cast(sum(case when month(date) = {i} then cast(amount as decimal(38,2)) else 0 end) as double) as {m}_sales"
-        for i, m in enumerate(season.MONTHS, start=1)
-    )
-    seen = ",\n    ".join(
-        f"count(distinct case when d.date >= g.introduction_date and month(d.date) = {i} then cast(month(d.date) as varchar) || cast(year(d.date) as varchar) end) as {m}_seen"
-        for i, m in enumerate(season.MONTHS, start=1)
-    )
-    adj = ",\n    ".join(
-        f"case when month(introduction_date) = {i} then {m}_sales + (day(introduction_date) - 1) * {m}_sales / {d} * {m}_seen else {m}_sales end as adjusted_{m}_sales"
-        for i, (m, d) in enumerate(zip(season.MONTHS, season.MONTH_DAYS), start=1)
-    )
-    avg = ",\n    ".join(f"case when {m}_seen = 0 then 0 else adjusted_{m}_sales / {m}_seen end as {m}_average" for m in season.MONTHS)
-    ratio = ",\n    ".join(
-        f"case when monthly_average = 0 then 0 else {m}_average / monthly_average end as {m}_seasonality_ratio" for m in season.MONTHS
-    )
-    status = ",\n    ".join(
-        f"case when {m}_seen = 0 then null when {m}_seasonality_ratio < 1 - 0.5 then 'Out of Season' "
-        f"when {m}_seasonality_ratio > 1 + 0.5 then 'In Season' else 'Normal' end as {m}_seasonality_status"
-        for m in season.MONTHS
-    )
-    statuses = ", ".join(f"{m}_seasonality_status" for m in season.MONTHS)
+    keys = "state, crc, item_sub_category, er_variant"
+    sold = ", ".join(f"coalesce(sum(amount) filter (where month(date) = {i}), 0)::double" for i in range(1, 13))
+    days = ", ".join(map(str, season.MONTH_DAYS))
+    out = ", ".join(f"status[{i}] as {m}_seasonality_status" for i, m in enumerate(season.MONTHS, start=1))
     default_sales = """
-  select n.n_regionkey as state, s.s_nationkey as crc, p.p_type as item_sub_category, p.p_brand as er_variant,
-         cast(l.l_shipdate as date) as date, l.l_extendedprice as amount
-  from lineitem l join part p on l.l_partkey = p.p_partkey join supplier s on l.l_suppkey = s.s_suppkey
-  join nation n on s.s_nationkey = n.n_nationkey
-  where l.l_linestatus = 'F'"""
+  select n_regionkey as state, s_nationkey as crc, p_type as item_sub_category, p_brand as er_variant,
+         cast(l_shipdate as date) as date, l_extendedprice as amount
+  from lineitem join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
+  where l_linestatus = 'F'"""
     return f"""
-ilv_sales as (
-  select * from ({sales_sql or default_sales}) x
-  where date between date '{AS_OF}' - interval 730 day and date '{AS_OF}'),
-ilv_grp1 as (
-  select state, crc, item_sub_category, er_variant,
-    cast(sum(cast(amount as decimal(38,2))) as double) as total_sales,
-    {sums},
-    min(date) as introduction_date
-  from ilv_sales group by state, crc, item_sub_category, er_variant),
-season_days as (select cast(unnest(generate_series(date '1990-01-01', date '{AS_OF}', interval 1 day)) as date) as date),
-ilv_grp2 as (
-  select g.*,
-    count(distinct case when d.date >= g.introduction_date then cast(month(d.date) as varchar) || cast(year(d.date) as varchar) end) as months_seen,
-    {seen}
-  from ilv_grp1 g cross join season_days d
-  where d.date > (select min(introduction_date) from ilv_grp1) and d.date <= date '{AS_OF}'
-  group by all),
-ilv_der1 as (select *, {adj},
-    case when months_seen = 0 then 0 else total_sales / months_seen end as monthly_average from ilv_grp2),
-ilv_der2 as (select *, {avg} from ilv_der1),
-ilv_der3 as (select *, {ratio} from ilv_der2),
-ilv_final as (select *, {status} from ilv_der3),
-seasonality as (select state, crc, item_sub_category, er_variant, {statuses} from ilv_final)"""
+sold as (
+  select {keys}, sum(amount)::double as total, [{sold}] as by_month, min(date) as introduced
+  from (select {keys}, date, amount::decimal(38, 2) as amount from ({sales_sql or default_sales}) x)
+  where date between date '{AS_OF}' - interval 730 day and date '{AS_OF}' group by all),
+opened as (select *, greatest(introduced, (select min(introduced) from sold) + 1) as first_day from sold),
+spans as (
+  select *, if(first_day > date '{AS_OF}', [], generate_series(date_trunc('month', first_day), date '{AS_OF}', interval 1 month)) as months
+  from opened),
+usual as (
+  select *, if(len(months) = 0, 0, total / len(months)) as monthly,
+    list_transform(range(1, 13), lambda m: len(list_filter(months, lambda d: month(d) = m))) as seen,
+    list_transform(range(1, 13), lambda m: by_month[m] + if(month(introduced) = m, (day(introduced) - 1) * by_month[m] / [{days}][m] * seen[m], 0)) as scaled
+  from spans),
+rated as (
+  select {keys}, seen, list_transform(range(1, 13), lambda m: if(monthly = 0 or seen[m] = 0, 0, scaled[m] / seen[m] / monthly)) as ratio from usual),
+seasonality as (
+  select {keys}, {out} from (
+    select {keys}, list_transform(range(1, 13), lambda m: case when seen[m] = 0 then null when ratio[m] < 0.5 then 'Out of Season'
+      when ratio[m] > 1.5 then 'In Season' else 'Normal' end) as status from rated))"""
 
 
 @query("seasonality_status", f"with {_seasonality_sql()} select * from seasonality")

@@ -114,20 +114,20 @@ ranked as (
                                order by rate desc nulls last, c_custkey) as rank
   from tiered where tier is not null
 )
-select platform, country, category, tier, cast(rank as integer) as rank, c_custkey, followers_m, rate from ranked where rank <= 10
+select platform, country, category, tier, cast(rank as integer) as rank, c_custkey, followers_m, rate from ranked
 """,
 )
 def influencer_shortlist(t):
-    """B21 + O2: best 10 per (country, category, tier) on both platforms: Instagram by engagement
+    """B21 + O2: every influencer per (country, category, tier), ranked, on both platforms: Instagram by engagement
     rate with mini/mega at 60 M (exactly 60 M is neither), YouTube by its rate with <= 30 M mini."""
     e = _engagement(t)
     insta = seg.influencer_shortlist(
         e.withColumn("rate", F.col("engagement_rate")), "country", "category", "rate", "c_custkey",
-        threshold=seg.INSTAGRAM_THRESHOLD_M, boundary="neither", top=10,
+        threshold=seg.INSTAGRAM_THRESHOLD_M, boundary="neither",
     ).withColumn("platform", F.lit("instagram"))
     yt = seg.influencer_shortlist(
         e.withColumn("rate", F.col("youtube_rate")), "country", "category", "rate", "c_custkey",
-        threshold=seg.YOUTUBE_THRESHOLD_M, boundary="mini", top=10,
+        threshold=seg.YOUTUBE_THRESHOLD_M, boundary="mini",
     ).withColumn("platform", F.lit("youtube"))
     cols = ["platform", "country", "category", "tier", "rank", "c_custkey", "followers_m", "rate"]
     return insta.select(*cols).unionByName(yt.select(*cols))

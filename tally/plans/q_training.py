@@ -99,7 +99,7 @@ def _training_sql():
     return f"""with {q_promo._PROMO_SQL}, {q_dims._WAREHOUSE_SQL.strip()}, {q_promo._FEATS_SQL}, {q_dims._ITEMS_SQL.strip()},
 loc_wh as (
   select name as s_name, state, replenishment_center, city || '~' || global_id || '~' || replenishment_center as location
-  from ilv_warehouse_with_profile),
+  from served),
 sales as (
   select l.l_partkey, l.l_quantity, l.l_extendedprice, l.l_shipdate, l.l_linestatus, w.state, w.replenishment_center,
          w.location, i.item_linkage, i.brand, i.item_sub_category, i.item_classification

@@ -79,21 +79,29 @@ def read_csv_tolerant(
 
     Lines with *more* fields than the schema are dropped; short lines are kept and padded with
     nulls; a value that does not parse becomes null (``try_cast``) instead of dropping the line.
-    Every column is read as text first, with one extra column that catches surplus fields.
+    Every column is read as text first. Spark's reader marks a line as corrupt if its number of fields
+    differs from the schema's; a marked line stays only if it has fewer, which a second parse of the
+    line with room for one field more tells (quoted separators do not count as fields).
     """
     names = [f.name for f in schema.fields]
     text_schema = T.StructType(
         [T.StructField(n, T.StringType(), True) for n in names]
-        + [T.StructField("_surplus", T.StringType(), True)]
+        + [T.StructField("_line", T.StringType(), True)]
     )
     raw = (
         spark.read.schema(text_schema)
         .option("header", header)
         .option("sep", sep)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_line")
         .csv(path)
     )
-    kept = raw.filter(F.col("_surplus").isNull())
+    # a line with as many fields as names, once a mark is put behind it, is short
+    wider = T.StructType([T.StructField(f"_f{i}", T.StringType(), True) for i in range(len(names) + 1)])
+    mark = "\x01"
+    fields = F.from_csv(F.concat("_line", F.lit(sep + mark)), wider.simpleString()[7:-1].replace(":", " "), {"sep": sep, "mode": "PERMISSIVE"})
+    marked = F.exists(F.array(*(fields[f"_f{i}"] for i in range(len(names) + 1))), lambda v: F.coalesce(v == mark, F.lit(False)))
+    kept = raw.filter(F.col("_line").isNull() | marked)
     return kept.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
