@@ -22,9 +22,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 10_000
-# Groups up to this many values are sorted in one aggregation buffer (a bounded, checked size);
-# larger groups take the bracketed two-pass path.
-SMALL_GROUP_LIMIT = 1_000_000
 
 
 def _as_list(by) -> list[str]:
@@ -43,7 +40,6 @@ def quantiles(
     accuracy: int = DEFAULT_ACCURACY,
     exact: bool = True,
     broadcast_brackets: bool | None = None,
-    small_group_limit: int | None = SMALL_GROUP_LIMIT,
 ) -> DataFrame:
     """Quantiles of ``value`` per group, long form: ``*by, p_index, p, q``.
 
@@ -70,13 +66,6 @@ def quantiles(
             ),
         )
 
-    if small_group_limit:
-        # one small job reads the largest group size; it decides the plan, not the answer
-        sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if keys else base.agg(F.count(F.lit(1)).alias("_n"))
-        largest = sizes.agg(F.max("_n")).first()[0] or 0
-        if largest <= small_group_limit:
-            return _quantiles_sorted(base, keys, probs)
-
     delta = 3.0 / accuracy
     bracket_probs: list[float] = []
     for p in probs:
@@ -138,22 +127,14 @@ def quantiles(
     picked = cand.groupBy(*keys, "p_index", "p", "_h", "_r0", "_r1").agg(
         F.min(F.when(F.col("_cv").isNotNull() & (F.col("_cum") > F.col("_r0")), F.col("_cv"))).alias("_x0"),
         F.min(F.when(F.col("_cv").isNotNull() & (F.col("_cum") > F.col("_r1")), F.col("_cv"))).alias("_x1"),
+        F.max(F.when(F.col("_cv").isNull(), F.col("_cum"))).alias("_below"),
+        F.max("_cum").alias("_upto"),
     )
+    outside = (F.coalesce(F.col("_below"), F.lit(0)) > F.col("_r0")) | (F.col("_upto") <= F.col("_r1"))
     q = F.col("_x0") + (F.col("_h") - F.col("_r0")) * (F.col("_x1") - F.col("_x0"))
-    return picked.select(*keys, "p_index", "p", q.alias("q"))
-
-
-def _quantiles_sorted(base: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
-    """Exact order statistics of groups known to hold at most ``SMALL_GROUP_LIMIT`` values."""
-    g = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sort_array(F.collect_list("_v")).alias("_s"))
-    structs = [F.struct(F.lit(i).alias("p_index"), F.lit(p).alias("p")) for i, p in enumerate(probs)]
-    x = g.select(*keys, "_n", "_s", F.inline(F.array(*structs)))
-    h = (F.col("_n") - 1).cast("double") * F.col("p")
-    x = x.withColumn("_h", h).withColumn("_r0", F.floor("_h")).withColumn("_r1", F.least(F.col("_r0") + 1, F.col("_n") - 1))
-    x0 = F.element_at("_s", (F.col("_r0") + 1).cast("int"))
-    x1 = F.element_at("_s", (F.col("_r1") + 1).cast("int"))
-    q = x0 + (F.col("_h") - F.col("_r0")) * (x1 - x0)
-    return x.select(*keys, "p_index", "p", q.alias("q"))
+    # never a silent neighbour: if the sketch's bound did not hold, say so
+    checked = F.when(outside, F.raise_error(F.lit("a wanted rank lies outside its bracket: raise accuracy")).cast("double")).otherwise(q)
+    return picked.select(*keys, "p_index", "p", checked.alias("q"))
 
 
 def quantiles_wide(

@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def standard_scale(df: DataFrame, columns: Sequence[str], suffix: str = "_scaled") -> DataFrame:
+def standard_scale(df: DataFrame, columns: Sequence[str], suffix: str = "_scaled", fit_on: DataFrame | None = None) -> DataFrame:
     """M1: ``(x - mean) / std_pop`` (scikit-learn's scaler; ``ml.StandardScaler`` uses the sample
-    std). The per-column statistics are one aggregate row used as a scalar subquery."""
+    std). The per-column statistics are one aggregate row used as a scalar subquery; ``fit_on`` gives
+    the rows they are taken from (the training rows), else all of ``df``."""
     cols = list(columns)
-    st = df.agg(
+    st = (df if fit_on is None else fit_on).agg(
         F.struct(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)], *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)])
     ).scalar()
     return df.withColumns(
@@ -173,6 +174,7 @@ def clf_grid(
     test: DataFrame,
     features: Sequence[str],
     label: str,
+    key: str,
     depths: Sequence[int] = (3, 5, 7),
     min_leaf: Sequence[int] = (1, 5),
     folds: int = 10,
@@ -180,7 +182,8 @@ def clf_grid(
     seed: int = 42,
 ) -> DataFrame:
     """Grid search with k-fold cross-validation on a decision tree (``min_samples_leaf`` ->
-    ``minInstancesPerNode``); predictions of the best model on the test rows."""
+    ``minInstancesPerNode``); predictions of the best model on the test rows. Folds come from the hash of ``key``, so they do not
+    depend on partitioning."""
     from pyspark.ml.classification import DecisionTreeClassifier
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -194,5 +197,7 @@ def clf_grid(
         numFolds=folds,
         parallelism=parallelism,
         seed=seed,
+        foldCol="_fold",
     )
-    return _fit_predict(cv, train, test, features, label)
+    fold = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(folds)).cast("int")
+    return _fit_predict(cv, train.withColumn("_fold", fold), test, features, label)

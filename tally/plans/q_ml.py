@@ -139,7 +139,8 @@ def clf_forest(t):
 @query("clf_logistic", None)
 def clf_logistic(t):
     """M9: L2 logistic regression (C = 1) on scaled features; test-split predictions."""
-    f = ml.standard_scale(order_features(t), FEATURES)
+    raw = order_features(t)
+    f = ml.standard_scale(raw, FEATURES, fit_on=raw.filter("is_train"))
     scaled = [f"{c}_scaled" for c in FEATURES]
     return _preds(ml.clf_logistic(f.filter("is_train"), f.filter(~F.col("is_train")), scaled, "label"))
 
@@ -148,7 +149,7 @@ def clf_logistic(t):
 def clf_grid(t):
     """10-fold grid search over tree depth and leaf size; best model's test predictions."""
     tr, te = _split(t)
-    return _preds(ml.clf_grid(tr, te, FEATURES, "label", depths=(3, 5), min_leaf=(1, 5), folds=10))
+    return _preds(ml.clf_grid(tr, te, FEATURES, "label", "o_orderkey", depths=(3, 5), min_leaf=(1, 5), folds=10))
 
 
 # ---- metrics on a SQL-exact score ------------------------------------------------------------
@@ -220,8 +221,8 @@ def _stop_sql():
     return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in tx.stop_words()) + "]"
 
 
-def en_docs(t):
-    return t.documents.filter(F.col("lang") == "en").select("doc_id", "text")
+def texts(t):
+    return t.documents.select("doc_id", "text")
 
 
 @query(
@@ -229,17 +230,17 @@ def en_docs(t):
     f"""with toks as (
   select doc_id, list_filter(string_split_regex(trim(lower(regexp_replace(text, '[^a-zA-Z]', ' ', 'g'))), '\\s+'),
                              lambda w: length(w) >= 1 and not list_contains({_stop_sql()}, w)) as toks
-  from documents where lang = 'en')
+  from documents)
 select doc_id, array_to_string(toks, ' ') as clean_text, cast(len(toks) as integer) as n_tokens from toks""",
 )
 def text_clean(t):
     """X13 + X14: letters only, lower case, stop words removed, whole texts."""
-    d = en_docs(t).withColumn("_t", tx.clean_tokens("text", tx.stop_words()))
+    d = texts(t).withColumn("_t", tx.clean_tokens("text", tx.stop_words()))
     return d.select("doc_id", F.array_join("_t", " ").alias("clean_text"), F.size("_t").alias("n_tokens"))
 
 
 def _doc_tokens(t):
-    return tx.tokens_long(en_docs(t), "doc_id", "text", tx.stop_words())
+    return tx.tokens_long(texts(t), "doc_id", "text", tx.stop_words())
 
 
 def stemmed_counts(t):
@@ -251,7 +252,7 @@ def _tokens_sql():
 toks as (
   select doc_id, token from (
     select doc_id, unnest(string_split_regex(trim(lower(regexp_replace(text, '[^a-zA-Z]', ' ', 'g'))), '\\s+')) as token
-    from documents where lang = 'en')
+    from documents)
   where length(token) >= 1 and token not in ({_stop_sql()[1:-1]})),
 {porter_sql('toks').strip()},
 per_doc as (
@@ -264,7 +265,7 @@ vocab as (
 
 @query("text_stem_vocab", f"with {_tokens_sql()} select token, stem from stems")
 def text_stem_vocab(t):
-    """Porter stem of every distinct token of the English documents."""
+    """Porter stem of every distinct token of the documents."""
     toks = _doc_tokens(t).groupBy("token").agg(F.count(F.lit(1)).alias("_c"))
     return tx.stem_vocabulary(toks)
 

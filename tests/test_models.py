@@ -38,7 +38,7 @@ def test_classifiers_beat_or_match_majority(spark):
         lambda: ml.clf_tree(tr, te, ["x1", "x2"], "y"),
         lambda: ml.clf_forest(tr, te, ["x1", "x2"], "y", num_trees=20),
         lambda: ml.clf_logistic(tr, te, ["x1", "x2"], "y"),
-        lambda: ml.clf_grid(tr, te, ["x1", "x2"], "y", depths=(2, 4), min_leaf=(1,), folds=3),
+        lambda: ml.clf_grid(tr, te, ["x1", "x2"], "y", "k", depths=(2, 4), min_leaf=(1,), folds=3),
     ):
         p = fit().select("label", "prediction").toPandas()
         acc = (p.label == p.prediction).mean()

@@ -13,13 +13,13 @@ def test_exact_quantiles_bracket_path(spark):
     pdf.loc[pdf.g == 1, "x"] = 42.0  # a group that is one repeated value
     df = spark.createDataFrame(pdf)
     probs = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
-    got = quantiles(df, "x", probs, by="g", accuracy=200, small_group_limit=None).toPandas()
+    got = quantiles(df, "x", probs, by="g", accuracy=200).toPandas()
     for (g, p), q in got.set_index(["g", "p"])["q"].items():
         assert abs(q - pdf[pdf.g == g].x.quantile(p)) < 1e-9
-    got = quantiles(df, "x", probs, accuracy=200, small_group_limit=None).toPandas()
+    got = quantiles(df, "x", probs, accuracy=200).toPandas()
     for p, q in got.set_index("p")["q"].items():
         assert abs(q - pdf.x.quantile(p)) < 1e-9
-    # the sorted small-group path gives the same numbers
+    # so does a bracket that is a whole group
     got = quantiles(df, "x", probs, by="g").toPandas()
     for (g, p), q in got.set_index(["g", "p"])["q"].items():
         assert abs(q - pdf[pdf.g == g].x.quantile(p)) < 1e-9
@@ -71,8 +71,8 @@ def test_quantiles_property(spark):
     def check(values, parts, probs):
         pdf = pd.DataFrame({"x": [float(v) for v in values]})
         df = spark.createDataFrame(pdf).repartition(parts)
-        for limit in (None, 10**6):
-            got = quantiles(df, "x", probs, accuracy=50, small_group_limit=limit).toPandas().set_index("p_index")["q"]
+        for accuracy in (50, 10_000):
+            got = quantiles(df, "x", probs, accuracy=accuracy).toPandas().set_index("p_index")["q"]
             for i, p in enumerate(probs):
                 assert abs(got[i] - np.quantile(pdf.x.to_numpy(), p)) < 1e-9
 
