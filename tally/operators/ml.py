@@ -87,8 +87,8 @@ def kmeans_elbow(df: DataFrame, features: Sequence[str], ks: Sequence[int] = ran
 
 
 def _total_ss(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Total sum of squares around the mean: sum(x^2) - n mean^2 per feature, summed."""
-    parts = [F.sum(F.col(c) * F.col(c)) - F.count(F.col(c)) * F.avg(c) * F.avg(c) for c in features]
+    """Total sum of squares around the mean, summed over the features."""
+    parts = [F.var_pop(c) * F.count(F.col(c)) for c in features]
     expr = parts[0]
     for p in parts[1:]:
         expr = expr + p
@@ -113,7 +113,7 @@ def bisecting_segments(df: DataFrame, features: Sequence[str], k: int = 4, seed:
     blocked: set[int] = set()
     new_id = 1
     while new_id < k:
-        sse = [F.sum(F.col(c) * F.col(c)) - F.count(F.col(c)) * F.avg(c) * F.avg(c) for c in cols]
+        sse = [F.var_pop(c) * F.count(F.col(c)) for c in cols]
         total = sse[0]
         for e in sse[1:]:
             total = total + e

@@ -100,24 +100,14 @@ def seasonality_status(
     return out.select(*keys, *extra, *cols.keys())
 
 
-VOCAB_MAP_LIMIT = 100_000
-
-
-def label_encode(
-    df: DataFrame,
-    columns: Sequence[str],
-    suffix: str = "_cat",
-    materialize: bool = True,
-    map_limit: int = VOCAB_MAP_LIMIT,
-) -> DataFrame:
+def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_cat", materialize: bool = True) -> DataFrame:
     """Code of each value in the sorted distinct values of its column (0-based); null gets
     the code after the last value (as ``StringIndexer(alphabetAsc, keep)`` would).
 
     The vocabulary (distinct values of the encoded columns) is ranked in a long ``(column, value)``
-    table. One small job counts it: up to ``map_limit`` entries it travels as one map in a scalar
-    subquery and each column is coded by a lookup in the same projection; beyond that each column
-    joins its ranked codes (a shuffle join, nothing gathered in one row). The input is
-    checkpointed first so the vocabulary job and the coding pass read it once.
+    table, which is written once; each column joins its codes from there. Spark knows the written
+    table's size, so a small vocabulary is broadcast and a large one is shuffled. The input is
+    materialised first so the vocabulary job and the coding pass read it once.
     """
     cols = list(columns)
     if materialize:
@@ -125,28 +115,12 @@ def label_encode(
     parts = ", ".join(f"'{c}', cast(`{c}` as string)" for c in cols)
     long = df.selectExpr(f"stack({len(cols)}, {parts}) as (_col, _val)").filter(F.col("_val").isNotNull()).distinct()
     w = Window.partitionBy("_col").orderBy("_val")
-    codes = long.withColumn("_code", (F.row_number().over(w) - 1).cast("int"))
+    codes = cut_lineage(long.withColumn("_code", (F.row_number().over(w) - 1).cast("int")))
     sizes = codes.groupBy("_col").agg(F.count(F.lit(1)).cast("int").alias("_n"))
-    if codes.count() > map_limit:
-        codes = cut_lineage(codes)
-        out = df
-        for c in cols:
-            cc = codes.filter(F.col("_col") == c).select(F.col("_val").alias(f"_v_{c}"), F.col("_code").alias(f"_k_{c}"))
-            n_c = sizes.filter(F.col("_col") == c).select("_n").scalar()
-            out = out.join(cc, F.col(c).cast("string") == F.col(f"_v_{c}"), "left").withColumn(
-                f"{c}{suffix}", F.coalesce(F.col(f"_k_{c}"), F.coalesce(n_c, F.lit(0)))
-            ).drop(f"_v_{c}", f"_k_{c}")
-        return out
-    vocab = codes.agg(
-        F.map_from_entries(F.collect_list(F.struct(F.concat_ws("\u0001", "_col", "_val"), "_code"))).alias("codes")
-    )
-    vocab_map = vocab.select("codes").scalar()
-    size_map = sizes.agg(F.map_from_entries(F.collect_list(F.struct("_col", "_n")))).scalar()
-    coded = {
-        f"{c}{suffix}": F.coalesce(
-            F.element_at(vocab_map, F.concat_ws("\u0001", F.lit(c), F.col(c).cast("string"))),
-            F.coalesce(F.element_at(size_map, F.lit(c)), F.lit(0)),
-        )
-        for c in cols
-    }
-    return df.withColumns(coded)
+    size_map = sizes.agg(F.map_from_entries(F.collect_list(F.struct("_col", "_n")))).scalar()  # one entry per column
+    out = df
+    for c in cols:
+        own = codes.filter(F.col("_col") == c).select(F.col("_val").alias(f"_v_{c}"), F.col("_code").alias(f"_k_{c}"))
+        out = out.join(own, F.col(c).cast("string") == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
+    coded = {f"{c}{suffix}": F.coalesce(F.col(f"_k_{c}"), F.element_at(size_map, F.lit(c)), F.lit(0)) for c in cols}
+    return out.withColumns(coded).drop(*(f"_k_{c}" for c in cols))
