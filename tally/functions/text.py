@@ -1,7 +1,7 @@
 """Text features (X13, X14, M11, M12): cleaning, stop words, Porter stems, bag of words.
 
-Cleaning and counting are Spark expressions over whole texts. Only stemming runs in Python, and
-only once per *distinct* token (``mapInPandas`` over the vocabulary), joined back afterwards.
+Cleaning and counting are Spark expressions over whole texts. Only stemming (a pandas UDF over counted tokens, each
+distinct token of a batch once) and building ML vectors (once per document) run in Python.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import zipfile
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 
 @functools.lru_cache(maxsize=None)
@@ -55,13 +56,14 @@ def tokens_long(df: DataFrame, doc_col: str, text_col: str, stop: tuple[str, ...
     return out
 
 
-# ---- Porter (1980) stemmer --------------------------------------------------------------------
-# Fixed values from the published algorithm: suffix rules of steps 2, 3 and 4 in the paper's order.
+# ---- Porter stemmer with the extensions of common toolkits -------------------------------------
+# Fixed values from the published algorithm and its extensions: suffix rules of steps 2, 3 and 4, irregular forms.
 _STEP2 = (
     ("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"),
-    ("abli", "able"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"),
+    ("bli", "ble"), ("alli", "al"), ("entli", "ent"), ("eli", "e"), ("ousli", "ous"),
     ("ization", "ize"), ("ation", "ate"), ("ator", "ate"), ("alism", "al"), ("iveness", "ive"),
     ("fulness", "ful"), ("ousness", "ous"), ("aliti", "al"), ("iviti", "ive"), ("biliti", "ble"),
+    ("fulli", "ful"), ("logi", "log"),
 )
 _STEP3 = (
     ("icate", "ic"), ("ative", ""), ("alize", "al"), ("iciti", "ic"), ("ical", "ic"), ("ful", ""), ("ness", ""),
@@ -70,6 +72,12 @@ _STEP4 = (
     "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent",
     "ion", "ou", "ism", "ate", "iti", "ous", "ive", "ize",
 )
+_IRREGULAR = {
+    "sky": "sky", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "news": "news",
+    "innings": "inning", "inning": "inning", "outings": "outing", "outing": "outing",
+    "cannings": "canning", "canning": "canning", "howe": "howe",
+    "proceed": "proceed", "exceed": "exceed", "succeed": "succeed",
+}
 
 
 def _is_cons(w: str, i: int) -> bool:
@@ -107,28 +115,37 @@ def _double_cons(w: str) -> bool:
 
 def _cvc(w: str) -> bool:
     n = len(w)
+    if n == 2:
+        return not _is_cons(w, 0) and _is_cons(w, 1)
     return (
         n >= 3 and _is_cons(w, n - 3) and not _is_cons(w, n - 2) and _is_cons(w, n - 1) and w[-1] not in "wxy"
     )
 
 
 def porter_stem(word: str) -> str:
-    """Porter's 1980 suffix-stripping algorithm (steps 1a-5b); words of up to 2 letters are kept."""
+    """Porter's suffix stripping (steps 1a-5b) in the extended variant: irregular forms come from a list, ``ies`` and
+    ``ied`` of four-letter words keep ``ie`` (dies -> die), ``y`` turns into ``i`` only after a consonant that is not
+    the first letter (enjoy stays), ``bli``, ``fulli``, ``logi`` are suffixes of step 2, and a stripped ``alli`` goes
+    through step 2 again. Words of up to 2 letters are kept."""
     w = word
+    if w in _IRREGULAR:
+        return _IRREGULAR[w]
     if len(w) <= 2:
         return w
     # step 1a
     if w.endswith("sses"):
         w = w[:-2]
     elif w.endswith("ies"):
-        w = w[:-2]
+        w = w[:-1] if len(w) == 4 else w[:-2]
     elif w.endswith("ss"):
         pass
     elif w.endswith("s"):
         w = w[:-1]
     # step 1b
     extra = False
-    if w.endswith("eed"):
+    if w.endswith("ied"):
+        w = w[:-1] if len(w) == 4 else w[:-2]
+    elif w.endswith("eed"):
         if _measure(w[:-3]) > 0:
             w = w[:-1]
     elif w.endswith("ed") and _has_vowel(w[:-2]):
@@ -143,12 +160,14 @@ def porter_stem(word: str) -> str:
         elif _measure(w) == 1 and _cvc(w):
             w += "e"
     # step 1c
-    if w.endswith("y") and _has_vowel(w[:-1]):
+    if w.endswith("y") and len(w) > 2 and _is_cons(w, len(w) - 2):
         w = w[:-1] + "i"
     # step 2
+    if w.endswith("alli") and _measure(w[:-4]) > 0:
+        w = w[:-2]
     for suf, rep in _STEP2:
         if w.endswith(suf):
-            if _measure(w[: -len(suf)]) > 0:
+            if _measure(w[:-3] if suf == "logi" else w[: -len(suf)]) > 0:
                 w = w[: -len(suf)] + rep
             break
     # step 3
@@ -176,33 +195,30 @@ def porter_stem(word: str) -> str:
     return w
 
 
-def stem_vocabulary(tokens: DataFrame, token_col: str = "token") -> DataFrame:
-    """``(token, stem)`` for every distinct token; Python runs once per distinct word."""
-    distinct = tokens.select(F.col(token_col).alias("token")).distinct()
-    # spread the Python work over every core (AQE would coalesce a small shuffle to few tasks)
-    distinct = distinct.repartition(max(2, tokens.sparkSession.sparkContext.defaultParallelism), "token")
+@pandas_udf("string")
+def stem(tokens: pd.Series) -> pd.Series:
+    """M12 as a column: each distinct token of an Arrow batch is stemmed once."""
+    return tokens.map({t: porter_stem(t) for t in tokens.dropna().unique()})
 
-    def stem_batches(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"token": pdf["token"], "stem": [porter_stem(t) for t in pdf["token"]]})
 
-    return distinct.mapInPandas(stem_batches, "token string, stem string")
+def stem_vocabulary(tokens: DataFrame, token_col: str = "token") -> DataFrame:
+    """``(token, stem)`` for every distinct token."""
+    distinct = tokens.select(F.col(token_col).alias("token")).filter(F.col("token").isNotNull()).distinct()
+    return distinct.select("token", stem("token").alias("stem"))
 
 
 def stemmed_counts(doc_tokens: DataFrame, doc_col: str, token_col: str = "token") -> DataFrame:
     """``(doc, term, tf)`` of Porter stems. Tokens are counted per document first (partial
-    aggregation before any shuffle); stems are attached to those counts, not to every token."""
+    aggregation before the shuffle); the counts are stemmed where they are, so a word of every document meets no join."""
     per_doc = doc_tokens.groupBy(doc_col, F.col(token_col).alias("token")).agg(F.count(F.lit(1)).alias("_c"))
-    stems = stem_vocabulary(per_doc, "token")
-    return per_doc.join(stems, "token").groupBy(doc_col, F.col("stem").alias("term")).agg(F.sum("_c").alias("tf"))
+    return per_doc.select(doc_col, stem("token").alias("term"), "_c").groupBy(doc_col, "term").agg(F.sum("_c").alias("tf"))
 
 
 def stem_corpus_counts(tokens: DataFrame, token_col: str = "token") -> DataFrame:
     """``(term, tf)`` corpus counts of Porter stems: tokens are counted first (map-side partial
     aggregation collapses repeats), then each distinct token is stemmed once."""
     per_token = tokens.groupBy(F.col(token_col).alias("token")).agg(F.count(F.lit(1)).alias("_c"))
-    stems = stem_vocabulary(per_token, "token")
-    return per_token.join(stems, "token").groupBy(F.col("stem").alias("term")).agg(F.sum("_c").alias("tf"))
+    return per_token.select(stem("token").alias("term"), "_c").groupBy("term").agg(F.sum("_c").alias("tf"))
 
 
 def bow_vocabulary_from_counts(counts: DataFrame, max_features: int = 1500) -> DataFrame:
@@ -221,14 +237,21 @@ def bow_counts(counts: DataFrame, vocab: DataFrame, doc_col: str) -> DataFrame:
     return counts.join(v, "term").select(doc_col, "term_index", F.col("tf").cast("bigint").alias("tf"))
 
 
-def bow_vectors(counts: DataFrame, doc_col: str, size: int) -> DataFrame:
-    """Sparse ML vectors (for pyspark.ml models) from the long counts."""
-    from pyspark.ml.functions import array_to_vector  # noqa: F401  (imported for availability)
+def bow_vectors(counts: DataFrame, doc_col: str, size: int, out: str = "features") -> DataFrame:
+    """One sparse ML vector of ``size`` terms per document from the long counts ``(doc, term_index, tf)``; a row holds at
+    most ``size`` entries. Documents without any counted term are not in ``counts``: see ``with_bow_vectors``."""
+    entries = F.map_from_entries(F.collect_list(F.struct("term_index", F.col("tf").cast("double"))))
+    return counts.groupBy(doc_col).agg(entries.alias("_e")).select(doc_col, _to_vector(size)("_e").alias(out))
 
-    grouped = counts.groupBy(doc_col).agg(F.array_sort(F.collect_list(F.struct("term_index", "tf"))).alias("_e"))
-    return grouped.select(
-        doc_col,
-        F.transform("_e", lambda e: e["term_index"]).alias("indices"),
-        F.transform("_e", lambda e: e["tf"].cast("double")).alias("values"),
-        F.lit(size).alias("size"),
-    )
+
+def _to_vector(size: int):
+    from pyspark.ml.linalg import SparseVector, VectorUDT
+
+    # pyspark.ml builds sparse vectors from Python only; one call per document, not per token
+    return F.udf(lambda e: SparseVector(size, e or {}), VectorUDT())
+
+
+def with_bow_vectors(df: DataFrame, vectors: DataFrame, doc_col: str, size: int, out: str = "features") -> DataFrame:
+    """``df`` with its documents' vectors; a document without counted terms gets the zero vector."""
+    empty = _to_vector(size)(F.lit(None).cast("map<int,double>"))
+    return df.join(vectors, doc_col, "left").withColumn(out, F.coalesce(F.col(out), empty))

@@ -72,9 +72,15 @@ def duplicate_groups(df: DataFrame, columns: Sequence[str], id_col: str | None =
 
 
 def drop_ambiguous_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Drop *every* row whose key occurs more than once (not all but one, Q1)."""
-    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") > 1).select(*keys)
-    return df.join(dup, on=list(keys), how="left_anti")
+    """Drop *every* row whose key occurs more than once (not all but one, Q1).
+
+    One aggregation by key: a key seen once gives its only row back, and copies of a frequent key collapse before
+    the shuffle. Null keys are equal to each other."""
+    keys = list(keys)
+    rest = [c for c in df.columns if c not in keys]
+    one = F.first(F.struct(*rest)).alias("_row") if rest else F.lit(0).alias("_row")
+    per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_k"), one).filter(F.col("_k") == 1)
+    return per.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def fill_nulls(df: DataFrame, values: Mapping[str, object]) -> DataFrame:

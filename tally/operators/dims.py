@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from tally.functions import scalar as X
 from tally.operators.clean import first_per_key
 
-# Fixed values that must equal the reference: warehouse name patterns excluded from the
-# hierarchy (matched case-insensitively; the reference's mixed-case literals never matched, Q7).
-WAREHOUSE_EXCLUDE = ("%dark%", "%r-urban%", "%-kirun%", "%homerun-%", "% urban %", "%cac%", "% - d")
-MAIN_EXCLUDE = WAREHOUSE_EXCLUDE + ("%mdt4%",)
 WAREHOUSE_TYPES = ("Main", "Sector", "Transit")
 
 
@@ -35,16 +31,41 @@ def latest_value(df: DataFrame, keys: Sequence[str], value: str, newest: str, ti
     return df.groupBy(*keys).agg(F.min_by(F.col(value), order).alias(value))
 
 
-def warehouses_with_profile(warehouses: DataFrame, profiles: DataFrame) -> DataFrame:
+def planning_links(
+    items: DataFrame,
+    linkage: str,
+    code: str,
+    expiry: str,
+    as_of: Column,
+    item_type: str,
+    branded_type: str,
+    brand: str,
+    modified: str,
+) -> DataFrame:
+    """One planning row per ``coalesce(linkage, code)`` (empty counts as null): unexpired items only (no expiry, or
+    one on or after ``as_of``), the newest ``modified`` first and ties to the smallest code; ``brand`` is kept only
+    for items of ``branded_type``. Output ``planning_key, item_code, item_type, brand``."""
+    key = F.coalesce(F.nullif(F.col(linkage), F.lit("")), F.col(code))
+    live = items.filter(F.col(expiry).isNull() | (F.col(expiry) >= as_of)).withColumn("planning_key", key)
+    newest = first_per_key(live, ["planning_key"], [F.col(modified).desc_nulls_last(), F.col(code)])
+    return newest.select(
+        "planning_key",
+        F.col(code).alias("item_code"),
+        F.col(item_type).alias("item_type"),
+        F.when(F.col(item_type) == branded_type, F.col(brand)).alias("brand"),
+    )
+
+
+def warehouses_with_profile(warehouses: DataFrame, profiles: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """B6 first half: active, named warehouses of the three types with their replenishment
     centre. Sector warehouses take their physical warehouse's centre (J8: one profile table used
     under two keys); ``is_crc`` flags warehouses that are some warehouse's centre (J7: existence
-    as a left join to distinct keys)."""
+    as a left join to distinct keys). ``exclude``: LIKE patterns of names to leave out, whatever their case (Q7)."""
     prof = latest_value(profiles.filter(F.col("active") == 1), ["warehouse"], "replenishment_center", "modified")
     own = prof.select(F.col("warehouse").alias("name"), F.col("replenishment_center").alias("_rc_own"))
     sector = prof.select(F.col("warehouse").alias("physical_warehouse"), F.col("replenishment_center").alias("_rc_phys"))
     centres = prof.select(F.col("replenishment_center").alias("name")).distinct().withColumn("_is_centre", F.lit(1))
-    ok_name = X.exclude_names("name", WAREHOUSE_EXCLUDE)
+    ok_name = X.exclude_names("name", exclude) if exclude else F.lit(True)
     return (
         warehouses.filter(
             (F.col("active") == 1)
@@ -72,6 +93,8 @@ def warehouse_hierarchy(
     profiles: DataFrame,
     closure: DataFrame,
     include: str | None = None,
+    exclude: Sequence[str] = (),
+    main_exclude: Sequence[str] = (),
 ) -> DataFrame:
     """Warehouses with their replenishment centre, deduplicated, under their ancestors.
 
@@ -79,14 +102,12 @@ def warehouse_hierarchy(
     disabled, inactive, modified. ``profiles``: warehouse, replenishment_center, active, modified.
     ``closure``: ref_parent, ref_docname, ref_doctype (already materialised: no recursion).
     Main warehouses are kept latest per (city, global_id, centre) and placed under every ancestor.
+    ``exclude`` / ``main_exclude``: LIKE patterns of names left out everywhere / among the main ones.
     """
-    wh = warehouses_with_profile(warehouses, profiles)
-    mains = wh.filter(
-        (F.col("disabled") == 0)
-        & (F.col("inactive") == 0)
-        & X.exclude_names("name", MAIN_EXCLUDE)
-        & (F.lower("warehouse_type") == "main")
-    )
+    wh = warehouses_with_profile(warehouses, profiles, exclude)
+    mains = wh.filter((F.col("disabled") == 0) & (F.col("inactive") == 0) & (F.lower("warehouse_type") == "main"))
+    if main_exclude:
+        mains = mains.filter(X.exclude_names("name", main_exclude))
     if include:
         mains = mains.filter(F.col("name").like(include))
     latest = latest_per_key(
@@ -98,6 +119,20 @@ def warehouse_hierarchy(
     return edges.join(latest, "warehouse", "inner").select("higher_hier_warehouse", *latest.columns)
 
 
+def star_join(fact: DataFrame, lookups: Sequence[tuple[DataFrame, str, str]], how: str = "inner") -> DataFrame:
+    """A fact table joined to its dimensions one after the other; each entry is
+    ``(dimension, column of the fact so far, key of the dimension)``. Keys have different names on both sides. Spark
+    broadcasts the dimensions whose measured size allows it and prunes what the caller does not select."""
+    for dim, fk, key in lookups:
+        fact = fact.join(dim, F.col(fk) == F.col(key), how)
+    return fact
+
+
+def sales_margin(amount: Column, valuation: Column, partner: Column, divisor: float) -> Column:
+    """Amount less the stock's valuation, which is divided by ``divisor`` where ``partner`` holds."""
+    return amount - F.when(partner, valuation / divisor).otherwise(valuation)
+
+
 def item_variants(items: DataFrame, brands: DataFrame | None = None, exclude_codes: Sequence[str] = ("%_discount%", "%_supersaver%")) -> DataFrame:
     """B10 first half: one row per item linkage with its representative attributes."""
     it = items

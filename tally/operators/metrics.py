@@ -10,8 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tally.session import cut_lineage
 
 
 def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
@@ -50,33 +53,41 @@ def global_running_sum(
     df: DataFrame, key: str, values: Sequence[str], descending: bool = False, buckets: int | None = None
 ) -> DataFrame:
     """Running sums of ``values`` over the whole frame in ``key`` order, without a single-task
-    window. Adds ``cum_<v>`` columns; ``key`` must be unique (aggregate by it first).
+    window. Adds ``cum_<v>`` columns; ``key`` must be numeric, unique (aggregate by it first) and not null.
 
-    Rows go to ``buckets`` contiguous key ranges whose bounds come from a sketch of the key (a
-    function of the data, not of partitioning or scheduling, so recomputation after a lost
-    executor gives the same buckets). Each bucket's total becomes an offset for the later
-    buckets (one row per bucket), and each row adds its bucket offset to its in-bucket running sum."""
+    Rows go to ``buckets`` contiguous key ranges. The bounds come from a sketch and are read once as constants (one
+    per bucket), so both uses and every recomputation share them; rows are compared and ordered by the key itself.
+    Each bucket's total becomes an offset for the later buckets (one row per bucket), and each row adds its bucket
+    offset to its in-bucket running sum. Pass a materialised frame: it is read three times."""
     n = buckets or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    k = (-F.col(key) if descending else F.col(key)).cast("double")
-    bounds = df.agg(F.percentile_approx(k, [i / n for i in range(1, n)], 10_000).alias("_b")).scalar()
-    ranked = df.withColumn("_k", k).withColumn("_bounds", bounds)
-    ranked = ranked.withColumn("_bkt", F.size(F.filter("_bounds", lambda b: b < F.col("_k")))).drop("_bounds")
+    found = df.agg(
+        F.percentile_approx(key, [i / n for i in range(1, n)], 10_000).alias("b"), F.count(F.when(F.col(key).isNull(), 1)).alias("nulls")
+    ).first()
+    if found["nulls"]:
+        raise ValueError(f"{found['nulls']} rows have no {key}: running sums need one")
+    kind = df.schema[key].dataType
+    bounds = F.array(*[F.lit(b).cast(kind) for b in sorted(set(found["b"] or []))]).cast(T.ArrayType(kind))
+    below = F.size(F.filter(bounds, lambda b: b < F.col(key)))
+    ranked = df.withColumn("_bkt", -below if descending else below)
     totals = ranked.groupBy("_bkt").agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
     wt = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_bkt", *[F.coalesce(F.sum(f"_t_{v}").over(wt), F.lit(0)).alias(f"_o_{v}") for v in values])
-    wp = Window.partitionBy("_bkt").orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = F.col(key).desc() if descending else F.col(key).asc()
+    wp = Window.partitionBy("_bkt").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranked.withColumns({f"_l_{v}": F.sum(v).over(wp) for v in values})
     out = local.join(F.broadcast(offsets), "_bkt")
     return out.withColumns({f"cum_{v}": F.col(f"_l_{v}") + F.col(f"_o_{v}") for v in values}).drop(
-        "_bkt", "_k", *[f"_l_{v}" for v in values], *[f"_o_{v}" for v in values]
+        "_bkt", *[f"_l_{v}" for v in values], *[f"_o_{v}" for v in values]
     )
 
 
 def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     """One ROC point per distinct score (descending): cumulative true / false positives and
-    their rates. Exact (no binning)."""
-    per = df.groupBy(F.col(score).alias("threshold")).agg(
-        F.count(F.when(F.col(label) == 1, 1)).alias("pos"), F.count(F.when(F.col(label) != 1, 1)).alias("neg")
+    their rates. Exact (no binning). A null score is an error. The counts per score are materialised once."""
+    per = cut_lineage(
+        df.groupBy(F.col(score).alias("threshold")).agg(
+            F.count(F.when(F.col(label) == 1, 1)).alias("pos"), F.count(F.when(F.col(label) != 1, 1)).alias("neg")
+        )
     )
     tot = per.agg(F.struct(F.sum("pos").alias("p"), F.sum("neg").alias("n"))).scalar()
     cum = global_running_sum(per, "threshold", ["pos", "neg"], descending=True)

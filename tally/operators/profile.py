@@ -1,4 +1,4 @@
-"""Table profiling (A11-A19, A23, A25, P16): every profile is one pass over the data.
+"""Table profiling.
 
 Wide tables are profiled in long form: ``stack`` turns the chosen columns into
 ``(column_name, value)`` rows inside the scan's stage, so per-column statistics become an
@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tally.functions.quantile import quantiles_wide
+from tally.session import cut_lineage
 
 
 def stack_columns(df: DataFrame, columns: Sequence[str], cast: str = "double", keep: Sequence[str] = ()) -> DataFrame:
@@ -24,28 +26,51 @@ def stack_columns(df: DataFrame, columns: Sequence[str], cast: str = "double", k
     return df.selectExpr(*([keep_sql] if keep else []), expr)
 
 
+def _distinct_text(df: DataFrame, column: str) -> Column | None:
+    """A string that is equal exactly for equal values of an atomic column; None for nested types."""
+    kind, c = df.schema[column].dataType, F.col(f"`{column}`")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return (c + F.lit(0.0).cast(kind)).cast("string")  # -0.0 equals 0.0
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c).cast("string")
+    if isinstance(kind, T.BinaryType):
+        return F.hex(c)
+    return None if isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)) else c.cast("string")
+
+
 def profile_nulls(df: DataFrame, columns: Sequence[str] | None = None, exact_distinct: bool = True) -> DataFrame:
-    """A17 + A18 + P16: rows, nulls, percent null and distinct count per column, one pass.
+    """A17 + A18 + P16: rows, nulls, percent null and distinct count per column.
 
-    ``exact_distinct=False`` uses HyperLogLog++ (``approx_count_distinct``), which avoids the
-    per-column Expand of exact distinct counts on very wide tables.
+    Plain counts are one aggregate row. Exact distinct counts group the long form by (column, value), with
+    partial aggregation before the shuffle, then count per column; columns of nested types use ``count_distinct``.
+    ``exact_distinct=False`` uses HyperLogLog++ (``approx_count_distinct``) in the same pass as the counts.
     """
     cols = list(columns or df.columns)
+    texts = {c: _distinct_text(df, c) for c in cols} if exact_distinct else {}
     dc = F.count_distinct if exact_distinct else F.approx_count_distinct
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(cols):
-        aggs += [F.count(F.col(c)).alias(f"_nn{i}"), dc(F.col(c)).alias(f"_nd{i}")]
-    one = df.agg(*aggs)
+        aggs.append(F.count(F.col(f"`{c}`")).alias(f"_nn{i}"))
+        if texts.get(c) is None:
+            aggs.append(dc(F.col(f"`{c}`")).alias(f"_nd{i}"))
     structs = [
         F.struct(
             F.lit(c).alias("column_name"),
             F.col("_rows").alias("n_rows"),
             (F.col("_rows") - F.col(f"_nn{i}")).alias("n_null"),
-            F.col(f"_nd{i}").cast("bigint").alias("n_distinct"),
+            (F.col(f"_nd{i}").cast("bigint") if texts.get(c) is None else F.lit(None).cast("bigint")).alias("n_distinct"),
         )
         for i, c in enumerate(cols)
     ]
-    out = one.select(F.inline(F.array(*structs)))
+    out = df.agg(*aggs).select(F.inline(F.array(*structs)))
+    long = [F.struct(F.lit(c).alias("column_name"), x.alias("value")) for c, x in texts.items() if x is not None]
+    if long:
+        values = df.select(F.inline(F.array(*long))).filter(F.col("value").isNotNull()).distinct()
+        counted = values.groupBy("column_name").agg(F.count(F.lit(1)).alias("_nd"))
+        atomic = F.col("column_name").isin([c for c, x in texts.items() if x is not None])
+        out = out.join(counted, "column_name", "left").withColumn(
+            "n_distinct", F.when(atomic, F.coalesce("_nd", F.lit(0).cast("bigint"))).otherwise(F.col("n_distinct"))
+        ).drop("_nd")
     return out.withColumn("pct_null", F.try_divide(F.col("n_null") * 100.0, F.col("n_rows")))
 
 
@@ -92,18 +117,22 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), F.col(column))
 
 
-def crosstab_counts(df: DataFrame, a: str, b: str, complete: bool = True) -> DataFrame:
+def crosstab_counts(df: DataFrame, a: str, b: str, complete: bool = False) -> DataFrame:
     """Counts per (a, b). ``complete`` adds zero rows for unseen pairs of seen values.
 
-    Completion explodes the (few) distinct values of ``b`` - a scalar-subquery array - next to
-    each distinct ``a``; it never pairs data rows.
+    Meant for declared small categories when ``complete``: the counts are materialised (one pass over the data), and the
+    distinct values of ``b`` in them are exploded next to each distinct ``a``. Nulls count as a value of their own.
     """
     counts = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
     if not complete:
         return counts
-    b_values = df.agg(F.array_sort(F.collect_set(b))).scalar()
-    grid = df.select(a).distinct().select(a, F.explode(b_values).alias(b))
-    return grid.join(counts, [a, b], "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("bigint"))
+    counts = cut_lineage(counts)
+    b_values = counts.agg(F.array_sort(F.collect_set(F.struct(F.col(b).alias("v"))))).scalar()
+    grid = counts.select(F.col(a).alias("_a")).distinct().select("_a", F.explode(b_values).alias("_s")).select("_a", F.col("_s.v").alias("_b"))
+    same = grid["_a"].eqNullSafe(counts[a]) & grid["_b"].eqNullSafe(counts[b])
+    return grid.join(counts, same, "left").select(
+        F.col("_a").alias(a), F.col("_b").alias(b), F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
+    )
 
 
 def histogram_by_class(df: DataFrame, value: str, cls: str, bins: int = 10) -> DataFrame:

@@ -60,6 +60,8 @@ def seasonality_status(
         F.min("_first").alias("introduction_date"),
         F.map_from_entries(F.collect_list(F.struct("m", F.col("_sum").cast("double")))).alias("_by_month"),
     )
+    # one row per group: written once, so the sales are read once for the groups and their first day
+    grp = cut_lineage(grp)
     gmin = grp.agg(F.min("introduction_date")).scalar()
     # the scalar subquery is bound to plain columns first: lambdas cannot hold subqueries
     grp = grp.withColumn("_first_day", F.date_add(gmin, 1)).withColumn("_as_of", as_of)

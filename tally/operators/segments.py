@@ -216,15 +216,19 @@ def earnings_gap(
     year: str = "year",
     gender: str = "gender",
     amount: str = "amount",
+    countries: Sequence[str] | None = None,
 ) -> DataFrame:
     """Inflation-adjusted earnings gap per country in the country's own latest year.
 
     ``cpi``: (country, cpi) joined left, so a country without CPI keeps a null (Q21).
     ``rates``: optional (country, year, rate) at year end (see ``year_end_rates``); the adjusted
     amount is converted with it and rounded to 3 decimals, as the reference does.
+    ``countries`` keeps the listed ones only (the filter reaches the earnings scan); None keeps all.
     Output per country: latest year, female and male amounts, gap = male - female, and the sign
     stated in words.
     """
+    if countries is not None:
+        earnings = earnings.filter(F.col(country).isin(list(countries)))
     adj = earnings.join(cpi, on=country, how="left").withColumn(
         "adjusted", F.round(F.col(amount) * F.col("cpi") / 100, 3)
     )

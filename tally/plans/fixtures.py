@@ -65,22 +65,22 @@ def cpi_by_nation(t: Tables) -> DataFrame:
 
 def daily_rates(t: Tables) -> DataFrame:
     """Exchange-rate stand-in: per customer nation and order day, mean order value / 100,000.
-    Nations 20-24 have no currency (the reference converts only listed countries)."""
+    Nations 20-24 have rows without a rate (the reference converts only listed countries)."""
     o = t.orders.select("o_custkey", "o_orderdate", "o_totalprice")
     c = t.customer.select("c_custkey", "c_nationkey")
-    n = t.nation.select("n_nationkey", "n_name").filter(F.col("n_nationkey") < 20)
+    n = t.nation.select("n_nationkey", "n_name")
     j = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     return j.groupBy(F.col("n_name").alias("country"), F.col("o_orderdate").alias("rate_ts")).agg(
-        (F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double") / F.count(F.lit(1)) / 100000.0).alias("rate")
+        (F.sum(F.when(F.col("n_nationkey") < 20, F.col("o_totalprice").cast("decimal(18,2)"))).cast("double") / F.count(F.lit(1)) / 100000.0).alias("rate")
     )
 
 
 RATES_SQL = """
 rates as (
   select n.n_name as country, o.o_orderdate as rate_ts,
-         cast(sum(cast(o.o_totalprice as decimal(18,2))) as double) / count(*) / 100000.0 as rate
+         cast(sum(case when n.n_nationkey < 20 then cast(o.o_totalprice as decimal(18,2)) end) as double) / count(*) / 100000.0 as rate
   from orders o join customer c on o.o_custkey = c.c_custkey join nation n on c.c_nationkey = n.n_nationkey
-  where n.n_nationkey < 20 group by all
+  group by all
 )"""
 
 

@@ -267,21 +267,22 @@ with {_TRAIN_TEST_SQL},
 m as (select o_custkey, cast(sum(cast(o_totalprice as decimal(18,2))) as double) / count(o_totalprice) as o_totalprice_mean
       from u group by o_custkey)
 select u.o_orderkey, u.o_totalprice, u.order_date, u.target,
-       c.c_acctbal, c.c_mktsegment, n.n_name, m.o_totalprice_mean
+       c.c_acctbal, c.c_mktsegment, n.n_name, m.o_totalprice_mean, u.tag as half
 from u
 left join customer c on c.c_custkey = u.o_custkey
 left join nation n on n.n_nationkey = c.c_nationkey
 left join m on m.o_custkey = u.o_custkey
-where u.tag = 'train'
 """,
 )
 def multi_left_join(t):
-    """B23 + J2 + O5: tagged union, four-way left join, split back, id columns dropped."""
+    """B23 + J2 + O5: tagged union, four-way left join, split back into both halves, id columns dropped."""
     u = _train_test(t)
     means = clean.mean_by_key(u, "o_custkey", ["o_totalprice"], exact_scale=2)
     cust = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_acctbal", "c_mktsegment")
     nat = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     j = clean.multi_left_join(u, [(cust, "o_custkey"), (nat, "c_nationkey"), (means, "o_custkey")])
-    return clean.split_tag(j, "train", drop=["o_custkey", "c_nationkey"]).select(
-        "o_orderkey", "o_totalprice", "order_date", "target", "c_acctbal", "c_mktsegment", "n_name", "o_totalprice_mean"
-    )
+    cols = ["o_orderkey", "o_totalprice", "order_date", "target", "c_acctbal", "c_mktsegment", "n_name", "o_totalprice_mean"]
+    halves = [
+        clean.split_tag(j, half, drop=["o_custkey", "c_nationkey"]).select(*cols, F.lit(half).alias("half")) for half in ("train", "test")
+    ]
+    return halves[0].unionByName(halves[1])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tally.functions import scalar as X
 from tally.operators import dims
 from tally.plans.registry import query
 
@@ -24,6 +25,10 @@ def latest_per_key(t):
     )
 
 
+#: neutral stand-ins for the name patterns a company leaves out of its hierarchy
+NAME_FILTERS = {"exclude": ("%7",), "main_exclude": ("%0003%",)}
+
+
 def _supplier_name(expr):
     return F.concat(F.lit("Supplier#"), F.lpad(expr.cast("string"), 9, "0"))
 
@@ -94,11 +99,11 @@ served as (
   from wh w left join centre_of c
     on c.warehouse = case w.warehouse_type when 'Sector' then w.physical_warehouse else w.name end
   where w.active = 1 and w.global_id not in ('', 'NULL') and w.warehouse_type in ('Main', 'Sector', 'Transit')
-    and not regexp_matches(lower(w.name), 'dark|r-urban|-kirun|homerun-| urban |cac| - d$')
+    and not regexp_matches(lower(w.name), '7$')
 ),
 newest as (
   select global_id, replenishment_center, city, state, name as warehouse, modified from served
-  where disabled = 0 and inactive = 0 and lower(warehouse_type) = 'main' and not contains(lower(name), 'mdt4')
+  where disabled = 0 and inactive = 0 and lower(warehouse_type) = 'main' and not contains(lower(name), '0003')
   qualify row_number() over (partition by city, global_id, replenishment_center order by modified desc, name) = 1
 ),
 hierarchy as (
@@ -112,7 +117,39 @@ def warehouse_hierarchy(t):
     """B6 + J7 + J8 + F5: warehouse -> centre (sector via physical warehouse), latest per
     (city, global id, centre), under every ancestor of the closure table."""
     wh, prof, closure = _warehouse_inputs(t)
-    return dims.warehouse_hierarchy(wh, prof, closure)
+    return dims.warehouse_hierarchy(wh, prof, closure, **NAME_FILTERS)
+
+
+@query(
+    "planning_links",
+    """
+with it as (
+  select cast(p_partkey as varchar) as code, case when p_size % 4 <> 0 then p_brand || p_type else '' end as linkage,
+         p_type, p_brand, cast(date '1994-01-01' + cast((p_partkey % 1500) as integer) as date) as modified,
+         case when p_partkey % 3 <> 0 then cast(date '1995-01-01' + cast((p_size * 60) as integer) as date) end as expiry
+  from part),
+live as (select *, coalesce(nullif(linkage, ''), code) as planning_key from it where expiry is null or expiry >= date '1998-01-01'),
+newest as (select * from live qualify row_number() over (partition by planning_key order by modified desc, code) = 1)
+select planning_key, code as item_code, p_type as item_type,
+       case when p_type = (select min(p_type) from part) then p_brand end as brand
+from newest
+""",
+)
+def planning_links(t):
+    """Unexpired items under their linkage (or own code), the newest each; brand of one item type only."""
+    p = t.part
+    items = p.select(
+        F.col("p_partkey").cast("string").alias("code"),
+        F.when(F.col("p_size") % 4 != 0, F.concat("p_brand", "p_type")).otherwise("").alias("linkage"),
+        "p_type",
+        "p_brand",
+        F.date_add(F.lit("1994-01-01").cast("date"), (F.col("p_partkey") % 1500).cast("int")).alias("modified"),
+        F.when(F.col("p_partkey") % 3 != 0, F.date_add(F.lit("1995-01-01").cast("date"), (F.col("p_size") * 60).cast("int"))).alias("expiry"),
+    )
+    branded = p.agg(F.min("p_type")).scalar()
+    return dims.planning_links(
+        items, "linkage", "code", "expiry", F.lit("1998-01-01").cast("date"), "p_type", branded, "p_brand", "modified"
+    )
 
 
 def _items(t):
@@ -178,6 +215,8 @@ def item_variant(t):
 
 
 AS_OF = "2001-10-15"
+#: warehouses whose stock is valued with a divisor
+PARTNER_NAMES = "%1"
 
 
 @query(
@@ -188,7 +227,7 @@ select l.l_orderkey, l.l_linenumber, l.l_partkey, cast(l.l_shipdate as date) as
        c.c_name as customer,
        l.l_extendedprice * (1 - l.l_discount) as amount,
        l.l_extendedprice * (1 - l.l_discount)
-         - case when s.s_name like '%1' then l.l_quantity * p.p_retailprice * 0.9 / 1.01
+         - case when s.s_name like '{PARTNER_NAMES}' then l.l_quantity * p.p_retailprice * 0.9 / 1.01
                 else l.l_quantity * p.p_retailprice * 0.9 end as margin,
        cast(cast(p.p_retailprice as decimal(18,2)) * 1.1 as double) as target
 from lineitem l
@@ -198,7 +237,7 @@ join supplier s on l.l_suppkey = s.s_suppkey
 join nation n on s.s_nationkey = n.n_nationkey
 join customer c on o.o_custkey = c.c_custkey
 where l.l_linestatus = 'F' and c.c_name <> 'Customer#000000000'
-  and upper(s.s_name) not like '%MDT4%' and upper(s.s_name) not like '%URBAN%'
+  and lower(s.s_name) not like '{NAME_FILTERS["exclude"][0]}' and lower(s.s_name) not like '{NAME_FILTERS["main_exclude"][0]}'
   and cast(l.l_shipdate as date) between date '{AS_OF}' - interval 730 day and date '{AS_OF}'
 """,
 )
@@ -213,23 +252,20 @@ def sales_star_frame(t, as_of: str = AS_OF):
         (F.col("l_linestatus") == "F")
         & F.to_date("l_shipdate").between(F.date_sub(F.lit(as_of).cast("date"), 730), F.lit(as_of).cast("date"))
     )
-    o = t.orders.select("o_orderkey", "o_custkey")
-    p = t.part.select("p_partkey", "p_type", "p_brand", "p_retailprice")
-    s = t.supplier.filter(~F.upper("s_name").like("%MDT4%") & ~F.upper("s_name").like("%URBAN%")).select(
-        "s_suppkey", "s_name", "s_nationkey"
-    )
-    n = t.nation.select("n_nationkey", "n_regionkey")
-    c = t.customer.filter(F.col("c_name") != "Customer#000000000").select("c_custkey", "c_name")
-    j = (
-        li.join(o, li.l_orderkey == o.o_orderkey)
-        .join(p, li.l_partkey == p.p_partkey)
-        .join(s, li.l_suppkey == s.s_suppkey)
-        .join(n, F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(c, F.col("o_custkey") == F.col("c_custkey"))
+    left_out = (*NAME_FILTERS["exclude"], *NAME_FILTERS["main_exclude"])
+    j = dims.star_join(
+        li,
+        [
+            (t.orders.select("o_orderkey", "o_custkey"), "l_orderkey", "o_orderkey"),
+            (t.part.select("p_partkey", "p_type", "p_brand", "p_retailprice"), "l_partkey", "p_partkey"),
+            (t.supplier.filter(X.exclude_names("s_name", left_out)).select("s_suppkey", "s_name", "s_nationkey"), "l_suppkey", "s_suppkey"),
+            (t.nation.select("n_nationkey", "n_regionkey"), "s_nationkey", "n_nationkey"),
+            (t.customer.filter(F.col("c_name") != "Customer#000000000").select("c_custkey", "c_name"), "o_custkey", "c_custkey"),
+        ],
     )
     amount = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     valuation = F.col("l_quantity") * F.col("p_retailprice") * 0.9
-    margin = amount - F.when(F.col("s_name").like("%1"), valuation / 1.01).otherwise(valuation)
+    margin = dims.sales_margin(amount, valuation, F.col("s_name").like(PARTNER_NAMES), 1.01)
     return j.select(
         "l_orderkey",
         "l_linenumber",

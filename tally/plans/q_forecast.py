@@ -10,7 +10,7 @@ from tally.plans.registry import query
 CREATE = "2001-06-01"
 RUN_A = "2001-06-01 06:30:00"
 RUN_B = "2001-06-01 07:30:00"
-APP = "fmcg_demand"
+APP = "demand_app"
 
 
 def _create():
@@ -169,7 +169,8 @@ def _weights(t):
     bt = bt.join(past, ["id", "month"], "left").fillna(0.0, subset=["ml_prediction"])
     w = ens.ensemble_weights(bt, "id", ["ma", "ml"])
     brand_no = F.regexp_extract(F.col("id"), r"Brand#(\d+)", 1).cast("int")
-    return w.filter(brand_no % 4 != 0)
+    known = brand_no % 4 != 0
+    return w.select("id", *[F.when(known, F.col(c)).alias(c) for c in w.columns if c != "id"])
 
 
 _ENS_SQL = f"""
@@ -195,8 +196,9 @@ ebt as (select b.id, b.month, b.actual, b.ma_prediction, coalesce(e.quantity, 0)
         where b.month between date '{CREATE}' - interval 3 month and date '{CREATE}' - interval 1 month and b.ma_prediction is not null),
 winv as (select id, 1.0 / nullif(sum(abs(actual - ma_prediction)) / nullif(sum(actual), 0) + 1e-6, 0) as ima,
                     1.0 / nullif(sum(abs(actual - ml_prediction)) / nullif(sum(actual), 0) + 1e-6, 0) as iml from ebt group by id),
-weights as (select id, ima / nullif(ima + iml, 0) as weight_ma_prediction, iml / nullif(ima + iml, 0) as weight_ml_prediction from winv
-            where cast(regexp_extract(id, 'Brand#(\\d+)', 1) as integer) % 4 <> 0),
+weights as (select id, case when known then ima / nullif(ima + iml, 0) end as weight_ma_prediction,
+                   case when known then iml / nullif(ima + iml, 0) end as weight_ml_prediction
+            from (select *, cast(regexp_extract(id, 'Brand#(\\d+)', 1) as integer) % 4 <> 0 as known from winv)),
 j as (select split_part(a.id, '|', 1) as location, substr(a.id, strpos(a.id, '|') + 1) as product,
              a.forecast_create_period, a.forecast_target_period, a.forecast as ma_prediction, b.forecast as ml_prediction
       from ma a join ml b on a.id = b.id and a.forecast_target_period = b.forecast_target_period),
@@ -218,7 +220,7 @@ blended as (select *, ma_prediction * weight_ma_prediction + ml_prediction * wei
     "round(weight_ml_prediction, 9) as weight_ml_prediction from weights",
 )
 def ensemble_weights(t):
-    """Inverse-wmape weights per id from a 3-month backtest (ids of brands %4=0 left out)."""
+    """Inverse-wmape weights per id from a 3-month backtest (brands %4=0 have none)."""
     return weights(t).select("id", *[F.round(c, 9).alias(c) for c in ("weight_ma_prediction", "weight_ml_prediction")])
 
 

@@ -99,7 +99,7 @@ from grid g left join c using (l_returnflag, l_linestatus)
 )
 def crosstab_counts(t):
     """Return flag x line status counts, completed with zeros."""
-    return prof.crosstab_counts(t.lineitem, "l_returnflag", "l_linestatus")
+    return prof.crosstab_counts(t.lineitem, "l_returnflag", "l_linestatus", complete=True)
 
 
 @query(

@@ -133,7 +133,7 @@ feats as (
 def promo_features(t):
     """B9 + W2 + P15: promotions at locations, regrouped, leads 0-2 of five measures."""
     wh, prof, closure = q_dims._warehouse_inputs(t)
-    return promo.promo_features(promo_months_frame(t), dims.warehouse_hierarchy(wh, prof, closure))
+    return promo.promo_features(promo_months_frame(t), dims.warehouse_hierarchy(wh, prof, closure, **q_dims.NAME_FILTERS))
 
 
 AS_OF = "2001-10-15"

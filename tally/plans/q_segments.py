@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tally.operators import joins, segments as seg
 from tally.plans import fixtures as fx
 from tally.plans.registry import query
+from tally.session import cut_lineage
 
 _RFM_SQL = """
 rfm as (
@@ -120,7 +121,7 @@ select platform, country, category, tier, cast(rank as integer) as rank, c_custk
 def influencer_shortlist(t):
     """B21 + O2: every influencer per (country, category, tier), ranked, on both platforms: Instagram by engagement
     rate with mini/mega at 60 M (exactly 60 M is neither), YouTube by its rate with <= 30 M mini."""
-    e = _engagement(t)
+    e = cut_lineage(_engagement(t))  # one row per influencer, ranked twice
     insta = seg.influencer_shortlist(
         e.withColumn("rate", F.col("engagement_rate")), "country", "category", "rate", "c_custkey",
         threshold=seg.INSTAGRAM_THRESHOLD_M, boundary="neither",
@@ -207,7 +208,7 @@ from latest where year = ly
 def earnings_gap(t):
     """B19 + J14 + J15 + X29: CPI-adjusted amounts converted at the year-end rate (as-of join),
     then the male - female gap in each country's own latest year."""
-    e = fx.earnings(t)
+    e = cut_lineage(fx.earnings(t))  # country x year x gender rows, used for the amounts and for the year ends
     return seg.earnings_gap(e, fx.cpi_by_nation(t), seg.year_end_rates(e, fx.daily_rates(t)))
 
 

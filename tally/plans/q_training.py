@@ -14,7 +14,7 @@ STATUS_COLS = [f"{m}_seasonality_status" for m in season.MONTHS]
 
 def _located_sales(t):
     wh, prof, _ = q_dims._warehouse_inputs(t)
-    loc = dims.warehouses_with_profile(wh, prof).select(
+    loc = dims.warehouses_with_profile(wh, prof, q_dims.NAME_FILTERS["exclude"]).select(
         F.col("name").alias("s_name"), "state", "replenishment_center", promo.location_key().alias("location")
     )
     li = t.lineitem.select("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_linestatus")
@@ -38,7 +38,7 @@ def training_frame(t):
     panel = clean.drop_ambiguous_keys(panel, ["id", "month_start_date"])
 
     wh, prof, closure = q_dims._warehouse_inputs(t)
-    feats = promo.promo_features(q_promo.promo_months_frame(t), dims.warehouse_hierarchy(wh, prof, closure))
+    feats = promo.promo_features(q_promo.promo_months_frame(t), dims.warehouse_hierarchy(wh, prof, closure, **q_dims.NAME_FILTERS))
 
     def level(scope, keys, suffix):
         f = feats.filter(F.col("apply_on") == scope).groupBy(*keys, F.col("month").alias("month_start_date")).agg(

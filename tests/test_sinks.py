@@ -18,7 +18,7 @@ def test_append_twice_newer_run_is_active(spark):
     out = os.path.join(tempfile.mkdtemp(prefix="tally-sink-"), "forecast")
     f = _forecasts(spark)
     for stamp, ver in (("2023-08-02 06:30:00", "v1"), ("2023-08-03 06:30:00", "v2")):
-        pub = ens.publish_rows({"ensemble": f}, "fmcg_demand", {"ensemble": ver}, F.lit(stamp).cast("timestamp"))
+        pub = ens.publish_rows({"ensemble": f}, "demand_app", {"ensemble": ver}, F.lit(stamp).cast("timestamp"))
         io.append_table(pub, out, partition_by=["forecast_create_period"])
     table = spark.read.parquet(out)
     assert table.count() == 4
