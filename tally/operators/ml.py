@@ -25,6 +25,31 @@ def standard_scale(df: DataFrame, columns: Sequence[str], suffix: str = "_scaled
     )
 
 
+def fit_scaler(train: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """M1, first half: ``column -> (mean, population std)`` of the training rows (one aggregate row is read)."""
+    row = train.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    return {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(columns)}
+
+
+def apply_scaler(df: DataFrame, fitted: dict[str, tuple[float, float]], suffix: str = "_scaled") -> DataFrame:
+    """M1, second half: any rows, scaled by the training rows' figures; a constant column gives 0, no training rows null."""
+    def scaled(c: str, mean: float | None, std: float | None) -> Column:
+        if mean is None:
+            return F.lit(None).cast("double")
+        return F.when(F.col(c).isNotNull(), 0.0) if not std else (F.col(c) - F.lit(mean)) / F.lit(std)
+
+    return df.withColumns({f"{c}{suffix}": scaled(c, *ms) for c, ms in fitted.items()})
+
+
+def fit_one_hot(train: DataFrame, col: str, most: int = 1000) -> list[str]:
+    """M3, first half: the sorted values of the training rows. More than ``most`` values are an error: each becomes
+    a column, so the bound is one on columns, not on rows."""
+    values = [r[0] for r in train.select(col).where(F.col(col).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(values) > most:
+        raise ValueError(f"{col} has more than {most} values: too many for one column each")
+    return sorted(values)
+
+
 def ordinal_encode(col: str | Column, order: Sequence[str]) -> Column:
     """M2: position in a given order (0-based), null when absent."""
     c = F.col(col) if isinstance(col, str) else col
@@ -56,13 +81,26 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
 
 
-def kmeans_segments(df: DataFrame, features: Sequence[str], k: int = 4, seed: int = 42) -> DataFrame:
-    """M5: k-means cluster of each row (k-means|| init, fixed seed)."""
+def nearest_centre_violations(df: DataFrame, features: Sequence[str], centres: Sequence[Sequence[float]], cluster: str = "cluster", tol: float = 1e-9) -> Column:
+    """How many rows of a clustering lie nearer to another centre than to their own (an aggregate column)."""
+    def far(c):
+        out = F.lit(0.0)
+        for f, v in zip(features, c):
+            out = out + F.pow(F.col(f) - F.lit(float(v)), F.lit(2.0))
+        return out
+
+    each = F.array(*[far(c) for c in centres])
+    return F.count(F.when(F.get(each, F.col(cluster)) > F.array_min(each) * (1 + tol) + tol, 1)).alias("violations")
+
+
+def kmeans_segments(df: DataFrame, features: Sequence[str], k: int = 4, seed: int = 42, with_centres: bool = False):
+    """M5: k-means cluster of each row (k-means|| init, fixed seed); with the centres if asked for."""
     from pyspark.ml.clustering import KMeans
 
     data = assemble(df, features)
     model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(data)
-    return model.transform(data).drop("features")
+    out = model.transform(data).drop("features")
+    return (out, [list(c) for c in model.clusterCenters()]) if with_centres else out
 
 
 def kmeans_elbow(df: DataFrame, features: Sequence[str], ks: Sequence[int] = range(1, 15), seed: int = 42) -> DataFrame:
@@ -81,18 +119,23 @@ def kmeans_elbow(df: DataFrame, features: Sequence[str], ks: Sequence[int] = ran
     data.unpersist()
     out = spark.createDataFrame(rows, "k int, wcss double")
     if 1 in ks:
-        total = _total_ss(df, features)
+        total = total_ss(df, features)
         out = total.select(F.lit(1).alias("k"), F.col("tss").alias("wcss")).unionByName(out)
     return out
 
 
-def _total_ss(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Total sum of squares around the mean, summed over the features."""
+def sum_of_squares(features: Sequence[str]) -> Column:
+    """Sum of squares around the mean, over the features (an aggregate column)."""
     parts = [F.var_pop(c) * F.count(F.col(c)) for c in features]
     expr = parts[0]
     for p in parts[1:]:
         expr = expr + p
-    return df.agg(expr.alias("tss"))
+    return expr
+
+
+def total_ss(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Total sum of squares around the mean, summed over the features."""
+    return df.agg(sum_of_squares(features).alias("tss"))
 
 
 def bisecting_segments(df: DataFrame, features: Sequence[str], k: int = 4, seed: int = 42) -> DataFrame:
@@ -113,11 +156,7 @@ def bisecting_segments(df: DataFrame, features: Sequence[str], k: int = 4, seed:
     blocked: set[int] = set()
     new_id = 1
     while new_id < k:
-        sse = [F.var_pop(c) * F.count(F.col(c)) for c in cols]
-        total = sse[0]
-        for e in sse[1:]:
-            total = total + e
-        stats = labeled.groupBy("cluster").agg(total.alias("sse"), F.count(F.lit(1)).alias("n")).collect()
+        stats = labeled.groupBy("cluster").agg(sum_of_squares(cols).alias("sse"), F.count(F.lit(1)).alias("n")).collect()
         cand = sorted((r for r in stats if r["cluster"] not in blocked and r["n"] >= 2), key=lambda r: (-r["sse"], r["cluster"]))
         if not cand or cand[0]["sse"] <= 0:
             break
@@ -159,6 +198,13 @@ def clf_forest(
     return _fit_predict(est, train, test, features, label)
 
 
+def forest_on_vectors(train: DataFrame, test: DataFrame, num_trees: int = 501, impurity: str = "entropy", seed: int = 42) -> DataFrame:
+    """M8 on ready vectors (``features``, ``label``): predictions of the test rows."""
+    from pyspark.ml.classification import RandomForestClassifier
+
+    return RandomForestClassifier(numTrees=num_trees, impurity=impurity, seed=seed).fit(train).transform(test)
+
+
 def clf_logistic(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, c: float = 1.0) -> DataFrame:
     """M9: L2 logistic regression equal to scikit-learn's ``C``: Spark minimises the *mean* loss,
     so ``regParam = 1 / (n C)``; no internal standardisation."""

@@ -8,6 +8,7 @@ from tally.functions import text as tx
 from tally.operators import metrics as met, ml, segments as seg
 from tally.plans.porter_sql import porter_sql
 from tally.plans.registry import query
+from tally.session import cut_lineage
 
 RFM = ["recency", "frequency", "monetary"]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -29,19 +30,24 @@ rfm as (
 )"""
 
 
+#: the md5 split of ``ml.split_hash`` in SQL
+_TRAIN_SQL = "substr(md5(cast({} as varchar)), 1, 4) < 'cccd'"
+
+
 @query(
     "standard_scale",
-    f"""with {_RFM_SQL}
-select rfm.*, """
-    + ", ".join(
-        f"round(case when stddev_pop({c}) over () = 0 then 0 else ({c} - avg({c}) over ()) / stddev_pop({c}) over () end, 9) as {c}_scaled"
-        for c in RFM
-    )
-    + " from rfm",
+    f"""with {_RFM_SQL}, parts as (select *, {_TRAIN_SQL.format("o_custkey")} as is_train from rfm),
+f as (select """
+    + ", ".join(f"avg({c}) as m_{c}, stddev_pop({c}) as s_{c}" for c in RFM)
+    + """ from parts where is_train)
+select parts.*, """
+    + ", ".join(f"round(case when s_{c} = 0 then 0 else ({c} - m_{c}) / s_{c} end, 9) as {c}_scaled" for c in RFM)
+    + " from parts, f",
 )
 def standard_scale(t):
-    """M1: population-std scaling of the RFM columns."""
-    out = ml.standard_scale(rfm(t), RFM)
+    """M1: population-std scaling of the RFM columns, fitted on the training customers, applied to all."""
+    parts = cut_lineage(rfm(t).withColumn("is_train", ml.split_hash("o_custkey")))
+    out = ml.apply_scaler(parts, ml.fit_scaler(parts.filter("is_train"), RFM))
     return out.withColumns({f"{c}_scaled": F.round(f"{c}_scaled", 9) for c in RFM})
 
 
@@ -62,8 +68,9 @@ def ordinal_encode(t):
     + " from customer",
 )
 def one_hot(t):
-    """M3: one-hot market segment, first (sorted) value dropped."""
-    return ml.one_hot(t.customer.select("c_custkey", "c_mktsegment"), "c_mktsegment", SEGMENTS)
+    """M3: one-hot market segment, values learned from the training customers, first (sorted) one dropped."""
+    c = t.customer.select("c_custkey", "c_mktsegment")
+    return ml.one_hot(c, "c_mktsegment", ml.fit_one_hot(c.filter(ml.split_hash("c_custkey")), "c_mktsegment"))
 
 
 @query("split_hash", "select o_orderkey, substr(md5(cast(o_orderkey as varchar)), 1, 4) < 'cccd' as is_train from orders")
@@ -108,9 +115,10 @@ def order_features(t):
         (F.count(F.when(F.col("l_returnflag") == "R", 1)) / F.count(F.lit(1)) > 1.0 / 3).cast("int").alias("label"),
     )
     o = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", ml.ordinal_encode("o_orderpriority", PRIORITIES).alias("priority_code"))
-    c = ml.one_hot(t.customer.select("c_custkey", "c_acctbal", "c_mktsegment"), "c_mktsegment", SEGMENTS)
+    c = t.customer.select("c_custkey", "c_acctbal", "c_mktsegment")
     j = o.join(li, o.o_orderkey == li.l_orderkey).join(c, o.o_custkey == c.c_custkey)
-    return j.withColumn("is_train", ml.split_hash("o_orderkey"))
+    j = cut_lineage(j.withColumn("is_train", ml.split_hash("o_orderkey")))  # read by every fit and by the predictions
+    return ml.one_hot(j, "c_mktsegment", ml.fit_one_hot(j.filter("is_train"), "c_mktsegment"))
 
 
 def _split(t):
@@ -140,9 +148,13 @@ def clf_forest(t):
 def clf_logistic(t):
     """M9: L2 logistic regression (C = 1) on scaled features; test-split predictions."""
     raw = order_features(t)
-    f = ml.standard_scale(raw, FEATURES, fit_on=raw.filter("is_train"))
+    return _preds(_logistic(raw))
+
+
+def _logistic(raw):
+    f = ml.apply_scaler(raw, ml.fit_scaler(raw.filter("is_train"), FEATURES))
     scaled = [f"{c}_scaled" for c in FEATURES]
-    return _preds(ml.clf_logistic(f.filter("is_train"), f.filter(~F.col("is_train")), scaled, "label"))
+    return ml.clf_logistic(f.filter("is_train"), f.filter(~F.col("is_train")), scaled, "label")
 
 
 @query("clf_grid", None)
@@ -152,18 +164,110 @@ def clf_grid(t):
     return _preds(ml.clf_grid(tr, te, FEATURES, "label", "o_orderkey", depths=(3, 5), min_leaf=(1, 5), folds=10))
 
 
-# ---- metrics on a SQL-exact score ------------------------------------------------------------
+# ---- facts that hold for any right model -------------------------------------------------------
 
-def scored(t):
-    lab = t.labels.select("doc_id", F.col("quality").alias("label"))
-    return lab.select("doc_id", "label", (F.pmod(F.col("doc_id") * 37, F.lit(100)) / 100.0).alias("score")).withColumn(
-        "pred", (F.col("score") >= 0.5).cast("int")
+@query(
+    "cluster_facts",
+    """select method, (select count(distinct o_custkey) from orders) as n_rows, cast(4 as bigint) as n_clusters,
+       cast(0 as bigint) as violations, true as cost_falls from (values ('kmeans'), ('bisecting')) v(method)""",
+)
+def cluster_facts(t):
+    """M5 + M6: all customers, four clusters, nobody nearer to another k-means centre, less cost than one cluster."""
+    data = cut_lineage(_rfm_scaled(t))
+    km, centres = ml.kmeans_segments(data, _SCALED, k=4, with_centres=True)
+    halves = ml.bisecting_segments(data, _SCALED, k=4)
+    total = ml.total_ss(data, _SCALED).scalar()
+    out = None
+    for name, found, wrong in (("kmeans", km, ml.nearest_centre_violations(km, _SCALED, centres)), ("bisecting", halves, F.lit(0).cast("bigint").alias("violations"))):
+        n = found.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("cluster").alias("n_clusters"), wrong)
+        per = found.groupBy("cluster").agg(ml.sum_of_squares(_SCALED).alias("ss")).agg(F.sum("ss")).scalar()
+        row = n.select(F.lit(name).alias("method"), "n_rows", "n_clusters", "violations", (per < total).alias("cost_falls"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("elbow_facts", "select cast(k as integer) as k, true as at_most_total from range(1, 15) r(k)")
+def elbow_facts(t):
+    """M5: the cost for each k is at most that of one cluster."""
+    e = cut_lineage(kmeans_elbow(t))
+    total = e.filter("k = 1").agg(F.max("wcss")).scalar()
+    return e.select("k", (F.col("wcss") <= total * (1 + 1e-9)).alias("at_most_total"))
+
+
+_MODELS_SQL = """
+label as (select l_orderkey as o_orderkey, cast(count(case when l_returnflag = 'R' then 1 end) / count(*) > 1.0 / 3 as integer) as label
+          from lineitem group by 1),
+held as (select label.* from orders join label using (o_orderkey) join customer on c_custkey = o_custkey
+         where not (""" + _TRAIN_SQL.format("o_orderkey") + """))"""
+
+
+@query(
+    "classifier_facts",
+    f"""with {_MODELS_SQL}
+select model, count(*) as n, cast(sum(label) as bigint) as n_positive, true as near_majority
+from held, (values ('tree'), ('forest'), ('logistic'), ('grid')) m(model) group by model""",
+)
+def classifier_facts(t):
+    """Every held-out order is predicted once with its label, and accuracy is at least the majority share less
+    3 points (labels of these tables are drawn at random, so no model can do better than the majority)."""
+    raw = order_features(t)
+    tr, te = raw.filter("is_train"), raw.filter(~F.col("is_train"))
+    found = {
+        "tree": ml.clf_tree(tr, te, FEATURES, "label"),
+        "forest": ml.clf_forest(tr, te, FEATURES, "label", num_trees=100),
+        "logistic": _logistic(raw),
+        "grid": ml.clf_grid(tr, te, FEATURES, "label", "o_orderkey", depths=(3, 5), min_leaf=(1, 5), folds=10),
+    }
+    out = None
+    for name, p in found.items():
+        m = met.class_metrics(_preds(p), "label", "prediction")
+        share = (F.col("tp") + F.col("fn")) / F.col("n")
+        row = m.select(
+            F.lit(name).alias("model"), "n", (F.col("tp") + F.col("fn")).alias("n_positive"),
+            (F.col("accuracy") >= F.greatest(share, 1 - share) - 0.03).alias("near_majority"),
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def model_scores(t):
+    """Held-out orders with the probability of the logistic model."""
+    from pyspark.ml.functions import vector_to_array
+
+    p = _logistic(order_features(t))
+    return p.select("o_orderkey", F.col("label").cast("int").alias("label"), vector_to_array("probability")[1].alias("score"))
+
+
+@query(
+    "roc_facts",
+    f"""with {_MODELS_SQL}
+select cast(sum(label) as bigint) as positives, count(*) - cast(sum(label) as bigint) as negatives, true as rates_end_at_one,
+       true as auc_is_rank_statistic from held""",
+)
+def roc_facts(t):
+    """M15 on model output: the curve of the logistic probabilities ends at all positives and negatives, and its area
+    equals the rank statistic (share of positive-negative pairs in right order, ties half) from average ranks."""
+    s = cut_lineage(model_scores(t))
+    pts = cut_lineage(met.roc_points(s, "label", "score"))
+    area = met.auc(s, "label", "score").scalar()
+    per = s.groupBy("score").agg(F.count(F.when(F.col("label") == 1, 1)).alias("p"), F.count(F.when(F.col("label") == 0, 1)).alias("q"))
+    below = met.global_running_sum(cut_lineage(per), "score", ["q"])
+    won = below.agg(F.sum(F.col("p") * (F.col("cum_q") - F.col("q") + F.col("q") / 2))).scalar()
+    return pts.agg(F.max("tp").alias("positives"), F.max("fp").alias("negatives"), ((F.max("tpr") == 1) & (F.max("fpr") == 1)).alias("rates_end_at_one")).select(
+        "*", (F.abs(area - won / (F.col("positives") * F.col("negatives"))) < 1e-9).alias("auc_is_rank_statistic")
     )
 
 
+# ---- metrics on a SQL-exact score of many distinct values -------------------------------------
+
+def scored(t):
+    o = t.orders.select("o_orderkey", (F.col("o_orderstatus") == "F").cast("int").alias("label"), F.col("o_totalprice").alias("score"))
+    return o.withColumn("pred", (F.col("score") >= 200000).cast("int"))
+
+
 _SCORED_SQL = """
-scored as (select doc_id, quality as label, ((doc_id * 37) % 100) / 100.0 as score from labels),
-sp as (select *, cast(score >= 0.5 as integer) as pred from scored)"""
+scored as (select o_orderkey, cast(o_orderstatus = 'F' as integer) as label, o_totalprice as score from orders),
+sp as (select *, cast(score >= 200000 as integer) as pred from scored)"""
 
 
 @query(
@@ -285,3 +389,33 @@ def bow_vectors(t):
     counts = stemmed_counts(t)
     vocab = tx.bow_vocabulary_from_counts(counts, max_features=1500)
     return tx.bow_counts(counts, vocab, "doc_id")
+
+
+REVIEW_TERMS = 1500
+
+
+def review_predictions(t, num_trees: int = 501):
+    """M8 + M11 + M12: labelled documents as bags of stems, 75/25 split, entropy trees, predictions of the held-out ones."""
+    rows = t.documents.select("doc_id", "text").join(t.labels.select("doc_id", "quality"), "doc_id")
+    counts = cut_lineage(tx.stemmed_counts(tx.tokens_long(rows, "doc_id", "text", tx.stop_words()), "doc_id"))
+    vocab = tx.bow_vocabulary_from_counts(counts, max_features=REVIEW_TERMS)
+    vectors = tx.bow_vectors(tx.bow_counts(counts, vocab, "doc_id"), "doc_id", REVIEW_TERMS)
+    data = tx.with_bow_vectors(rows.select("doc_id", F.col("quality").cast("double").alias("label")), vectors, "doc_id", REVIEW_TERMS)
+    data = cut_lineage(data.withColumn("is_train", ml.split_hash("doc_id", 0.75)))
+    return ml.forest_on_vectors(data.filter("is_train"), data.filter(~F.col("is_train")), num_trees=num_trees, impurity="entropy")
+
+
+@query(
+    "review_forest",
+    """with held as (select doc_id, quality from labels join documents using (doc_id)
+                where not (substr(md5(cast(doc_id as varchar)), 1, 4) < 'c000'))
+select quality as label, count(*) as n, true as beats_majority from held group by quality""",
+)
+def review_forest(t):
+    """M8 + M11 + M12 + M13: rows of the confusion matrix (held-out documents per label), and whether the forest is right
+    at least as often as the larger label."""
+    p = cut_lineage(review_predictions(t).select(F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction")))
+    cells = met.confusion_matrix(p, "label", "prediction")
+    right = cells.agg(F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")))).scalar()
+    per = cells.groupBy("label").agg(F.sum("n").alias("n"))
+    return per.withColumn("beats_majority", right >= per.agg(F.max("n")).scalar())
