@@ -126,6 +126,17 @@ def segment_summary(levels: DataFrame, customer: str, segment: str = "loyalty_le
     return per.withColumn("percent", F.round(F.col("num_buyers") * 100.0 / total, 2))
 
 
+def cluster_means(df: DataFrame, customer: str, cluster: str = "cluster") -> DataFrame:
+    """B3, second half: per cluster the means of recency, frequency and money, and its buyers (``df`` holds one
+    row per customer, so partial sums are all that is shuffled)."""
+    return df.groupBy(cluster).agg(
+        F.avg("recency").alias("recency_mean"),
+        F.avg("frequency").alias("frequency_mean"),
+        F.try_divide(F.sum(X.money("monetary")).cast("double"), F.count("monetary")).alias("monetary_mean"),
+        F.count(customer).alias("num_buyers"),
+    )
+
+
 def engagement_rate(
     df: DataFrame,
     followers_text: str,

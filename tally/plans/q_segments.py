@@ -212,6 +212,41 @@ def earnings_gap(t):
     return seg.earnings_gap(e, fx.cpi_by_nation(t), seg.year_end_rates(e, fx.daily_rates(t)))
 
 
+_LISTED = ("NATION_1", "NATION_3", "NATION_4", "NATION_21", "NATION_24")
+
+
+@query(
+    "earnings_gap_listed",
+    f"""
+with {fx.EARNINGS_SQL}, {fx.CPI_SQL},
+adj as (select e.*, round(e.amount * c.cpi / 100, 3) as adjusted from earnings e left join cpi c using (country) where country in {_LISTED}),
+per as (select country, year, max(adjusted) filter (where gender = 'F') as female, max(adjusted) filter (where gender = 'M') as male
+        from adj group by all),
+latest as (select * from per qualify year = max(year) over (partition by country))
+select country, year as latest_year, female, male, round(male - female, 3) as gap,
+       case sign(round(male - female, 3)) when 1 then 'men earn more' when -1 then 'women earn more' when 0 then 'equal' end as verdict
+from latest
+""",
+)
+def earnings_gap_listed(t):
+    """B19 + F2: the gap in a list of countries, without conversion."""
+    return seg.earnings_gap(fx.earnings(t), fx.cpi_by_nation(t), countries=_LISTED)
+
+
+@query(
+    "cluster_means",
+    f"""
+with {_RFM_SQL}
+select loyalty_level, avg(recency) as recency_mean, avg(frequency) as frequency_mean,
+       cast(sum(cast(monetary as decimal(18,2))) as double) / count(*) as monetary_mean, count(*) as num_buyers
+from levels group by loyalty_level
+""",
+)
+def cluster_means(t):
+    """B3, second half: means of the RFM figures and buyers per cluster (here the loyalty level stands for the cluster)."""
+    return seg.cluster_means(seg.rfm_levels(_rfm(t)), "o_custkey", "loyalty_level")
+
+
 @query(
     "asof_rate",
     """

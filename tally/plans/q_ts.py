@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tally.operators import timeseries as tsx
+from tally.operators import profile as prof, timeseries as tsx
 from tally.plans.registry import query
 
 
@@ -65,9 +65,7 @@ def ts_rolling(t):
     return out.withColumns({c: F.round(c, 6) for c in ("rolling_mean", "rolling_std", "detrended")})
 
 
-@query(
-    "ts_decompose",
-    f"""
+_DECOMPOSE_SQL = f"""
 with {_SERIES_SQL},
 b as (
   select series_id, ts, value, row_number() over w as pos,
@@ -80,8 +78,10 @@ q as (select series_id, phase, pm - avg(pm) over (partition by series_id) as sea
 select b.series_id, b.ts, b.value, round(b.trend, 6) as trend, round(q.seasonal, 6) as seasonal,
        round(b.value - b.trend - q.seasonal, 6) as resid
 from b join q on b.series_id = q.series_id and (b.pos - 1) % 12 = q.phase
-""",
-)
+"""
+
+
+@query("ts_decompose", _DECOMPOSE_SQL)
 def ts_decompose(t):
     """T1 + W6: additive decomposition with period 12."""
     out = tsx.ts_decompose(monthly_revenue(t), "series_id", "ts", "value", period=12)
@@ -165,3 +165,29 @@ def ts_pacf(t):
 def ts_adf(t):
     """Augmented Dickey-Fuller test per series (AIC lag choice)."""
     return tsx.ts_adf(monthly_revenue(t), "series_id", "ts", "value")
+
+
+@query(
+    "ts_adf_lag0",
+    f"""with {_SERIES_SQL},
+d as (select series_id, value - lag(value) over w as dy, lag(value) over w as x from s window w as (partition by series_id order by ts)),
+g as (select series_id, count(dy) as n, regr_slope(dy, x) as b, regr_sxx(dy, x) as sxx, regr_syy(dy, x) as syy, regr_sxy(dy, x) as sxy
+      from d where dy is not null group by 1)
+select series_id, round(b / sqrt((syy - b * sxy) / (n - 2) / sxx), 6) as adf_stat, cast(0 as integer) as used_lag, cast(n as integer) as nobs from g""",
+)
+def ts_adf_lag0(t):
+    """T6 without lags: the Dickey-Fuller statistic, a simple regression that SQL can state."""
+    out = tsx.ts_adf(monthly_revenue(t), "series_id", "ts", "value", maxlag=0)
+    return out.select("series_id", F.round("adf_stat", 6).alias("adf_stat"), "used_lag", "nobs")
+
+
+@query(
+    "residual_profile",
+    f"""with d as ({_DECOMPOSE_SQL})
+select 'resid' as column_name, count(resid) as count, round(avg(resid), 3) as mean, round(stddev_samp(resid), 3) as std,
+       min(resid) as min, quantile_cont(resid, 0.25) as q25, quantile_cont(resid, 0.5) as q50, quantile_cont(resid, 0.75) as q75,
+       max(resid) as max from d""",
+)
+def residual_profile(t):
+    """Description of the residuals of the decomposition."""
+    return prof.profile_numeric(ts_decompose(t), ["resid"], decimals=3)
