@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tally.functions import scalar as X
+from tally.session import cut_lineage
 
 # Fixed values that must equal the reference: the scope label written for brand promotions
 # restricted to a category (spelling as in the reference), and the lead feature names.
@@ -75,11 +76,6 @@ def promo_months(
     its end; open-ended promotions pass the filter but are never active (Q5).
     """
     scoped = promo_scope(promos).filter(F.col("valid_upto").isNull() | (F.col("valid_upto") >= calendar_start))
-    # rows per scope group: an aggregate (partial counts before the shuffle), joined back below
-    # with null-safe equality because scope columns may be null (GROUP BY groups nulls together)
-    rows = scoped.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("_rows")).select(
-        *[F.col(c).alias(f"_g_{c}") for c in GROUP], "_rows"
-    )
     cal_lo, cal_hi = F.trunc(calendar_start, "MM"), F.trunc(calendar_end, "MM")
     lo = F.greatest(X.month_start_quirk("valid_from"), cal_lo)
     hi = F.least(F.trunc("valid_upto", "MM"), cal_hi)
@@ -87,16 +83,37 @@ def promo_months(
         "month", F.explode(F.sequence(lo, hi, F.expr("interval 1 month")))
     )
     days = X.overlap_days("month", F.last_day("month"), "valid_from", "valid_upto")
-    per = active.groupBy("month", *GROUP).agg(
+    # reduced to distinct (name, percentage) rows per month and scope, once; each distinct aggregate then reads these, so
+    # no row is copied per distinct column
+    schemes = cut_lineage(
+        active.groupBy("month", *GROUP, "name", "discount_percentage").agg(
+            F.sum("discount_amount").alias("_amount"),
+            F.count("discount_amount").alias("_amounts"),
+            F.max(days).alias("_max_days"),
+            F.count(F.lit(1)).alias("_active"),
+        )
+    )
+    per = schemes.groupBy("month", *GROUP).agg(
         F.count_distinct("name").alias("schemes"),
-        F.avg("discount_amount").alias("avg_discount_amount"),
-        F.expr("avg(distinct discount_percentage)").alias("avg_discount_percentage"),
-        F.max(days).alias("_max_days"),
-        F.count(F.lit(1)).alias("_active"),
+        F.try_divide(F.sum("_amount"), F.sum("_amounts")).alias("avg_discount_amount"),
+        F.max("_max_days").alias("_max_days"),
+        F.sum("_active").alias("_active"),
+    )
+    percent = schemes.groupBy("month", *GROUP).agg(F.expr("avg(distinct discount_percentage)").alias("avg_discount_percentage"))
+    percent = percent.select(F.col("month").alias("_g_month"), *[F.col(c).alias(f"_g_{c}") for c in GROUP], "avg_discount_percentage")
+    same = [per[c].eqNullSafe(percent[f"_g_{c}"]) for c in ["month", *GROUP]]
+    per = per.join(percent, same).drop("_g_month", *[f"_g_{c}" for c in GROUP])
+    # The reference's max also sees a 0 from every inactive promotion row of the group; that matters only when all
+    # active rows have negative days, which takes a reversed range. So only groups with such a row are counted and
+    # joined (null-safe: GROUP BY groups nulls together).
+    odd = F.coalesce(F.col("valid_upto") < F.col("valid_from"), F.lit(False))
+    rows = (
+        scoped.groupBy(*GROUP)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.max(odd).alias("_odd"))
+        .filter("_odd")
+        .select(*[F.col(c).alias(f"_h_{c}") for c in GROUP], "_rows")
     )
-    per = per.join(rows, [per[c].eqNullSafe(rows[f"_g_{c}"]) for c in GROUP], "left").drop(*[f"_g_{c}" for c in GROUP])
-    # The reference's max also sees a 0 from every inactive promotion row of the group; that
-    # matters only when all active rows have negative days (reversed ranges).
+    per = per.join(rows, [per[c].eqNullSafe(rows[f"_h_{c}"]) for c in GROUP], "left").drop(*[f"_h_{c}" for c in GROUP])
     per = per.withColumn(
         "days_of_promo",
         F.when(F.col("_active") < F.col("_rows"), F.greatest("_max_days", F.lit(0))).otherwise(F.col("_max_days")),

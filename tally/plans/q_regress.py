@@ -31,7 +31,7 @@ def ts_backtest(t):
 @query("ts_backtest_metrics", None)
 def ts_backtest_metrics(t):
     """Mse, rmse, mae, mape, mdape, smape, coverage by horizon day."""
-    return reg.backtest_metrics(reg.backtest(daily_revenue(t), "series_id", "ds", "y"))
+    return reg.backtest_metrics(cut_lineage(reg.backtest(daily_revenue(t), "series_id", "ds", "y")))
 
 
 # ---- what SQL can say about the same operators ---------------------------------------------------
@@ -89,6 +89,6 @@ def horizon_metrics(t):
     rows = reg.backtest(days, "series_id", "ds", "y", initial=90, period=15, horizon=30).select("series_id", "ds", "y", "horizon_days")
     before = days.select("series_id", F.date_add("ds", 364).alias("ds"), F.col("y").alias("yhat"))
     bt = rows.join(before, ["series_id", "ds"]).withColumns({"yhat_lower": F.col("yhat") * 0.8, "yhat_upper": F.col("yhat") * 1.2})
-    m = reg.backtest_metrics(bt)
+    m = reg.backtest_metrics(cut_lineage(bt))
     digits = {"mse": 2, "rmse": 6, "mae": 6, "mape": 9, "smape": 9, "coverage": 9, "mdape": 9}
     return m.withColumns({c: F.round(c, d) for c, d in digits.items()})
