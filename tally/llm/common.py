@@ -21,8 +21,8 @@ def fresh(df: DataFrame, stem: str) -> str:
 
 
 def with_row_id(df: DataFrame, name: str) -> DataFrame:
-    """Number the rows. The numbers are stable where ``df`` is a file scan (the same splits give the
-    same numbers), which is what the pipeline passes; materialise anything else first."""
+    """Number the rows. The numbers hold for one evaluation: another scan, of a file too, may be split
+    differently (executors lost or joined), so write the numbered rows before they are read twice."""
     return df.withColumn(name, F.monotonically_increasing_id())
 
 

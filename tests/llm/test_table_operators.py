@@ -337,3 +337,30 @@ def test_pipeline_stages(shipped, sf, edge_docs, no_docs):
             out = stage(shipped, table, sf)
             assert name == "pack_sequences" or out.columns == table.columns
             out.collect()
+
+
+@pytest.mark.parametrize("stage", ["exact_copies", "near_copies", "mix_sources"])
+def test_stages_do_not_depend_on_how_a_second_scan_is_split(shipped, tmp_path, stage):
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    texts = [_words(rng, 200) for _ in range(90)]
+    rows = [(i, texts[i % 90] if i % 3 else texts[i // 3], "en", f"s{i % 2}", 0) for i in range(270)]
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    shipped.createDataFrame(rows, columns).repartition(6).write.parquet(f"{tmp_path}/documents.parquet")
+    before = {k: shipped.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+
+    def scan(size):
+        shipped.conf.set("spark.sql.files.maxPartitionBytes", size)
+        shipped.conf.set("spark.sql.files.openCostInBytes", "1")
+        return shipped.read.parquet(f"{tmp_path}/documents.parquet")
+
+    try:
+        want = sorted(tuple(r) for r in dict(corpus_pipeline.STAGES)[stage](shipped, scan("64m"), "").collect())
+        lazy = dict(corpus_pipeline.STAGES)[stage](shipped, scan("64m"), "")
+        shipped.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+        got = sorted(tuple(r) for r in lazy.collect())
+    finally:
+        for k, v in before.items():
+            shipped.conf.unset(k) if v is None else shipped.conf.set(k, v)
+    assert got == want and got
