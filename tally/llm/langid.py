@@ -130,6 +130,16 @@ def language_of(spark: SparkSession, model: Languages):
     return of
 
 
+def lettered():
+    """A column function: whether a text holds a letter (null does not)."""
+
+    @pandas_udf("boolean")
+    def of(text):
+        return text.map(has_letter).astype(bool)
+
+    return of
+
+
 def predict(docs: DataFrame, model: Languages, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score, lang_set) of every row."""
     of = language_of(docs.sparkSession, model)

@@ -364,3 +364,14 @@ def test_stages_do_not_depend_on_how_a_second_scan_is_split(shipped, tmp_path, s
         for k, v in before.items():
             shipped.conf.unset(k) if v is None else shipped.conf.set(k, v)
     assert got == want and got
+
+
+def test_documents_stay_where_no_language_can_be_learned(shipped):
+    import corpus_pipeline
+
+    columns = "doc_id long, text string, lang string, source string"
+    held_out = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 5 == 0)
+    for tables in ([(1, None), (2, None)], [(None, "en"), (None, "en")], [(held_out, "en"), (held_out, "en")]):
+        rows = [(i, t, lang, "s") for i, lang in tables for t in ("plain words", "déjà", "12 !?", "", None)]
+        kept = corpus_pipeline.language_id(shipped, shipped.createDataFrame(rows, columns), "").collect()
+        assert sorted(r["text"] for r in kept) == ["déjà"] * 2 + ["plain words"] * 2
