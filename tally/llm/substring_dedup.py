@@ -6,16 +6,15 @@ below a threshold and the byte before a character's start is reached, unless ano
 the ``least`` bytes before; a chunk that gets longer than ``most`` bytes is cut every ``most`` bytes. All of that
 looks at nearby bytes only, so text inserted elsewhere does not move the ends. Equal chunks are found by a
 128-bit digest; a run of adjoining chunks that also stand in other documents is one repeated span, and spans of
-``min_words`` words or more are reported. Of equal chunks those of the
-document with the least doc_id stay.
+``min_words`` words or more are reported. Of equal chunks those in one row stay: the row with the least doc_id, of
+repeated rows with that id the one with the least row number.
 
 The table of chunks is written once and read twice: for one aggregation by digest, with partial counts in
 each task (a passage that very many documents share is one row per task there), and for a join back, whose skewed
 keys Spark splits. Spans are put together per document.
 
-Null and empty texts have no chunk; repeated rows are separate documents, but rows that share the
-least doc_id all keep their chunks; a null doc_id is the largest; an empty table gives an empty result; other columns are
-ignored.
+Null and empty texts have no chunk; repeated rows are separate documents; a null doc_id is the largest; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -117,16 +116,18 @@ def chunks(df: DataFrame, row: str, mean: int, least: int, most: int) -> DataFra
 
 def repeated_chunks(df: DataFrame, row: str, mean: int = 32, least: int = 12, most: int = 256) -> DataFrame:
     """Every chunk that stands in two documents or more: row, doc_id, k (its place), start, length, words, copies,
-    first_doc_id and first (whether its document's occurrences stay)."""
+    first_doc_id and first (whether its row is the one whose occurrences stay)."""
     table = cut_lineage(chunks(df, row, mean, least, most))
     each = table.select("row", "doc_id", F.posexplode(F.arrays_zip("ends", "words", "d1", "d2")).alias("k", "c"), "ends")
     start = F.when(F.col("k") > 0, F.get("ends", F.col("k") - 1)).otherwise(0)
     each = each.select("row", "doc_id", "k", start.alias("start"), (F.col("c.ends") - start).alias("length"), "c.words", "c.d1", "c.d2")
     flat = table.select("row", "doc_id", F.explode(F.arrays_zip("d1", "d2")).alias("c")).select("row", "doc_id", "c.*")
-    known = flat.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("copies"), F.min("row").alias("r0"), F.max("row").alias("r1"), F.min("doc_id").alias("first_doc_id"))
-    known = known.where("r0 < r1").select("d1", "d2", "copies", "first_doc_id")
+    # the complement turns the order round, so that null, the least in a struct, comes last
+    keeper = F.max(F.struct(F.bitwise_not("doc_id").alias("doc_id"), F.bitwise_not("row").alias("row")))
+    known = flat.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("copies"), F.min("row").alias("r0"), F.max("row").alias("r1"), keeper.alias("f"))
+    known = known.where("r0 < r1").select("d1", "d2", "copies", F.bitwise_not("f.doc_id").alias("first_doc_id"), F.bitwise_not("f.row").alias("first_row"))
     hit = each.join(known, ["d1", "d2"])
-    return hit.select("row", "doc_id", "k", "start", "length", "words", "copies", "first_doc_id", F.col("doc_id").eqNullSafe(F.col("first_doc_id")).alias("first"))
+    return hit.select("row", "doc_id", "k", "start", "length", "words", "copies", "first_doc_id", (F.col("row") == F.col("first_row")).alias("first"))
 
 
 def repeated_spans(df: DataFrame, row: str | None = None, min_words: int = 10, **chunking) -> DataFrame:
@@ -163,7 +164,7 @@ def _without(text, parts):
 def remove_repeats(df: DataFrame, min_words: int = 10, **chunking) -> DataFrame:
     """``df`` with the repeated parts of spans cut out of ``text``; every row and column stays."""
     row = fresh(df, "row")
-    numbered = with_row_id(df, row)
+    numbered = cut_lineage(with_row_id(df, row))
     gone = fresh(df, "removed")
     spans = repeated_spans(numbered, row, min_words, **chunking).groupBy("row").agg(F.flatten(F.collect_list("removed")).alias(gone))
     joined = numbered.join(spans.withColumnRenamed("row", row) if row != "row" else spans, row, "left")

@@ -375,3 +375,15 @@ def test_documents_stay_where_no_language_can_be_learned(shipped):
         rows = [(i, t, lang, "s") for i, lang in tables for t in ("plain words", "déjà", "12 !?", "", None)]
         kept = corpus_pipeline.language_id(shipped, shipped.createDataFrame(rows, columns), "").collect()
         assert sorted(r["text"] for r in kept) == ["déjà"] * 2 + ["plain words"] * 2
+
+
+@pytest.mark.parametrize("ids", [(7, 7, 7), (None, None, None), (None, 9, 4), (4, None, 4)])
+def test_one_row_keeps_a_repeated_passage(shipped, ids):
+    passage = _words(random.Random(3), 120)
+    df = shipped.createDataFrame([(i, passage, n) for n, i in enumerate(ids)], "doc_id long, text string, at int").coalesce(1)
+    after = {r["at"]: r["text"] for r in substring_dedup.remove_repeats(df).collect()}
+    keeper = min(range(3), key=lambda n: (ids[n] is None, ids[n] or 0, n))
+    assert after == {n: passage if n == keeper else "" for n in range(3)}
+    spans = substring_dedup.repeated_spans(df).collect()
+    assert [r["first_doc_id"] for r in spans] == [ids[keeper]] * 3
+    assert sorted(sum(e - s for s, e in r["removed"]) for r in spans) == [0, len(passage), len(passage)]
