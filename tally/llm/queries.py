@@ -108,11 +108,11 @@ def op7_language_id(t: Tables):
 
 
 def op8_toxicity_mil(t: Tables):
-    """Toxicity score of every document, and its worst sentence; labels of three folds of four are learned."""
+    """Toxicity score of every document, its worst sentence and every offending one; labels of three folds of four are learned."""
     held_out = quality_gam.remainder("doc_id", 4) == 2
     model = toxicity.fit_labelled(t.documents, t.labels.where(~held_out), "toxic")
     found = toxicity.score(t.documents, model)
-    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "worst_start", "worst_end", "worst_score", "n_offending")
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "worst_start", "worst_end", "worst_score", "n_offending", "offending")
 
 
 def op9_simhash_covering(t: Tables):

@@ -30,6 +30,7 @@ from tally.session import cut_lineage
 SENTENCE = re.compile(r"[^.!?\n]+")
 _EDGE = re.compile(r"^\W+|\W+$")
 PREFIXES = (3, 4, 5)
+SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])
 
 
 def word_features(token: str) -> list[str]:
@@ -62,17 +63,25 @@ class Bags:
         memo = _Memo(lambda t: tuple(f for f in word_features(t) if f in self.weights))
         none = 1.0 / (1.0 + np.exp(-self.bias))
 
-        def of(text: str):
-            """Noisy-or of a text; (start, end, score) of its worst sentence; number of sentences over 0.5."""
+        def of(text: str, found: list | None = None):
+            """Noisy-or of a text; (start, end, score) of its worst sentence; number of sentences of 0.5 or more, each
+            of which is also added to ``found`` as (start, end, score)."""
             kept, worst, over, plain = 0.0, (0, 0, none), 0, 0
             for m in SENTENCE.finditer(text):
                 hit = {f for t in set(m[0].split()) for f in memo[t]}
                 if not hit:
                     plain += 1
+                    if none >= 0.5:
+                        over += 1
+                        if found is not None:
+                            found.append((m.start(), m.end(), float(none)))
                     continue
                 p = 1.0 / (1.0 + np.exp(-min(30.0, max(-30.0, self.bias + sum(map(self.weights.__getitem__, sorted(hit)))))))
                 kept += np.log1p(-min(p, 1 - 1e-12))
-                over += p >= 0.5
+                if p >= 0.5:
+                    over += 1
+                    if found is not None:
+                        found.append((m.start(), m.end(), float(p)))
                 if p > worst[2]:
                     worst = (m.start(), m.end(), p)
             kept += max(plain, not kept) * np.log1p(-none)
@@ -183,15 +192,17 @@ def fit_labelled(docs: DataFrame, labels: DataFrame, label_col: str, max_rows: i
 
 def score(docs: DataFrame, model: Bags) -> DataFrame:
     """doc_id, score, and the worst sentence: worst_start, worst_end (code points), worst_score; n_offending
-    counts the sentences of 0.5 or more."""
+    counts the sentences of 0.5 or more, and offending has the start, end and score of each, in order of place."""
 
     def run(batches):
         of = model.scorer()
         for b in batches:
-            got = [of(t) for t in as_texts(b["text"])]
+            found = [[] for _ in range(len(b))]
+            got = [of(t, f) for t, f in zip(as_texts(b["text"]), found, strict=True)]
             cols = [[g[0] for g in got], [g[1][0] for g in got], [g[1][1] for g in got], [float(g[1][2]) for g in got], [g[2] for g in got]]
             kinds = [pa.float64(), pa.int64(), pa.int64(), pa.float64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=["doc_id", "score", "worst_start", "worst_end", "worst_score", "n_offending"])
+            spans = pa.array([[dict(zip(("start", "end", "score"), x, strict=True)) for x in f] for f in found], pa.list_(SPAN))
+            yield pa.RecordBatch.from_arrays([b["doc_id"], *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True)), spans], names=["doc_id", "score", "worst_start", "worst_end", "worst_score", "n_offending", "offending"])
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return src.mapInArrow(run, "doc_id long, score double, worst_start long, worst_end long, worst_score double, n_offending long")
+    return src.mapInArrow(run, "doc_id long, score double, worst_start long, worst_end long, worst_score double, n_offending long, offending array<struct<start: long, end: long, score: double>>")

@@ -128,3 +128,18 @@ def test_folds_are_crc32_of_the_id_as_text(shipped):
 
     got = shipped.range(50).select("id", quality_gam.remainder("id", 5).alias("r")).collect()
     assert all(r["r"] == zlib.crc32(str(r["id"]).encode()) % 5 for r in got)
+
+
+def test_every_offending_sentence_is_located(shipped):
+    text = "All fine. You awful thing. Bye é\nAwful, vile! Fine again. So vile"
+    docs = shipped.createDataFrame([(1, text), (2, "All fine."), (3, None)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in toxicity.score(docs, toxicity.Bags(-4.0, {"awful": 6.0, "vile": 5.0})).collect()}
+    p = lambda z: 1 / (1 + math.exp(-z))
+    want = [(" You awful thing", p(2)), ("Awful, vile", p(7)), (" So vile", p(1))]
+    found = got[1]["offending"]
+    assert [text[s["start"] : s["end"]] for s in found] == [t for t, _ in want]
+    assert [s["score"] for s in found] == pytest.approx([v for _, v in want])
+    assert got[1]["n_offending"] == 3 and text[got[1]["worst_start"] : got[1]["worst_end"]] == "Awful, vile"
+    assert got[2]["offending"] == got[3]["offending"] == []
+    high = toxicity.score(docs.where("doc_id = 2"), toxicity.Bags(1.0)).first()
+    assert high["n_offending"] == 1 and [(s["start"], s["end"]) for s in high["offending"]] == [(0, 8)]
