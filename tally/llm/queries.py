@@ -1,10 +1,10 @@
-"""Registered queries of the ten operators, with DuckDB SQL where SQL can express the result."""
+"""Registered queries of the operators, with DuckDB SQL where SQL can express the result."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tally.llm import chat_format, exact_dedup, langid, mixing, packing, quality_gam, simhash, substring_dedup, topk, toxicity
+from tally.llm import chat_format, exact_dedup, fill_middle, langid, mixing, packing, quality_gam, simhash, substring_dedup, topk, toxicity
 from tally.llm.common import unsigned_hex
 from tally.plans.registry import query
 from tally.session import cut_lineage
@@ -129,6 +129,37 @@ def op10_substring_dedup(t: Tables):
     return spans.select("doc_id", "span_start", "span_bytes", "span_words", "n_chunks", "copies", "first_doc_id", removed.alias("removed_bytes"))
 
 
+_OP11_SQL = """
+WITH hashed AS (
+    SELECT doc_id, coalesce(text, '') AS x, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), numbers AS (
+    SELECT *, length(x) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+        CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+    FROM hashed
+), formed AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+        CASE WHEN x = '' OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+            WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM numbers
+), cut AS (
+    SELECT *, substr(x, 1, a) AS p, substr(x, a + 1, b - a) AS m, substr(x, b + 1) AS s FROM formed
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+    CAST(CASE WHEN form <> 'plain' THEN a END AS BIGINT) AS prefix_chars,
+    CAST(CASE WHEN form <> 'plain' THEN b - a END AS BIGINT) AS middle_chars,
+    sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE x END) AS output_sha256,
+    sha256(x) AS restored_sha256
+FROM cut
+"""
+
+
+def op11_fill_in_middle(t: Tables):
+    """Every document cut into prefix, middle and suffix of code points, with digests of the output and of the text restored from it."""
+    made = fill_middle.fill_in_middle(t.documents)
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
+
+
 _ALL = {
     op1_chat_format: _OP1_SQL,
     op2_quality_gam: None,
@@ -140,6 +171,7 @@ _ALL = {
     op8_toxicity_mil: None,
     op9_simhash_covering: None,
     op10_substring_dedup: None,
+    op11_fill_in_middle: _OP11_SQL,
 }
 
 
