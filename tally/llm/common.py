@@ -49,3 +49,17 @@ def flat_list(values, lengths, kind: pa.DataType) -> pa.ListArray:
 def unsigned_hex(c: Column) -> Column:
     """16 lowercase hex digits of the 64 bits of a long."""
     return F.lower(F.lpad(F.hex(c), 16, "0"))
+
+
+def matrix(lists: pa.ListArray, width: int):
+    """Rows of a list column of integers as a matrix, padded with zeros."""
+    import numpy as np
+
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    n = np.diff(lists.offsets.to_numpy())
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
+    if len(n) and (n == width).all():
+        return flat.reshape(len(n), width)
+    out = np.zeros((len(n), width), dtype=np.int64)
+    out[np.arange(width) < n[:, None]] = flat
+    return out

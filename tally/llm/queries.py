@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tally.llm import chat_format, exact_dedup, fill_middle, langid, mixing, packing, quality_gam, simhash, substring_dedup, topk, toxicity
+from tally.llm import chat_format, exact_dedup, fill_middle, langid, mixing, packing, quality_gam, simhash, substring_dedup, topk, toxicity, vector_codes
 from tally.llm.common import unsigned_hex
 from tally.plans.registry import query
 from tally.session import cut_lineage
@@ -160,6 +160,52 @@ def op11_fill_in_middle(t: Tables):
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"))
 
 
+def _op12_sql(rounds: int = 6) -> str:
+    """Rounds of assignment and means as one relation each, a row per component."""
+
+    def assigned(i: int) -> str:
+        return f"""
+), far{i} AS (
+    SELECT c.r, c.part, b.entry, sum((c.x - b.e) * (c.x - b.e)) AS d FROM cells c JOIN book{i} b USING (part, pos) GROUP BY ALL
+), near{i} AS MATERIALIZED (
+    SELECT r, part, min(d) AS d, min(d * 256 + entry) % 256 AS entry FROM far{i} GROUP BY ALL"""
+
+    sql = """
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS r, vec_id, label, v
+    FROM (SELECT vec_id, label, embedding, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
+), wide AS (SELECT max(len(v)) // 8 AS w FROM kept
+), cells AS MATERIALIZED (
+    SELECT r, (i - 1) // w AS part, (i - 1) % w AS pos, v[i] AS x FROM (SELECT r, v, w, unnest(range(1, 8 * w + 1)) AS i FROM kept, wide)
+), book0 AS (SELECT part, r AS entry, pos, x AS e FROM cells WHERE r < 16"""
+    for i in range(rounds):
+        sql += assigned(i) + f"""
+), mean{i} AS (
+    SELECT n.part, n.entry, c.pos, sum(c.x) AS s, count(*) AS n FROM near{i} n JOIN cells c USING (r, part) GROUP BY ALL
+), book{i + 1} AS MATERIALIZED (
+    SELECT b.part, b.entry, b.pos, coalesce((m.s - ((m.s % m.n) + m.n) % m.n) // m.n, b.e) AS e
+    FROM book{i} b LEFT JOIN mean{i} m ON m.part = b.part AND m.entry = b.entry AND m.pos = b.pos"""
+    sql += assigned(rounds) + f"""
+), coded AS (
+    SELECT r, string_agg(printf('%02x', CAST(entry AS INT)), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{rounds} GROUP BY r
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+    (SELECT sha256(string_agg(CAST(e AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM book{rounds}) AS codebooks_sha256
+FROM kept JOIN coded USING (r)"""
+    return sql
+
+
+def op12_vector_codes(t: Tables):
+    """Code of every vector in eight parts of sixteen entries, its squared error, that of its label, and the digest of the codebooks."""
+    vectors, width = vector_codes.whole_vectors(t.embeddings, keep=("label",))
+    books = vector_codes.fit(vectors, width)
+    coded = cut_lineage(vector_codes.encode(vectors, books, keep=("label",)))
+    of_label = coded.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
+    found = coded.join(of_label, coded["label"].eqNullSafe(of_label["of"]))
+    return found.select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
 _ALL = {
     op1_chat_format: _OP1_SQL,
     op2_quality_gam: None,
@@ -172,6 +218,7 @@ _ALL = {
     op9_simhash_covering: None,
     op10_substring_dedup: None,
     op11_fill_in_middle: _OP11_SQL,
+    op12_vector_codes: _op12_sql(),
 }
 
 

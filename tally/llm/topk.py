@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tally.llm.common import matrix
 from tally.session import cut_lineage
 
 
@@ -38,18 +39,6 @@ def scaled(df: DataFrame, factor: int = 256, id_col: str = "vec_id", vector_col:
     return df.where(F.col(id_col).isNotNull()).where(F.coalesce(usable(v), F.lit(False))).select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("v")).distinct()
 
 
-def _matrix(lists: pa.ListArray, width: int) -> np.ndarray:
-    """Rows of a list column as a matrix, padded with zeros."""
-    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-    n = np.diff(lists.offsets.to_numpy())
-    flat = lists.flatten().to_numpy(zero_copy_only=False)
-    if len(n) and (n == width).all():
-        return flat.reshape(len(n), width)
-    out = np.zeros((len(n), width), dtype=np.int64)
-    out[np.arange(width) < n[:, None]] = flat
-    return out
-
-
 def _near_order(x: np.ndarray, block_rows: int) -> np.ndarray:
     """An order of rows in which each block of ``block_rows`` rows lies close together."""
     out, todo = [], [np.arange(len(x))]
@@ -72,7 +61,7 @@ def index(vectors: DataFrame, groups: int, block_rows: int) -> DataFrame:
         ids = batch["vec_id"].to_numpy()
         lists = batch["v"].combine_chunks()
         width = int(np.diff(lists.offsets.to_numpy()).max(initial=0))
-        x = _matrix(lists, width)
+        x = matrix(lists, width)
         first = np.argsort(ids, kind="stable")
         order = first[_near_order(x[first], block_rows)]
         parts = [order[a : a + block_rows] for a in range(0, len(order), block_rows)]
@@ -97,7 +86,7 @@ def _search(blocks: pa.Table, queries: pa.Table, k: int) -> pa.Table:
     ids[filled] = blocks["ids"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
     x = np.zeros((len(n), most, width), dtype=np.int64)
     x[filled, :own] = blocks["rows"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, own)
-    top, low, q = _matrix(blocks["top"], width), _matrix(blocks["low"], width), _matrix(queries["v"], width)
+    top, low, q = matrix(blocks["top"], width), matrix(blocks["low"], width), matrix(queries["v"], width)
     q_ids = queries["query_id"].to_numpy()
     kind = np.float64 if float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * max(1, width) < 2**53 else np.int64
     q, x = q.astype(kind), x.astype(kind)
