@@ -55,9 +55,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path under the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tally-{uuid.uuid4().hex}"
+
+
 def write_scratch(df: DataFrame) -> str:
     """Write ``df`` as Parquet under the shared folder and return the path."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tally-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession)
     df.write.mode("overwrite").parquet(path)
     return path
 
