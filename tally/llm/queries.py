@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tally.llm import chat_format, exact_dedup, fill_middle, langid, mixing, packing, quality_gam, simhash, substring_dedup, topk, toxicity, vector_codes
+from tally.llm import chat_format, exact_dedup, fill_middle, langid, mixing, packing, quality_gam, simhash, substring_dedup, token_files, topk, toxicity, vector_codes
 from tally.llm.common import unsigned_hex
 from tally.plans.registry import query
-from tally.session import cut_lineage
+from tally.session import cut_lineage, scratch_path
 from tally.sources.io import Tables
 
 
@@ -206,6 +206,13 @@ def op12_vector_codes(t: Tables):
     return found.select("vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
 
 
+def op13_token_files(t: Tables):
+    """Place, number and checksum of every document's token ids, read back from sorted ORC files."""
+    path = scratch_path(t.spark)
+    token_files.write_tokens(t.documents, path, tokenizer_path())
+    return token_files.checksums(token_files.read_tokens(t.spark, path))
+
+
 _ALL = {
     op1_chat_format: _OP1_SQL,
     op2_quality_gam: None,
@@ -219,6 +226,7 @@ _ALL = {
     op10_substring_dedup: None,
     op11_fill_in_middle: _OP11_SQL,
     op12_vector_codes: _op12_sql(),
+    op13_token_files: None,
 }
 
 
