@@ -1,7 +1,8 @@
 """Time-series statistics for any number of series.
 
 Input is long: ``(series, ts, value)``; order is always the ``ts`` column, never row position.
-Lags and frames are per-series windows (a window streams its partition with a bounded buffer).
+Lags and frames are per-series windows (a window streams its partition with a bounded buffer); with ``bucket_rows``
+they run over buckets of that many rows with a halo instead (``operators/halo.py``), for series that outgrow a task.
 Everything that needs a per-series solve (PACF, ADF) first reduces the series to a handful of
 sums in Spark; only those sums reach Python, in ``applyInPandas`` over one row per series.
 """
@@ -16,65 +17,65 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tally.operators import halo
 
-def _w(series: str, ts: str):
-    return Window.partitionBy(series).orderBy(ts)
 
-
-def ts_difference(df: DataFrame, series: str, ts: str, value: str, seasonal: int = 12) -> DataFrame:
+def ts_difference(df: DataFrame, series: str, ts: str, value: str, seasonal: int = 12, bucket_rows: int | None = None) -> DataFrame:
     """W3 + X26: first and second differences, seasonal difference, log and log difference.
 
     ``ln`` is null for values <= 0 (numpy gives -inf / nan)."""
-    w = _w(series, ts)
+    rows, w = halo.frames(df.select(series, ts, value), series, ts, max(2, seasonal), 0, bucket_rows)
     x = F.col(value)
     d1 = x - F.lag(x, 1).over(w)
-    out = df.select(series, ts, value).withColumns(
+    out = rows.withColumns(
         {
             "diff_1": d1,
             "seasonal_diff": x - F.lag(x, seasonal).over(w),
             "log_value": F.ln(x),
         }
     )
-    return out.withColumns(
+    out = out.withColumns(
         {
             "diff_2": F.col("diff_1") - F.lag("diff_1", 1).over(w),
             "log_diff": F.col("log_value") - F.lag("log_value", 1).over(w),
         }
     )
+    return halo.owned(out).drop(halo.G)
 
 
-def ts_rolling(df: DataFrame, series: str, ts: str, value: str, window: int = 12) -> DataFrame:
+def ts_rolling(df: DataFrame, series: str, ts: str, value: str, window: int = 12, bucket_rows: int | None = None) -> DataFrame:
     """W4 + W5: rolling mean and sample std over the last ``window`` rows, null until the
     window is full; ``detrended`` = value - rolling mean (rows without it are dropped)."""
-    frame = _w(series, ts).rowsBetween(1 - window, 0)
+    rows, w = halo.frames(df.select(series, ts, value), series, ts, window - 1, 0, bucket_rows)
+    frame = w.rowsBetween(1 - window, 0)
     full = F.count(F.col(value)).over(frame) == window
-    out = df.select(series, ts, value).withColumns(
+    out = rows.withColumns(
         {
             "rolling_mean": F.when(full, F.avg(value).over(frame)),
             "rolling_std": F.when(full, F.stddev_samp(value).over(frame)),
         }
     )
-    return out.withColumn("detrended", F.col(value) - F.col("rolling_mean")).dropna(subset=["detrended"])
+    return halo.owned(out).drop(halo.G).withColumn("detrended", F.col(value) - F.col("rolling_mean")).dropna(subset=["detrended"])
 
 
-def ts_decompose(df: DataFrame, series: str, ts: str, value: str, period: int = 12) -> DataFrame:
+def ts_decompose(df: DataFrame, series: str, ts: str, value: str, period: int = 12, bucket_rows: int | None = None) -> DataFrame:
     """Additive decomposition (moving-average trend, phase means, residual).
 
     Trend is the centred 2 x ``period`` moving average for even periods (plain centred mean for
     odd), null where the window is incomplete. Seasonal = mean of the detrended values of the
     row's phase ``(pos - 1) % period`` minus the mean of the phase means; resid = x - trend - seasonal.
     """
-    w = _w(series, ts)
     half = period // 2
+    rows, w = halo.frames(df.select(series, ts, value), series, ts, half, half, bucket_rows)
     frame = w.rowsBetween(-half, half)
     x = F.col(value)
-    base = df.select(series, ts, value).withColumn("_pos", F.row_number().over(w))
     if period % 2 == 0:
         trend = (F.sum(x).over(frame) - 0.5 * F.lag(x, half).over(w) - 0.5 * F.lead(x, half).over(w)) / period
     else:
         trend = F.avg(x).over(frame)
     full = F.count(x).over(frame) == 2 * half + 1
-    base = base.withColumn("trend", F.when(full, trend)).withColumn("_phase", (F.col("_pos") - 1) % period)
+    base = halo.owned(rows.withColumn("trend", F.when(full, trend)))
+    base = halo.position(base, series, ts).withColumn("_phase", (F.col("_pos") - 1) % period)
     phase = base.groupBy(series, "_phase").agg(F.avg(F.col(value) - F.col("trend")).alias("_pm"))
     phase = phase.withColumn("seasonal", F.col("_pm") - F.avg("_pm").over(Window.partitionBy(series))).drop("_pm")
     out = base.join(phase, [series, "_phase"], "left")
@@ -83,25 +84,25 @@ def ts_decompose(df: DataFrame, series: str, ts: str, value: str, period: int =
     )
 
 
-def ts_durbin_watson(df: DataFrame, series: str, ts: str, value: str) -> DataFrame:
+def ts_durbin_watson(df: DataFrame, series: str, ts: str, value: str, bucket_rows: int | None = None) -> DataFrame:
     """``sum((x_t - x_{t-1})^2) / sum(x_t^2)`` per series."""
-    w = _w(series, ts)
+    rows, w = halo.frames(df.select(series, ts, value), series, ts, 1, 0, bucket_rows)
     d = F.col(value) - F.lag(value, 1).over(w)
     return (
-        df.select(series, ts, value, d.alias("_d"))
+        halo.owned(rows.withColumn("_d", d))
         .groupBy(series)
         .agg(F.try_divide(F.sum(F.col("_d") * F.col("_d")), F.sum(F.col(value) * F.col(value))).alias("durbin_watson"))
     )
 
 
-def ts_acf(df: DataFrame, series: str, ts: str, value: str, nlags: int = 24) -> DataFrame:
+def ts_acf(df: DataFrame, series: str, ts: str, value: str, nlags: int = 24, bucket_rows: int | None = None) -> DataFrame:
     """T4: biased autocorrelation ``sum (x_t - m)(x_{t+k} - m) / sum (x_t - m)^2`` for k = 0..nlags,
     long form ``(series, lag, acf)``. One window pass generates all leads; one aggregation sums."""
     means = df.groupBy(series).agg(F.avg(value).alias("_m"))
-    w = _w(series, ts)
-    c = df.select(series, ts, value).join(means, series).withColumn("_c", F.col(value) - F.col("_m"))
+    rows, w = halo.frames(df.select(series, ts, value), series, ts, 0, nlags, bucket_rows)
+    c = rows.join(means, series).withColumn("_c", F.col(value) - F.col("_m"))
     leads = {f"_l{k}": F.lead("_c", k).over(w) for k in range(1, nlags + 1)}
-    c = c.withColumns(leads)
+    c = halo.owned(c.withColumns(leads))
     sums = c.groupBy(series).agg(
         F.sum(F.col("_c") * F.col("_c")).alias("_s0"),
         *[F.sum(F.col("_c") * F.col(f"_l{k}")).alias(f"_s{k}") for k in range(1, nlags + 1)],
@@ -204,7 +205,26 @@ def _unpack(xx: np.ndarray, k: int, ncols: int) -> np.ndarray:
     return g[:k, :k]
 
 
-def ts_adf(df: DataFrame, series: str, ts: str, value: str, maxlag: int | None = None) -> DataFrame:
+def adf_statistic(n: float, yy: float, xy: np.ndarray, xx: np.ndarray, noise: float = 1e-12) -> float | None:
+    """t of the second coefficient; None where the sums leave no residual or do not determine the coefficient.
+
+    ``noise`` is the share of ``yy`` (and of a column's own square sum) below which a rest is rounding."""
+    k = len(xy)
+    scale = np.sqrt(np.diag(xx))
+    if n <= k or not yy > 0 or (scale <= 0).any():
+        return None
+    unit = xx / np.outer(scale, scale)
+    if np.linalg.eigvalsh(unit)[0] < noise:
+        return None
+    inv = np.linalg.inv(unit)
+    b = inv @ (xy / scale)
+    ssr = float(yy - b @ (xy / scale))
+    if ssr <= noise * yy:
+        return None
+    return float(b[1] / math.sqrt(ssr / (n - k) * inv[1, 1]))
+
+
+def ts_adf(df: DataFrame, series: str, ts: str, value: str, maxlag: int | None = None, bucket_rows: int | None = None) -> DataFrame:
     """Augmented Dickey-Fuller test with a constant and lag order chosen by AIC.
 
     Per series: ``dy_t = a + b y_{t-1} + sum_i g_i dy_{t-i}``, lags 0..maxlag compared on the common
@@ -218,7 +238,14 @@ def ts_adf(df: DataFrame, series: str, ts: str, value: str, maxlag: int | None =
 
     ``maxlag`` bounds the lag columns generated; by default it is the largest per-series
     ``ceil(12 (n/100)^(1/4))`` (one small aggregate read back to size the plan).
+
+    Null values are dropped first. Statistic, p-value, critical values and verdict are null where the test is not
+    defined: fewer rows than the regression has columns and one more, or nothing that varies about the fitted line (a
+    constant, a straight line, a periodic series that its lags foretell exactly). A series without any value keeps a
+    row with 0 observations.
     """
+    every = df.select(series).distinct()
+    df = df.select(series, ts, F.col(value).cast("double").alias(value)).where(F.col(value).isNotNull() & ~F.isnan(value))
     stats = df.groupBy(series).agg(
         F.count(value).alias("_n"), F.avg(value).alias("_mu"), F.stddev_pop(value).alias("_sd")
     )
@@ -233,11 +260,12 @@ def ts_adf(df: DataFrame, series: str, ts: str, value: str, maxlag: int | None =
         maxlag = int(stats.agg(F.max("_m")).first()[0] or 0)
     K = max(0, maxlag)
     stats = stats.withColumn("_m", F.greatest(F.lit(0), F.least(F.col("_m"), F.lit(K))))
-    w = _w(series, ts)
+    rows, w = halo.frames(df, series, ts, K + 1, 0, bucket_rows)
     z = (F.col(value) - F.col("_mu")) / F.when(F.col("_sd") > 0, F.col("_sd")).otherwise(F.lit(1.0))
-    base = df.select(series, ts, value).join(stats, series).withColumn("_z", z).withColumn("_idx", F.row_number().over(w))
+    base = rows.join(stats, series).withColumn("_z", z)
     base = base.withColumn("_dz", F.col("_z") - F.lag("_z", 1).over(w)).withColumn("_zl", F.lag("_z", 1).over(w))
-    base = base.withColumns({f"_d{i}": F.lag("_dz", i).over(w) for i in range(1, K + 1)})
+    base = halo.owned(base.withColumns({f"_d{i}": F.lag("_dz", i).over(w) for i in range(1, K + 1)}))
+    base = halo.position(base, series, ts, "_idx")
     ncols = K + 2
     x_cols = [F.lit(1.0), F.col("_zl")] + [F.col(f"_d{i}") for i in range(1, K + 1)]
     # One pass. Rows with every lag available (idx >= K + 2) are summed into a Gram matrix; the
@@ -253,14 +281,14 @@ def ts_adf(df: DataFrame, series: str, ts: str, value: str, maxlag: int | None =
         .groupBy(series)
         .agg(F.collect_list(F.struct("_idx", F.col("_dz").alias("_y"), F.array(*x_cols).alias("_x"))).alias("_early"))
     )
-    per = stats.select(series, "_m").join(g, series, "left").join(early, series, "left")
+    per = every.join(stats.select(series, "_m"), series, "left").join(g, series, "left").join(early, series, "left")
     key_type = df.schema[series].dataType.simpleString()
 
     def test(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for _, r in pdf.iterrows():
-            m = int(r["_m"])
             have = r["_nobs"] is not None and not (isinstance(r["_nobs"], float) and math.isnan(r["_nobs"]))
+            m = 0 if r["_m"] is None or pd.isna(r["_m"]) else int(r["_m"])
             g_n = float(r["_nobs"]) if have else 0.0
             g_yy = float(r["_yy"]) if have else 0.0
             g_xy = np.asarray(r["_xy"], dtype=float) if have else np.zeros(ncols)
@@ -283,6 +311,8 @@ def ts_adf(df: DataFrame, series: str, ts: str, value: str, maxlag: int | None =
             for lag in range(0, m + 1):
                 k = lag + 2
                 n, yy, xy, xx = sums(m + 2, k)
+                if n <= k:
+                    break
                 b = np.linalg.lstsq(xx, xy, rcond=None)[0]
                 ssr = max(float(yy - b @ xy), 1e-300)
                 llf = -n / 2.0 * (math.log(2 * math.pi) + math.log(ssr / n) + 1.0)
@@ -292,14 +322,13 @@ def ts_adf(df: DataFrame, series: str, ts: str, value: str, maxlag: int | None =
             used = best[1] if best else 0
             k = used + 2
             n, yy, xy, xx = sums(used + 2, k)
-            inv = np.linalg.pinv(xx)
-            b = inv @ xy
-            ssr = float(yy - b @ xy)
-            stat = float(b[1] / math.sqrt(ssr / (n - k) * inv[1, 1]))
-            cv = adf_critical_values(int(n))
-            p = adf_pvalue(stat)
+            found = adf_statistic(n, yy, xy, xx)
+            if found is None:
+                rows.append((r[series], None, None, used, int(n), None, None, None, None))
+                continue
+            cv, p = adf_critical_values(int(n)), adf_pvalue(found)
             rows.append(
-                (r[series], stat, p, used, int(n), cv["1%"], cv["5%"], cv["10%"],
+                (r[series], found, p, used, int(n), cv["1%"], cv["5%"], cv["10%"],
                  "stationary" if p <= 0.05 else "non-stationary")
             )
         return pd.DataFrame(

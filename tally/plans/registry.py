@@ -46,6 +46,7 @@ def load_all() -> None:
         q_dims,
         q_promo,
         q_ts,
+        q_long,
         q_forecast,
         q_ml,
         q_regress,
