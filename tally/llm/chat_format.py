@@ -9,8 +9,10 @@ already), which a reader takes off again. A turn is written
     <s>assistant[ANS]text</s>       for the assistant; the text is under the loss mask
 
 ``format_turns`` returns one row per turn, so no task holds a whole conversation; ``read_back`` streams
-the sorted turns of each conversation with a running state, in memory that does not grow with the
-conversation; ``assemble`` builds one row per conversation for conversations that fit a row.
+the sorted turns of each conversation with a running state, in memory that grows with the rows of one turn only (their
+order is decided by their texts); ``assemble`` builds one row per conversation for conversations that fit a row, rows
+of equal turn in the order of their ids there. The digest of a conversation runs through all of its turns, so one
+conversation is one task.
 
 Null role or text counts as empty; null conv_id is a conversation of its own; turns sort with null
 first, rows of equal turn by role and text; repeated rows are repeated turns; an empty table gives an
@@ -66,7 +68,7 @@ def loss_mask(ids: np.ndarray, first: int) -> np.ndarray:
 
 
 def format_turns(df: DataFrame, tokenizer: str, first_reserved: int = 50257) -> DataFrame:
-    """(conv_id, turn, role, text) -> (conv_id, turn, sort_key, token_ids, loss_mask), one row per turn."""
+    """(conv_id, turn, role, text) -> (conv_id, turn, token_ids, loss_mask), one row per turn."""
 
     def run(batches):
         for b in batches:
@@ -110,33 +112,39 @@ def read_back(turns: DataFrame, tokenizer: str, first_reserved: int = 50257) ->
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
 
     def run(batches):
-        state = None
+        state, same = None, []  # same: the rows of the turn that is being read
 
         def closed():
-            conv, n, all_turns, chars, learned, written = state
+            conv, _, n, all_turns, chars, learned, written = state
             return conv, n, all_turns.hexdigest(), chars, learned.hexdigest(), written
 
+        def turn_read():
+            for role, text, learned, written in sorted(same, key=lambda r: (r[0].encode(), r[1].encode())):
+                state[2] += 1
+                state[3].update(f"{role}\n{text}\n".encode())
+                if learned is not None:
+                    state[4] += len(learned)
+                    state[5].update(learned.encode())
+                state[6] += written
+            same.clear()
+
         for b in batches:
             done = []
             ids, masks = b["token_ids"], b["loss_mask"]
-            for i, conv in enumerate(b["conv_id"].to_pylist()):
+            for i, (conv, turn) in enumerate(zip(b["conv_id"].to_pylist(), b["turn"].to_pylist(), strict=True)):
+                if state is not None and (state[0], state[1]) != (conv, turn):
+                    turn_read()
+                    state[1] = turn
                 if state is None or state[0] != conv:
                     if state is not None:
                         done.append(closed())
-                    state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                role, text, learned, written = split_turn(
-                    ids[i].values.to_numpy(zero_copy_only=False), masks[i].values.to_numpy(zero_copy_only=False), tokenizer, first_reserved
-                )
-                state[1] += 1
-                state[2].update(f"{role}\n{text}\n".encode())
-                if learned is not None:
-                    state[3] += len(learned)
-                    state[4].update(learned.encode())
-                state[5] += written
+                    state = [conv, turn, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                same.append(split_turn(ids[i].values.to_numpy(zero_copy_only=False), masks[i].values.to_numpy(zero_copy_only=False), tokenizer, first_reserved))
             if done:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)], names=names)
         if state is not None:
+            turn_read()
             yield pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(closed(), kinds)], names=names)
 
-    ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "token_ids")
+    ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn")
     return ordered.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
+
+from tally.session import cut_lineage
 
 #: bytes.split() cuts at exactly these six: space, tab, line feed, vertical tab, form feed, return
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,10 +27,33 @@ def with_row_id(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-@pandas_udf(T.LongType())
-def word_count(text):
-    """Words ``[^\\x20\\x09-\\x0D]+`` of a whole text; null counts as empty."""
-    return text.map(lambda t: len(t.encode("utf-8", "surrogatepass").split()) if t else 0).astype("int64")
+def _is_file_scan(df: DataFrame) -> bool:
+    """True for a file scan with projections and filters on it, where a row of the file is one row at most."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation"
+
+
+def numbered_rows(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a number for each row that is the same in every scan, however its files are split.
+
+    Rows of Parquet files are numbered by file (in the order of their paths) and by place in the file, both from the
+    reader's metadata, so no copy is made; the driver, which lists the files anyway, gets one path per file. Rows of
+    anything else are numbered as they come and written."""
+    file, place = fresh(df, "file_"), fresh(df, "place_")
+    try:
+        if not _is_file_scan(df):
+            raise AnalysisException("no file scan")
+        placed = df.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(place))
+    except AnalysisException:
+        return cut_lineage(with_row_id(df, name))
+    paths = sorted(r[0] for r in df.select("_metadata.file_path").distinct().collect())
+    number, of = fresh(placed, "number_"), fresh(placed, "of_")
+    files = df.sparkSession.createDataFrame(list(enumerate(paths)), f"`{number}` long, `{of}` string")
+    # as many rows as files
+    joined = placed.join(F.broadcast(files), F.col(file) == F.col(of))
+    return joined.select(*df.columns, F.shiftleft(number, 40).bitwiseOR(F.col(place)).alias(name))
 
 
 def as_texts(column: pa.Array) -> list[str]:

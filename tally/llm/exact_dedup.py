@@ -7,13 +7,16 @@ documents get the same final name exactly if their texts are equal. A pair is na
 document without a partner for its last name carries it on unpaired as a pair with nothing.
 
 Sorting is split by hash: a name is (bucket of the value's hash, dense rank inside the bucket), which depends
-on the values alone and survives recomputation. Before the one shuffle of text, each Arrow batch sends an equal
-block once, with the list of places it stands at, so a block that a third of all documents share costs its
-bucket a row per batch, not a row per document. Higher levels name distinct pairs only and join them back.
+on the values alone and survives recomputation. Blocks are named apart from the places they stand at. For the names,
+each Arrow batch sends an equal block once, so a block that a third of all documents share costs its bucket a row per
+batch. The places carry the block's SHA-256 and are joined to the names by it, with a skewed digest split by Spark;
+that no two different blocks have the same digest is checked (an error says so), so names stay free of collisions.
+Higher levels name distinct pairs only and join them back.
 
 Null text counts as empty. Equal means the same bytes after lower-casing A-Z only. The row with the largest
 doc_id stays, of repeated rows with that id the one with the largest row number; a null doc_id is the
-smallest. Other columns are ignored.
+smallest. A text of any length is read whole, in blocks; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -35,40 +38,59 @@ def normalise(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass").lower()  # bytes.lower() changes A-Z only
 
 
+def _source(df: DataFrame, row: str) -> DataFrame:
+    return df.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def _cut(raw: bytes, block_bytes: int) -> list[bytes]:
+    return [raw[a : a + block_bytes] for a in range(0, max(1, len(raw)), block_bytes)]
+
+
 def blocks(df: DataFrame, row: str, block_bytes: int) -> DataFrame:
-    """(block, at array<struct<row, doc_id, i, sha256>>): the distinct blocks of each batch and where they stand;
-    block 0 of a document also carries the digest of its whole text."""
-    at = pa.struct([("row", pa.int64()), ("doc_id", pa.int64()), ("i", pa.int32()), ("sha256", pa.binary())])
+    """(block, digest): the distinct blocks of each batch."""
 
     def run(batches):
         for b in batches:
-            places: dict[bytes, list] = {}
-            for row_id, doc, text in zip(b["row"].to_pylist(), b["doc_id"].to_pylist(), as_texts(b["text"]), strict=True):
-                raw = normalise(text)
-                for i, start in enumerate(range(0, max(1, len(raw)), block_bytes)):
-                    places.setdefault(raw[start : start + block_bytes], []).append((row_id, doc, i, hashlib.sha256(raw).digest() if i == 0 else None))
-            yield from _in_parts(places, at)
+            found = list({block for t in as_texts(b["text"]) for block in _cut(normalise(t), block_bytes)})
+            step = max(1, (16 << 20) // block_bytes)
+            for a in range(0, len(found), step):
+                part = found[a : a + step]
+                digests = [hashlib.sha256(x).digest() for x in part]
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array(digests, pa.binary())], names=["block", "digest"])
 
-    src = df.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return src.mapInArrow(run, "block binary, at array<struct<row: long, doc_id: long, i: int, sha256: binary>>")
+    return _source(df, row).select("text").mapInArrow(run, "block binary, digest binary")
 
 
-def _in_parts(places: dict[bytes, list], at: pa.DataType, most: int = 16 << 20):
-    """Record batches of about ``most`` bytes of blocks."""
-    keys, size = [], 0
-    for k in places:
-        keys.append(k)
-        size += len(k) + 48 * len(places[k])
-        if size >= most:
-            yield _part(keys, places, at)
-            keys, size = [], 0
-    if keys:
-        yield _part(keys, places, at)
+def places(df: DataFrame, row: str, block_bytes: int) -> DataFrame:
+    """(row, doc_id, i, digest, sha256): every block of every text by its digest; block 0 also carries the digest of the
+    whole text."""
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+    names = ["row", "doc_id", "i", "digest", "sha256"]
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for row_id, doc, text in zip(b["row"].to_pylist(), b["doc_id"].to_pylist(), as_texts(b["text"]), strict=True):
+                raw = normalise(text)
+                whole = hashlib.sha256(raw).digest()
+                if len(raw) <= block_bytes:
+                    out.append((row_id, doc, 0, whole, whole))
+                else:
+                    out += [(row_id, doc, i, hashlib.sha256(x).digest(), None if i else whole) for i, x in enumerate(_cut(raw, block_bytes))]
+            cols = list(zip(*out)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+
+    return _source(df, row).mapInArrow(run, "row long, doc_id long, i int, digest binary, sha256 binary")
 
 
-def _part(keys, places, at):
-    rows = [[dict(zip(("row", "doc_id", "i", "sha256"), p, strict=True)) for p in places[k]] for k in keys]
-    return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(rows, pa.list_(at))], names=["block", "at"])
+def block_names(df: DataFrame, row: str, block_bytes: int) -> DataFrame:
+    """(digest, name) of every distinct block, written."""
+    each = blocks(df, row, block_bytes).withColumn("bucket", _bucket("block"))
+    before = F.lag("block").over(Window.partitionBy("bucket").orderBy("block"))
+    named = each.select("digest", _name(F.col("bucket"), "block").alias("name"), (before.isNull() | (before != F.col("block"))).alias("first"))
+    one = named.where("first").groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("name"))
+    clash = F.raise_error(F.lit("two different blocks have the same SHA-256")).cast("long")
+    return cut_lineage(one.select("digest", F.when(F.col("n") == 1, F.col("name")).otherwise(clash).alias("name")))
 
 
 def _name(bucket: Column, *order: str) -> Column:
@@ -84,8 +106,7 @@ def _bucket(*values: str) -> Column:
 def identities(df: DataFrame, row: str, block_bytes: int = 4096) -> DataFrame:
     """(row, doc_id, sha256, name) of every row: equal names exactly for equal texts."""
     spark = df.sparkSession
-    named = blocks(df, row, block_bytes).withColumn("bucket", _bucket("block")).withColumn("name", _name(F.col("bucket"), "block"))
-    placed = named.select("name", F.explode("at").alias("p")).select("name", "p.*")
+    placed = places(df, row, block_bytes).join(block_names(df, row, block_bytes), "digest")
     gathered = placed.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("sha256").alias("sha256"), F.sort_array(F.collect_list(F.struct("i", "name"))).alias("s"))
     base = cut_lineage(gathered.select("row", "doc_id", "sha256", F.col("s.name").alias("names")))
     longest = base.agg(F.max(F.size("names"))).first()[0] or 1

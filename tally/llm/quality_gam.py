@@ -5,7 +5,7 @@ over the figures, are added up into one lookup table per figure; the pairs of fi
 most of what is left then get two-way tables the same way. A score is the sum of the table entries of a
 document's bins, so scoring is a search into bin edges and additions, vectorised over a batch.
 
-The tables are fitted on the driver from about ``max_rows`` labelled rows (``sample_labelled``), chosen by
+The tables are fitted on the driver from about ``max_rows`` labelled rows (``bounded_sample``), chosen by
 a hash of the id: the sample does not grow with the data, and only its figures (no texts) reach the driver.
 
 Null and empty texts have the figures of an empty text and get a score like any other; rows repeat
@@ -41,7 +41,7 @@ FIGURES = (
     "bars",
     "exclamations",
     "beyond_ascii",
-    "words_with_inner_marks",
+    "words_ending_in_marks",
 )
 
 _BYTES = np.arange(256)
@@ -69,7 +69,7 @@ def figures(text: str) -> list[float]:
         return [0.0] * len(FIGURES)
     counts = Counter(words)
     shares = _CLASSES @ np.bincount(np.frombuffer(raw, np.uint8), minlength=256) / len(raw)
-    inner = sum(not w[-1:].isalnum() and w[-1] < 128 for w in counts)
+    ending = sum(not w[-1:].isalnum() and w[-1] < 128 for w in counts)
     return [
         float(np.log1p(n)),
         sum(map(len, words)) / n,
@@ -79,7 +79,7 @@ def figures(text: str) -> list[float]:
         len(set(lines)) / len(lines),
         float(np.log1p(n / len(lines))),
         *shares.tolist(),
-        inner / len(counts),
+        ending / len(counts),
     ]
 
 
@@ -102,12 +102,18 @@ def remainder(id_col: str | Column, n: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary") if isinstance(id_col, str) else id_col.cast("string").cast("binary")) % n
 
 
-def sample_labelled(rows: DataFrame, id_col: str, max_rows: int, seed: int = 17) -> DataFrame:
-    """About ``max_rows`` rows, the same whenever asked: those whose hashed id falls under a share."""
+def bounded_sample(rows: DataFrame, cols: list[str], max_rows: int, seed: int = 17) -> DataFrame:
+    """At most ``max_rows`` of the distinct rows of ``cols``, those of least hash: the same ones whenever asked.
+
+    All of them where they are no more; a row that is repeated counts once."""
+    rows = rows.dropDuplicates(cols)
     total = rows.count()
     if total <= max_rows:
         return rows
-    return rows.where(F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(1_000_000)) < int(1_000_000 * max_rows / total))
+    h = F.xxhash64(F.lit(seed), *cols)
+    # about half as many more as are wanted, so the sort sees few rows; then exactly as many
+    near = rows.where(F.pmod(h, F.lit(1_000_000)) <= int(1_500_000 * max_rows / total))
+    return near.orderBy(F.pmod(h, F.lit(1_000_000)), h, *cols).limit(max_rows)
 
 
 @dataclass
@@ -206,9 +212,12 @@ def fit(x: np.ndarray, y: np.ndarray, bins: int = 24, rounds: int = 150, rate: f
 
 
 def fit_labelled(known: DataFrame, labels: DataFrame, label_col: str, max_rows: int = 20_000) -> Gam:
-    """Fit on (doc_id, figures) joined to (doc_id, 0/1 label) rows, on about ``max_rows`` of them."""
+    """Fit on (doc_id, figures) joined to (doc_id, 0/1 label) rows, on ``max_rows`` distinct rows of them at most: so
+    many labels are chosen first, and of the documents with their ids so many again (an id may be repeated)."""
     marked = labels.select(F.col("doc_id").cast("long"), F.col(label_col).cast("int").alias("y")).where("y is not null")
-    rows = sample_labelled(marked, "doc_id", max_rows).join(known, "doc_id").orderBy("doc_id", "y").toPandas()
+    chosen = F.broadcast(bounded_sample(marked, ["doc_id", "y"], max_rows))
+    found = bounded_sample(known.join(chosen, "doc_id").select("doc_id", "y", "figures"), ["doc_id", "y", "figures"], max_rows)
+    rows = found.orderBy("doc_id", "y", "figures").toPandas()
     x = np.array(rows["figures"].tolist(), dtype=np.float32).reshape(-1, len(FIGURES))
     return fit(x, rows["y"].to_numpy(np.float64))
 

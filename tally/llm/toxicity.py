@@ -5,7 +5,7 @@ word). A logistic score p of every sentence gives the document the noisy-or 1 -
 sentence is enough. Weights are trained from document labels alone; the sentence scores then say where.
 
 The model is fitted on about ``max_rows`` labelled documents (chosen by hash, see
-``quality_gam.sample_labelled``): which features are kept is decided by counts over them in Spark, and the
+``quality_gam.bounded_sample``): which features are kept is decided by counts over them in Spark, and the
 weights are fitted on the driver from the kept features of each sentence.
 
 Null and empty texts count as one sentence without features and get its score; rows repeat as given;
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.llm.common import as_texts
-from tally.llm.quality_gam import sample_labelled
+from tally.llm.quality_gam import bounded_sample
 from tally.session import cut_lineage
 
 SENTENCE = re.compile(r"[^.!?\n]+")
@@ -153,11 +153,13 @@ def _train(sentences: np.ndarray, sizes: np.ndarray, feats: np.ndarray, y: np.nd
 
 
 def fit_labelled(docs: DataFrame, labels: DataFrame, label_col: str, max_rows: int = 16_000, features: int = 2000, steps: int = 300, rate: float = 0.05, ridge: float = 1e-5) -> Bags:
-    """Fit from (doc_id, text) and (doc_id, 0/1 label) on about ``max_rows`` labelled documents. The list of
-    chosen ids is that bounded sample, so it is broadcast; texts are not shuffled."""
-    marked = labels.select(F.col("doc_id").cast("long"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)").distinct()
-    chosen = F.broadcast(sample_labelled(marked, "doc_id", max_rows))
-    rows = cut_lineage(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(chosen, "doc_id"))
+    """Fit from (doc_id, text) and (doc_id, 0/1 label) on ``max_rows`` distinct labelled documents at most. So many
+    labels are chosen first (that list is bounded, so it is broadcast and texts are not shuffled), and of the
+    documents with their ids so many again (an id may be repeated)."""
+    marked = labels.select(F.col("doc_id").cast("long"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)")
+    chosen = F.broadcast(bounded_sample(marked, ["doc_id", "y"], max_rows))
+    texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    rows = cut_lineage(bounded_sample(texts.join(chosen, "doc_id"), ["doc_id", "y", "text"], max_rows))
     kept, t0, t1 = choose_features(rows, features)
     if not kept:
         rate1 = (t1 + 0.5) / (t0 + t1 + 1.0)

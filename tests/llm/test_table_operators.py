@@ -387,3 +387,104 @@ def test_one_row_keeps_a_repeated_passage(shipped, ids):
     spans = substring_dedup.repeated_spans(df).collect()
     assert [r["first_doc_id"] for r in spans] == [ids[keeper]] * 3
     assert sorted(sum(e - s for s, e in r["removed"]) for r in spans) == [0, len(passage), len(passage)]
+
+
+# the same result on any split of the input
+
+
+def _split_scans(spark, path):
+    """The same files read in few and in many splits; the settings are put back by the caller."""
+    for size in ("64m", "8k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        yield spark.read.parquet(path)
+
+
+@pytest.fixture
+def scan_settings(shipped):
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: shipped.conf.get(k, None) for k in keys}
+    yield
+    for k, v in before.items():
+        shipped.conf.unset(k) if v is None else shipped.conf.set(k, v)
+
+
+def test_mix_does_not_depend_on_the_split(shipped, tmp_path, scan_settings):
+    rng = random.Random(2)
+    rows = [(i % 170 if i % 3 else 5, _words(rng, rng.randint(1, 60)) if i % 4 else "one repeated row of words", f"s{i % 2}") for i in range(900)]
+    shipped.createDataFrame(rows, "doc_id long, text string, source string").repartition(5).write.parquet(f"{tmp_path}/d")
+    got = [sorted(map(str, mixing.mix(df, shard_words=700).drop("row").collect())) for df in _split_scans(shipped, f"{tmp_path}/d")]
+    assert got[0] == got[1] and len(got[0]) == 900
+
+
+def test_mix_by_brute_force(shipped):
+    import struct
+
+    rng = random.Random(12)
+    rows = [(i, _words(rng, rng.randint(0, 30)), f"s{i % 3}") for i in range(400)] + [(7, "same words again", "s0")] * 30
+    rows += [(i, t, None) for i in range(20) for t in (None, "", " \n")]
+    got = mixing.mix(shipped.createDataFrame(rows, "doc_id long, text string, source string"), shard_words=300, block_words=16).collect()
+    assert len(got) == len(rows)
+
+    def h(seed, *values):
+        x = xxhash.xxh64_intdigest(struct.pack("<i", seed), 42)
+        for v in values:
+            x = xxhash.xxh64_intdigest(struct.pack("<q", v), x)
+        return x - (1 << 64) if x >> 63 else x
+
+    copies, of_source = Counter(), defaultdict(list)
+    for i, t, s in rows:
+        size = len((t or "").encode().split())
+        digest = xxhash.xxh64_intdigest((t or "").encode(), 42)
+        digest -= (1 << 64) if digest >> 63 else 0
+        copies[i, s, digest] += 1
+        of_source[s].append((i, size, (i, digest, copies[i, s, digest] - 1)))
+    names = sorted(of_source, key=lambda s: (s is None, s or ""))
+    sizes = [sum(n for _, n, _ in of_source[s]) for s in names]
+    aims = mixing.targets(sizes, [(3, 1, 2)[k % 3] for k in range(len(names))], 1.5 * sum(sizes))
+    blocks = mixing.sainte_lague(aims, round(sum(aims) / 16), [2 * -(-n // 16) for n in sizes])
+    want = Counter()
+    for s, n, b in zip(names, sizes, blocks):
+        shards = defaultdict(list)
+        for doc in of_source[s]:
+            if doc[1]:
+                shards[h(8, *doc[2]) % max(1, n // 300)].append(doc)
+            else:
+                want[doc[0], s, 0, 0] += 1
+        order = sorted(shards)
+        totals = [sum(d[1] for d in shards[k]) for k in order]
+        for k, total, seats in zip(order, totals, mixing.sainte_lague([float(x) for x in totals], b, [2 * -(-x // 16) for x in totals])):
+            left = min(16 * seats, 2 * total)
+            taken = dict.fromkeys((d[2] for d in shards[k]), 0)
+            while left:
+                for doc_id, size, key in sorted(shards[k], key=lambda d: (h(7, *d[2]), d[2])):
+                    taken[key] += min(left, size)
+                    left -= min(left, size)
+            for doc_id, size, key in shards[k]:
+                want[doc_id, s, size, taken[key]] += 1
+    assert Counter((r["doc_id"], r["source"], r["size"], r["taken"]) for r in got) == want
+
+
+def test_a_source_without_words_is_in_no_window(shipped):
+    rows = shipped.range(0, 3000, 1, 6).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("text"), F.lit("hot").alias("source"))
+    some = shipped.createDataFrame([(9000, "a few words " * 100, "other")], "doc_id long, text string, source string")
+    got = mixing.mix(rows.unionByName(some)).collect()
+    assert len(got) == 3001 and all(r["taken"] == 0 and r["target"] == 0 for r in got if r["source"] == "hot")
+    assert sum(r["taken"] for r in got) > 0
+
+
+def test_row_numbers_hold_in_every_scan(shipped, tmp_path, scan_settings):
+    from tally.llm.common import numbered_rows
+
+    rng = random.Random(3)
+    shipped.createDataFrame([(i % 40, _words(rng, 50), "x") for i in range(600)], "doc_id long, text string, place_ string").repartition(4).write.parquet(f"{tmp_path}/d e")
+    got = []
+    for df in _split_scans(shipped, f"{tmp_path}/d e"):
+        rows = numbered_rows(df, "n")
+        assert rows.columns == [*df.columns, "n"] and "InMemory" not in rows._jdf.queryExecution().toString()
+        got.append(sorted(tuple(r) for r in rows.collect()))
+    assert got[0] == got[1] and len({r[-1] for r in got[0]}) == 600
+    df = shipped.read.parquet(f"{tmp_path}/d e")
+    for other in (df.unionByName(df), df.select(F.explode(F.array("doc_id", "doc_id"))), df.limit(0), df.where("doc_id < 0")):
+        numbers = [r["n"] for r in numbered_rows(other, "n").collect()]
+        assert len(set(numbers)) == len(numbers) == other.count()

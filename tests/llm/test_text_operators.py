@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tally.llm import chat_format, langid, quality_gam, queries, tokens, toxicity
 from tally.sources.io import Tables
@@ -143,3 +144,29 @@ def test_every_offending_sentence_is_located(shipped):
     assert got[2]["offending"] == got[3]["offending"] == []
     high = toxicity.score(docs.where("doc_id = 2"), toxicity.Bags(1.0)).first()
     assert high["n_offending"] == 1 and [(s["start"], s["end"]) for s in high["offending"]] == [(0, 8)]
+
+
+def test_samples_are_bounded_in_rows_and_never_empty(shipped):
+    labels = shipped.range(30_000).select((F.col("id") % 3).alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"), (F.col("id") % 2).cast("int").alias("toxic"))
+    assert quality_gam.bounded_sample(labels, ["doc_id", "quality"], 100).count() == 6
+    assert quality_gam.bounded_sample(shipped.range(50_000).withColumn("y", F.lit(1)), ["id", "y"], 500).count() == 500
+    # one id holds most documents, each with another text
+    docs = shipped.range(5000).select(F.when(F.col("id") < 4900, 1).otherwise(F.col("id")).cast("long").alias("doc_id"), F.concat_ws(" ", F.lit("text"), F.col("id"), F.when(F.col("id") % 2 == 0, "vile words")).alias("text"))
+    marks = shipped.createDataFrame([(1, 1, 1), (1, 1, 1), (1, 0, 0)] + [(i, i % 2, i % 2) for i in range(4900, 5000)], "doc_id long, quality int, toxic int")
+    chosen = quality_gam.bounded_sample(marks, ["doc_id", "toxic"], 200).select("doc_id", F.col("toxic").alias("y"))
+    assert chosen.count() == 102
+    assert quality_gam.bounded_sample(docs.join(chosen, "doc_id"), ["doc_id", "y", "text"], 200).count() == 200
+    model = toxicity.fit_labelled(docs, marks, "toxic", max_rows=200)
+    assert toxicity.score(docs, model).count() == 5000
+    known = quality_gam.with_figures(docs)
+    assert quality_gam.score(known, quality_gam.fit_labelled(known, marks, "quality", max_rows=200)).count() == 5000
+
+
+def test_rows_of_one_turn_go_by_role_and_text(shipped):
+    rows = [(1, 0, "z", "hello"), (1, 0, "z", "a"), (1, 0, "b", "zz"), (1, 1, "assistant", "yes"), (1, 1, "assistant", "Yes"), (1, None, "user", "é"), (2, 0, "user", None), (None, 3, None, "x")]
+    df = shipped.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    got = {r["conv_id"]: r for r in chat_format.read_back(chat_format.format_turns(df, queries.tokenizer_path()), queries.tokenizer_path()).collect()}
+    said = [("user", "é"), ("b", "zz"), ("z", "a"), ("z", "hello"), ("assistant", "Yes"), ("assistant", "yes")]
+    assert got[1]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in said).encode()).hexdigest()
+    assert got[1]["loss_sha256"] == hashlib.sha256(b"Yesyes").hexdigest() and got[1]["n_turns"] == 6
+    assert got[2]["n_turns"] == got[None]["n_turns"] == 1
