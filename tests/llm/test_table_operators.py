@@ -323,12 +323,9 @@ def test_pipeline_stages(shipped, sf, edge_docs, no_docs):
     assert {r["doc_id"] for r in near.collect()} == {ids[i] for i in root}
     taken = {r["doc_id"]: (r["taken"], r["size"]) for r in mixing.mix(near).collect()}
     mixed = stages["mix_sources"](shipped, near, sf)
-    words = Counter()
-    for r in mixed.collect():
-        n = len(r["text"].encode().split())
-        words[r["doc_id"]] += n
-        assert rows[r["doc_id"]].startswith(r["text"])
-    assert mixed.columns == docs.columns and words == {i: t for i, (t, _) in taken.items() if t}
+    whole = Counter((r["doc_id"], r["text"]) for r in mixed.collect())
+    assert mixed.columns == docs.columns
+    assert whole == Counter({(i, rows[i]): (2 * t + n) // (2 * n) for i, (t, n) in taken.items() if 2 * t >= n > 0})
     packed = stages["pack_sequences"](shipped, mixed, sf).collect()
     assert sum(r["piece"] == 0 for r in packed) == mixed.count()
     _check_packing(packed)
@@ -366,6 +363,15 @@ def test_stages_do_not_depend_on_how_a_second_scan_is_split(shipped, tmp_path, s
     assert got == want and got
 
 
+def test_a_learned_language_of_any_name_stays_and_fills_gaps(shipped):
+    import corpus_pipeline
+
+    texts = {"und": "der Hund und das Haus mit dem Baum " * 20, "en": "the house and the tree with the dog " * 20}
+    rows = [(i, texts[k], k if i % 3 else None, "s") for i, k in enumerate(["und", "en"] * 30)] + [(70, "12 !?", "en", "s"), (71, None, None, "s")]
+    kept = corpus_pipeline.language_id(shipped, shipped.createDataFrame(rows, "doc_id long, text string, lang string, source string"), "").collect()
+    assert sorted((r["doc_id"], r["lang"]) for r in kept) == [(i, k) for i, k in enumerate(["und", "en"] * 30)]
+
+
 def test_documents_stay_where_no_language_can_be_learned(shipped):
     import corpus_pipeline
 
