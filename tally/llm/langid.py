@@ -130,14 +130,19 @@ def language_of(spark: SparkSession, model: Languages):
     return of
 
 
-def lettered():
-    """A column function: whether a text holds a letter (null does not)."""
+def letters_and_language(spark: SparkSession, model: Languages):
+    """A column function: (text, wanted) -> struct(letter, lang_pred): whether the text holds a letter, and its language
+    where that is wanted. Not deterministic to Spark, which else would run it once for a filter and once for a column."""
+    shared = spark.sparkContext.broadcast(model)
 
-    @pandas_udf("boolean")
-    def of(text):
-        return text.map(has_letter).astype(bool)
+    @pandas_udf("struct<letter: boolean, lang_pred: string>")
+    def of(text, wanted):
+        import pandas as pd
 
-    return of
+        rows = [(has_letter(t), shared.value.predict(t)[0] if w else None) for t, w in zip(text, wanted, strict=True)]
+        return pd.DataFrame(rows, columns=["letter", "lang_pred"])
+
+    return of.asNondeterministic()
 
 
 def predict(docs: DataFrame, model: Languages, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
