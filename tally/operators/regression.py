@@ -44,13 +44,12 @@ def design_columns(ds: Column, t0: Column) -> list[Column]:
 N_FEATURES = 2 + 2 * WEEKLY_ORDER + 2 * YEARLY_ORDER
 
 
-def gram_by_key(df: DataFrame, keys: Sequence[str], x: str = "_x", y: str = "_y") -> DataFrame:
-    """Per key: ``_n, _yy, _xy (p), _xx (upper triangle)`` of the rows' design arrays.
+def gram_by_key(df: DataFrame, keys: Sequence[str], x: str = "_x", y: str = "_y", p: int = N_FEATURES) -> DataFrame:
+    """Per key: ``_n, _yy, _xy (p), _xx (upper triangle)`` of the rows' design arrays of ``p`` columns.
 
     Each task multiplies its rows with numpy (one partial Gram per key and batch, never a whole
-    group), then the partial arrays are summed element-wise by key in Spark."""
+    group), then the partial arrays are summed element-wise by key in Spark, in one pass."""
     keys = list(keys)
-    p = N_FEATURES
     iu = np.triu_indices(p)
     schema_keys = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
 
@@ -62,24 +61,15 @@ def gram_by_key(df: DataFrame, keys: Sequence[str], x: str = "_x", y: str = "_y"
                 X = np.stack(g[x].to_numpy()).astype(float)
                 yv = g[y].to_numpy(dtype=float)
                 row = dict(zip(keys, kv if isinstance(kv, tuple) else (kv,)))
-                row.update(
-                    _n=float(len(g)),
-                    _yy=float(yv @ yv),
-                    _v=np.concatenate([X.T @ yv, (X.T @ X)[iu]]).tolist(),
-                )
+                row["_v"] = np.concatenate([[float(len(g)), yv @ yv], X.T @ yv, (X.T @ X)[iu]]).tolist()
                 yield pd.DataFrame([row])
 
-    parts = df.select(*keys, x, y).mapInPandas(partial, f"{schema_keys}, _n double, _yy double, _v array<double>")
-    summed = (
-        parts.select(*keys, "_n", "_yy", F.posexplode("_v").alias("_i", "_e"))
-        .groupBy(*keys, "_i")
-        .agg(F.sum("_e").alias("_e"))
-    )
-    tot = parts.groupBy(*keys).agg(F.sum("_n").alias("_n"), F.sum("_yy").alias("_yy"))
+    parts = df.select(*keys, x, y).mapInPandas(partial, f"{schema_keys}, _v array<double>")
+    summed = parts.select(*keys, F.posexplode("_v").alias("_i", "_e")).groupBy(*keys, "_i").agg(F.sum("_e").alias("_e"))
     arr = summed.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_i", "_e"))).alias("_s"))
-    arr = arr.select(*keys, F.transform("_s", lambda e: e["_e"]).alias("_v"))
-    return tot.join(arr, keys).select(
-        *keys, "_n", "_yy", F.slice("_v", 1, p).alias("_xy"), F.slice("_v", p + 1, p * (p + 1) // 2).alias("_xx")
+    v = F.transform("_s", lambda e: e["_e"])
+    return arr.select(*keys, v.alias("_v")).select(
+        *keys, F.col("_v")[0].alias("_n"), F.col("_v")[1].alias("_yy"), F.slice("_v", 3, p).alias("_xy"), F.slice("_v", p + 3, p * (p + 1) // 2).alias("_xx")
     )
 
 
@@ -104,8 +94,8 @@ def _solve(n: float, yy: float, xy: np.ndarray, xx: np.ndarray, ridge: float) ->
     return b, math.sqrt(max(ssr, 0.0) / dof)
 
 
-def _with_design(df: DataFrame, series: str, ds: str, value: str | None, t0: Column) -> DataFrame:
-    cols = [series, F.to_date(ds).alias("ds"), F.array(*design_columns(F.col(ds), t0)).alias("_x")]
+def _with_design(df: DataFrame, series: str, ds: str, value: str | None, t0: Column, keep: Sequence[str] = ()) -> DataFrame:
+    cols = [series, *keep, F.to_date(ds).alias("ds"), F.array(*design_columns(F.col(ds), t0)).alias("_x")]
     if value is not None:
         cols.append(F.col(value).cast("double").alias("_y"))
     return df.select(*cols)
@@ -114,7 +104,7 @@ def _with_design(df: DataFrame, series: str, ds: str, value: str | None, t0: Col
 def fit(df: DataFrame, series: str, ds: str, value: str, ridge: float = 1e-6) -> DataFrame:
     """Per series: ``coef`` (array of N_FEATURES), residual ``sigma`` and the time origin ``t0``."""
     t0s = df.groupBy(series).agg(F.min(F.to_date(ds)).alias("t0"))
-    x = _with_design(df.join(t0s, series), series, ds, value, F.col("t0")).join(t0s, series)
+    x = _with_design(df.join(t0s, series), series, ds, value, F.col("t0"), ["t0"])
     g = gram_by_key(x, [series, "t0"])
     key_type = df.schema[series].dataType.simpleString()
 

@@ -49,6 +49,9 @@ def load_all() -> None:
         q_long,
         q_forecast,
         q_ml,
+        q_ward,
         q_regress,
+        q_trend,
+        q_ranges,
         q_training,
     )
