@@ -139,3 +139,40 @@ def exclude_names(x, patterns: Sequence[str]) -> Column:
         m = F.lower(_c(x)).like(p.lower())
         cond = m if cond is None else (cond | m)
     return ~F.coalesce(cond, F.lit(False)) if cond is not None else F.lit(True)
+
+
+# ---- text by position (X9, X10) ---------------------------------------------------------------
+
+def before_nth(x, sep: str, n: int) -> Column:
+    """``SUBSTRING_INDEX(x, sep, n)``: the text before the n-th separator from the left, or after the n-th from the
+    right for a negative n; the whole text where there are fewer."""
+    return F.substring_index(_c(x), sep, n)
+
+
+def trimmed(x, chars: str | None = None) -> Column:
+    """``TRIM``: spaces (or the given characters) off both ends."""
+    return F.trim(_c(x)) if chars is None else F.trim(_c(x), F.lit(chars))
+
+
+def joined(*parts) -> Column:
+    """MySQL's ``CONCAT``: null as soon as one part is null."""
+    return F.concat(*[_c(p).cast("string") for p in parts])
+
+
+def slice_text(x, start: int | None = None, stop: int | None = None) -> Column:
+    """``str[start:stop]`` by characters, negative positions from the end."""
+    t = _c(x)
+    n = F.char_length(t)
+
+    def at(i: int | None, default: Column) -> Column:
+        if i is None:
+            return default
+        return F.least(F.lit(i), n) if i >= 0 else F.greatest(n + i, F.lit(0))
+
+    a, b = at(start, F.lit(0)), at(stop, n)
+    return t.substr(a + 1, F.greatest(b - a, F.lit(0)))
+
+
+def slice_array(x, start: int, stop: int) -> Column:
+    """Elements ``start`` to ``stop`` (excluded) of an array, from 0; null for a null array."""
+    return F.slice(_c(x), F.lit(start + 1), F.lit(max(0, stop - start)))

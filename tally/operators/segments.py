@@ -263,3 +263,29 @@ def earnings_gap(
         gap.alias("gap"),
         F.when(gap > 0, "men earn more").when(gap < 0, "women earn more").when(gap == 0, "equal").alias("verdict"),
     )
+
+
+def head(df: DataFrame, order: Sequence[Column], n: int = 5) -> DataFrame:
+    """O3: the first ``n`` rows in a stated order (a top-n per task, then of these)."""
+    return df.orderBy(*order).limit(n)
+
+
+def tail(df: DataFrame, order: Sequence[Column], n: int = 5) -> DataFrame:
+    """O3: the last ``n`` rows of an ascending order (nulls first), in that order: the first of the reverse, turned round."""
+    names = [f"_o{i}" for i in range(len(order))]
+    keyed = df.withColumns(dict(zip(names, order)))
+    last = keyed.orderBy(*[F.col(c).desc_nulls_last() for c in names]).limit(n)
+    return last.orderBy(*[F.col(c).asc_nulls_first() for c in names]).drop(*names)
+
+
+def sample_rows(df: DataFrame, key: str | Column, n: int, seed: int = 0) -> DataFrame:
+    """O3: ``n`` rows chosen by the md5 of seed and key: the same rows whenever asked, on any number of tasks."""
+    k = F.col(key) if isinstance(key, str) else key
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string"))), k).limit(n)
+
+
+def sample_share(df: DataFrame, key: str | Column, share: float, seed: int = 0) -> DataFrame:
+    """O3: about a share of the rows, each decided by its own key alone (no shuffle, no count)."""
+    k = F.col(key) if isinstance(key, str) else key
+    limit = format(int(round(share * 65536)), "04x") if share < 1 else "g"
+    return df.where(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string"))), 1, 4) < F.lit(limit))

@@ -54,4 +54,6 @@ def load_all() -> None:
         q_trend,
         q_ranges,
         q_training,
+        q_io,
+        q_wide,
     )
