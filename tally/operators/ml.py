@@ -93,12 +93,12 @@ def nearest_centre_violations(df: DataFrame, features: Sequence[str], centres: S
     return F.count(F.when(F.get(each, F.col(cluster)) > F.array_min(each) * (1 + tol) + tol, 1)).alias("violations")
 
 
-def kmeans_segments(df: DataFrame, features: Sequence[str], k: int = 4, seed: int = 42, with_centres: bool = False):
+def kmeans_segments(df: DataFrame, features: Sequence[str], k: int = 4, seed: int = 42, with_centres: bool = False, max_iter: int = 20, tol: float = 1e-4):
     """M5: k-means cluster of each row (k-means|| init, fixed seed); with the centres if asked for."""
     from pyspark.ml.clustering import KMeans
 
     data = assemble(df, features)
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(data)
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", predictionCol="cluster").fit(data)
     out = model.transform(data).drop("features")
     return (out, [list(c) for c in model.clusterCenters()]) if with_centres else out
 
@@ -215,6 +215,25 @@ def clf_logistic(train: DataFrame, test: DataFrame, features: Sequence[str], lab
     return _fit_predict(est, train, test, features, label)
 
 
+def logistic_gradient(train: DataFrame, features: Sequence[str], label: str, c: float = 1.0) -> DataFrame:
+    """M9: (feature, coefficient, gradient) of the fitted logistic loss on its own training rows: the mean of
+    ``(p - y) x`` plus ``coefficient / (n C)``, which is zero at the optimum (``intercept``: without the second term)."""
+    from pyspark.ml.classification import LogisticRegression
+
+    cols, n = list(features), train.count()
+    data = assemble(train, cols).withColumn("label", F.col(label).cast("double"))
+    model = LogisticRegression(regParam=1.0 / (n * c), elasticNetParam=0.0, standardization=False, maxIter=500, tol=1e-10).fit(data)
+    beta, start = [float(b) for b in model.coefficients], float(model.intercept)
+    z = F.lit(start)
+    for name, b in zip(cols, beta):
+        z = z + F.col(name) * b
+    off = 1 / (1 + F.exp(-z)) - F.col(label)
+    rows = train.agg(F.avg(off).alias("g_"), *[F.avg(off * F.col(x)).alias(f"g{i}") for i, x in enumerate(cols)])
+    each = [F.struct(F.lit("intercept").alias("feature"), F.lit(start).alias("coefficient"), F.col("g_").alias("gradient"))]
+    each += [F.struct(F.lit(x).alias("feature"), F.lit(b).alias("coefficient"), (F.col(f"g{i}") + b / (n * c)).alias("gradient")) for i, (x, b) in enumerate(zip(cols, beta))]
+    return rows.select(F.inline(F.array(*each)))
+
+
 def clf_grid(
     train: DataFrame,
     test: DataFrame,

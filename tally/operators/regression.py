@@ -135,6 +135,25 @@ def predict(spine: DataFrame, model: DataFrame, series: str, ds: str = "ds", z:
     )
 
 
+def conditions(df: DataFrame, model: DataFrame, series: str, ds: str, value: str, ridge: float = 1e-6, tol: float = 1e-6) -> DataFrame:
+    """Per series, how many of the normal equations ``X'(y - X b) = ridge n b`` (the constant: 0) do not hold on the rows,
+    ``tol`` being relative to the column's and the values' size."""
+    x = _with_design(df.join(model, series), series, ds, value, F.col("t0"), ["coef"]).dropna(subset=["_y"])
+    rows = x.withColumn("_r", F.col("_y") - _dot("_x", "coef"))
+    at = range(N_FEATURES)
+    got = rows.groupBy(series).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.first("coef").alias("coef"),
+        F.array(*[F.sum(F.col("_x")[i] * F.col("_r")) for i in at]).alias("_g"),
+        F.array(*[F.sqrt(F.sum(F.col("_x")[i] * F.col("_x")[i]) * F.sum(F.col("_y") * F.col("_y"))) for i in at]).alias("_size"),
+    )
+    broken = F.lit(0)
+    for i in at:
+        off = F.abs(F.col("_g")[i] - (F.lit(ridge if i else 0.0) * F.col("n") * F.col("coef")[i]))
+        broken = broken + F.when(off > tol * F.col("_size")[i], 1).otherwise(0)
+    return got.select(series, "n", F.lit(N_FEATURES).alias("n_equations"), broken.alias("broken"))
+
+
 def regress_forecast(df: DataFrame, series: str, ds: str, value: str, periods: int = 100, ridge: float = 1e-6) -> DataFrame:
     """T8 + S9: fit per series and predict over history plus ``periods`` future days."""
     from tally.sources.calendar import future_spine

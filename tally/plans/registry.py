@@ -56,4 +56,5 @@ def load_all() -> None:
         q_training,
         q_io,
         q_wide,
+        q_planted,
     )
