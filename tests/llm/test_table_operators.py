@@ -128,11 +128,13 @@ def test_mix_in_many_shards(shipped):
 # top-k
 
 
-def _top(vectors, asked, k):
-    out = {}
-    for q, v in asked:
-        scores = sorted(((-sum(a * b for a, b in zip(v, w)), i) for i, w in vectors if i != q))[:k]
-        out[q] = [(i, -s) for s, i in scores]
+def _top(rows, k):
+    """(query_id, candidates) of every query row, as a multiset."""
+    out = Counter()
+    for a, (q, v) in enumerate(rows):
+        if q % 50 == 0:
+            scores = sorted((-sum(x * y for x, y in zip(v, w)), i) for b, (i, w) in enumerate(rows) if a != b)[:k]
+            out.update((q, n + 1, i, -s) for n, (s, i) in enumerate(scores))
     return out
 
 
@@ -140,16 +142,34 @@ def test_topk_is_exact(shipped):
     rng = np.random.default_rng(2)
     base = rng.normal(size=(700, 8)).round(2)
     rows = [(i, base[i % 40 if i % 3 else i].tolist()) for i in range(700)]  # many equal vectors: ties
-    rows += [(1000, None), (1001, [1.0, None]), (1002, [float("nan")] * 8), (1003, [float("inf")] * 8), (1004, [0.5, 0.25]), (1005, []), (None, [1.0] * 8), (3, rows[3][1])]
-    df = shipped.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<double>, g int, v string")
+    rows += [(1000, None), (1001, [1.0, None]), (1002, [float("nan")] * 8), (1003, [float("inf")] * 8), (1004, [0.5, 0.25]), (1005, []), (None, [1.0] * 8)]
+    rows += [(3, rows[3][1]), (50, rows[50][1]), (50, rows[51][1]), (100, rows[100][1])]  # repeated ids and rows
+    df = shipped.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<double>, g int, v string").repartition(5)
+    whole = [(i, tuple(int(np.floor(256 * x)) for x in v)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     vectors = topk.scaled(df)
-    got = defaultdict(list)
-    for r in topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), block_rows=16, group_rows=128, chunk_rows=4).orderBy("query_id", "rank").collect():
-        assert r["rank"] == len(got[r["query_id"]]) + 1
-        got[r["query_id"]].append((r["vec_id"], r["score"]))
-    whole = {(i, tuple(int(np.floor(256 * x)) for x in v)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
-    assert dict(got) == _top(whole, [w for w in whole if w[0] % 50 == 0], 5)
+    assert vectors.count() == len(whole)
+    for sizes in ({"block_rows": 16, "group_rows": 128, "chunk_values": 32, "pilot_blocks": 2, "wave": 2}, {"pilot_blocks": 1}, {}):
+        got = topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), **sizes).collect()
+        assert Counter((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == _top(whole, 5)
     assert topk.top_k(vectors.limit(0), vectors.limit(0)).count() == 0
+    few = topk.scaled(df.where("vec_id in (50, 1)"))
+    got = topk.top_k(few, few.where("vec_id % 50 = 0")).collect()  # three rows of id 50 and one other
+    assert Counter((r["query_id"], r["rank"]) for r in got) == {(50, 1): 3, (50, 2): 3, (50, 3): 3}
+
+
+def test_blocks_below_the_bound_are_not_scored(shipped):
+    rng = np.random.default_rng(9)
+    centres = rng.integers(-400, 400, (40, 16))
+    x = centres[rng.integers(0, 40, 6000)] + rng.integers(-9, 9, (6000, 16))
+    df = shipped.createDataFrame([(i, i, v) for i, v in enumerate(x.tolist())], "row long, vec_id long, v array<long>")
+    blocks = topk.index(df, 1, 64).toArrow().combine_chunks().to_batches()[0]
+    q = x[:50]
+    full = topk.Search(np.arange(50), q, np.full(50, -(1 << 62)), 5)
+    full.add(blocks)
+    assert full.met < 0.5 * full.seen
+    started = topk.Search(np.arange(50), q, full.best[:, -1], 5)
+    started.add(blocks)
+    assert (started.best == full.best).all() and started.met <= full.met
 
 
 # exact dedup
