@@ -123,8 +123,8 @@ def op9_simhash_covering(t: Tables):
 
 
 def op10_substring_dedup(t: Tables):
-    """Spans of documents that other documents hold too, in chunks defined by content."""
-    spans = substring_dedup.repeated_spans(t.documents, min_words=10)
+    """Spans of 40 words or more that other documents hold too, found by chunks defined by content."""
+    spans = substring_dedup.repeated_spans(t.documents, min_words=40)
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
     return spans.select("doc_id", "span_start", "span_bytes", "span_words", "n_chunks", "copies", "first_doc_id", removed.alias("removed_bytes"))
 

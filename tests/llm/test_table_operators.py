@@ -294,15 +294,76 @@ def test_planted_passages_are_found_and_clean_documents_left_alone(shipped):
             docs[i] = f"{a} {passage} {b}"
             planted[i] = passage
     df = shipped.createDataFrame(list(docs.items()), "doc_id long, text string")
-    found = substring_dedup.repeated_spans(df).collect()
-    assert not {r["doc_id"] for r in found} - set(planted)
-    assert len({r["doc_id"] for r in found}) >= 0.95 * len(planted)
+    found = substring_dedup.repeated_spans(df, min_words=40).collect()
+    assert {r["doc_id"] for r in found} == set(planted) and len(found) == len(planted)
     for r in found:
         span = docs[r["doc_id"]].encode()[r["span_start"] : r["span_start"] + r["span_bytes"]].decode()
-        assert span.strip() in docs[r["doc_id"] ^ 1] and r["first_doc_id"] == r["doc_id"] & ~1
-    after = {r["doc_id"]: r["text"] for r in substring_dedup.remove_repeats(df).collect()}
+        assert span == planted[r["doc_id"]] and r["span_words"] == 55 and r["first_doc_id"] == r["doc_id"] & ~1
+        assert sum(e - a for a, e in r["removed"]) == (r["span_bytes"] if r["doc_id"] % 2 else 0)
+    after = {r["doc_id"]: r["text"] for r in substring_dedup.remove_repeats(df, min_words=40).collect()}
     assert all(after[i] == docs[i] for i in docs if i not in planted or i % 2 == 0)
-    assert sum(len(after[i]) < len(docs[i]) - 100 for i in planted if i % 2) >= 0.9 * len(planted) / 2
+    assert all(after[i] == docs[i].replace(planted[i], "", 1) for i in planted if i % 2)
+
+
+def _equal_words(own, other, side):
+    """``common_words`` by trying every number of bytes."""
+    n = 0
+    while n < min(len(own), len(other)) and (own[n] == other[n] if side else own[-1 - n] == other[-1 - n]):
+        n += 1
+    return n
+
+
+def test_ends_are_extended_by_whole_words():
+    cases = [(b"ab cd ef", b"xx cd ef", 0, False, 5, 2), (b"ab cd ef", b"ab cd ef", 0, True, 8, 3), (b"ab cd ef", b"ab cd ef", 0, False, 5, 2), (b"zcd ef", b"cd ef", 0, False, 2, 1), (b" j ab", b"xj ab", 0, True, 2, 1)]
+    # after a run, the first byte is the run's last one
+    cases += [(b"x ab cd", b"x ab xx", 1, True, 3, 1), (b"x ab cd", b"x ab cd", 1, True, 6, 2), (b"x ab cd", b"x ab cd", 1, False, 3, 1), (b"ab cd", b"ab c", 1, True, 1, 0)]
+    cases += [(b" ab cd", b" ab xd", 1, True, 2, 1), (b"x", b"x", 1, True, 0, 0), (b"", b"x", 0, True, 0, 0)]
+    for own, other, side, edge, n, words in cases:
+        assert substring_dedup.common_words(own, other, side, edge, True) == (n, words), (own, other, side, edge)
+    rng = random.Random(2)
+    for _ in range(500):
+        own, other = (bytes(rng.choice(b"ab \n") for _ in range(rng.randint(1, 9))) for _ in "xy")
+        side = rng.randint(0, 1)
+        n, words = substring_dedup.common_words(own, other, side, True, True)
+        most = _equal_words(own[side:], other[side:], side)
+        assert n <= most
+        part = own[1 : n + 1] if side else own[len(own) - n :]
+        assert words in (len(part.split()), len(part.split()) - side) and not (part[-1:] if side else part[:1]).isspace()
+
+
+def test_spans_by_brute_force(shipped):
+    """Every stretch of 40 words that two documents share is reported, and no word that stands in no shared stretch of two
+    words (a span may go on where shorter shared stretches adjoin)."""
+    rng = random.Random(21)
+    docs = [_words(rng, rng.randint(60, 150)).split() for _ in range(40)]
+    for _ in range(25):
+        a, b = rng.sample(range(40), 2)
+        i, n = rng.randint(0, len(docs[a]) - 50), rng.randint(42, 50)
+        at = rng.randint(0, len(docs[b]))
+        docs[b][at:at] = docs[a][i : i + n]
+    docs += [docs[3], docs[3]]
+
+    def covered(n):
+        holders, out = defaultdict(set), [set() for _ in docs]
+        for d, words in enumerate(docs):
+            for i in range(len(words) - n + 1):
+                holders[tuple(words[i : i + n])].add(d)
+        for d, words in enumerate(docs):
+            for i in range(len(words) - n + 1):
+                if len(holders[tuple(words[i : i + n])]) > 1:
+                    out[d].update(range(i, i + n))
+        return out
+
+    df = shipped.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    got = [set() for _ in docs]
+    for r in substring_dedup.repeated_spans(df, min_words=40).collect():
+        raw = " ".join(docs[r["doc_id"]]).encode()
+        before = len(raw[: r["span_start"]].split())
+        inside = raw[r["span_start"] : r["span_start"] + r["span_bytes"]].split()
+        assert len(inside) == r["span_words"] or len(inside) == r["span_words"] + 1  # it may begin inside a word
+        got[r["doc_id"]].update(range(before, before + r["span_words"]))
+    for want, have, allowed in zip(covered(40), got, covered(2)):
+        assert want <= have and len(have - allowed) <= 1
 
 
 # all of them, and the pipeline
