@@ -8,8 +8,9 @@ language. The prediction is the largest share of the set, ties to the smaller na
 
 Counts cover all rows given, are summed inside each task and then by key in Spark; the model is one table of
 ``SLOTS`` shares per language. A text that is null or without any letter is ``und`` with score 0, and so is
-every text when nothing was learned. Rows repeat as given; rows without language teach nothing; other
-columns are ignored.
+every text when nothing was learned. A learned language may have any name, ``und`` too. Rows repeat as given; rows
+without language teach nothing; texts of any length are read whole, into a table of fixed size; an empty table gives
+an empty result; other columns are ignored. The driver gets one table per language: languages are few.
 """
 
 from __future__ import annotations

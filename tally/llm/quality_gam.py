@@ -5,12 +5,14 @@ over the figures, are added up into one lookup table per figure; the pairs of fi
 most of what is left then get two-way tables the same way. A score is the sum of the table entries of a
 document's bins, so scoring is a search into bin edges and additions, vectorised over a batch.
 
-The tables are fitted on the driver from about ``max_rows`` labelled rows (``bounded_sample``), chosen by
-a hash of the id: the sample does not grow with the data, and only its figures (no texts) reach the driver.
+The tables are fitted on the driver from at most ``max_rows`` distinct labelled rows (``bounded_sample``), chosen by
+their hash: the sample does not grow with the data, and only its figures (no texts) reach the driver.
 
 Null and empty texts have the figures of an empty text and get a score like any other; rows repeat
 as given; with no labelled row at all every score is 0.5, with one class only it is that class's rate
-(smoothed). Null labels are left out; other columns are ignored.
+(smoothed). Null labels are left out; of labels and documents with repeated ids every different pair is a row of the
+sample; texts of any length are read whole, one at a time; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ members within the radius have a name in common, and what shares a name is then
 bucket of any size so costs a fixed number of rows per member, and a name has a bounded number of owners.
 
 Null texts count as empty; texts without a word have fingerprint zero and link like any other; rows repeat as
-given; a null doc_id is never a component's id unless all its ids are null; other columns are ignored.
+given; a null doc_id is never a component's id unless all its ids are null; texts of any length are read whole, their
+bits summed in slices; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

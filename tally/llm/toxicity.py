@@ -4,12 +4,14 @@ A document is a bag of sentences, a sentence a set of features (its words, and t
 word). A logistic score p of every sentence gives the document the noisy-or 1 - prod(1 - p): one toxic
 sentence is enough. Weights are trained from document labels alone; the sentence scores then say where.
 
-The model is fitted on about ``max_rows`` labelled documents (chosen by hash, see
+The model is fitted on at most ``max_rows`` distinct labelled documents (chosen by hash, see
 ``quality_gam.bounded_sample``): which features are kept is decided by counts over them in Spark, and the
 weights are fitted on the driver from the kept features of each sentence.
 
 Null and empty texts count as one sentence without features and get its score; rows repeat as given;
-without labelled rows every sentence scores as the smoothed base rate says. Other columns are ignored.
+without labelled rows every sentence scores as the smoothed base rate says. Of labels and documents with repeated
+ids every different pair is a row of the sample; texts of any length are read whole, sentence by sentence; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

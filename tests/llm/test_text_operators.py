@@ -170,3 +170,103 @@ def test_rows_of_one_turn_go_by_role_and_text(shipped):
     assert got[1]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in said).encode()).hexdigest()
     assert got[1]["loss_sha256"] == hashlib.sha256(b"Yesyes").hexdigest() and got[1]["n_turns"] == 6
     assert got[2]["n_turns"] == got[None]["n_turns"] == 1
+
+
+def _mixture_naive(model, text, steps=12, penalty=3.0):
+    """The same mixture with loops over languages and trigrams."""
+    n = {}
+    for s in langid.slots(text).tolist():
+        n[s] = n.get(s, 0) + 1
+    share = [{s: math.exp(model.log_share[k][s]) for s in n} for k in range(len(model.names))]
+
+    def loglike(p):
+        return sum(c * math.log(sum(w * share[k][s] for k, w in p.items())) for s, c in n.items())
+
+    def em(languages):
+        p = {k: 1 / len(languages) for k in languages}
+        for _ in range(steps if len(languages) > 1 else 0):
+            new = dict.fromkeys(languages, 0.0)
+            for s, c in n.items():
+                total = sum(p[k] * share[k][s] for k in languages)
+                for k in languages:
+                    new[k] += c * p[k] * share[k][s] / total
+            p = {k: v / sum(n.values()) for k, v in new.items()}
+        return p
+
+    every = em(range(len(model.names)))
+    one = max(range(len(model.names)), key=lambda k: (loglike({k: 1.0}), -k))
+    chosen, p, best = [one], {one: 1.0}, loglike({one: 1.0})
+    for k in sorted(every, key=lambda k: (-every[k], k)):
+        if k not in chosen:
+            q = em(sorted([*chosen, k]))
+            if loglike(q) - best <= penalty * math.log1p(sum(n.values())):
+                break
+            chosen, p, best = [*chosen, k], q, loglike(q)
+    top = max(sorted(p), key=lambda k: p[k])
+    total = sum(n.values())
+    return model.names[top], (p[top] * total + 0.5) / (total + 0.5 * len(model.names)), {model.names[k] for k in chosen}
+
+
+def test_mixtures_by_brute_force(shipped, sf):
+    t = Tables(shipped, sf)
+    model = langid.fit(t.documents)
+    texts = [d["text"] for d in t.documents.orderBy("doc_id").limit(60).collect() if langid.has_letter(d["text"])]
+    texts += [a[:300] + " " + b[:200] for a, b in zip(texts[::2], texts[1::2])]  # mixtures
+    for text in texts:
+        got, want = model.predict(text[:1500]), _mixture_naive(model, text[:1500])
+        assert got[0] == want[0] and got[1] == pytest.approx(min(1.0, want[1])) and set(got[2]) == want[2]
+
+
+def test_noisy_or_gradient_and_fit():
+    """One step of the training moves every weight against the numerical slope of the noisy-or loss; many lower it."""
+    rng = np.random.default_rng(3)
+    docs = [[sorted(set(rng.integers(0, 6, rng.integers(0, 4)).tolist())) for _ in range(rng.integers(1, 5))] for _ in range(80)]
+    y = np.array([float(any(0 in s and 1 in s or 2 in s for s in d)) for d in docs])
+    hits = [[s for s in d if s] for d in docs]
+    sentences, plain = np.array([len(h) for h in hits]), np.array([len(d) - len(h) for d, h in zip(docs, hits)])
+    sizes = np.array([len(s) for h in hits for s in h])
+    feats = np.array([f for h in hits for s in h for f in s], dtype=np.int64)
+
+    def loss(w, bias, ridge):
+        out = 0.0
+        for d, label in zip(docs, y):
+            none = math.prod(1 - 1 / (1 + math.exp(-(bias + sum(w[f] for f in s)))) for s in d)
+            q = min(max(1 - none, 1e-9), 1 - 1e-9)
+            out -= label * math.log(q) + (1 - label) * math.log(1 - q)
+        return out / len(docs) + ridge * sum(v * v for v in w) / 2
+
+    w0, bias, ridge = np.zeros(6), -2.0, 1e-3
+    w, b = toxicity._train(sentences, sizes, feats, y, plain, 6, bias, 1, 1e-3, ridge)
+    for f in range(6):
+        up, down = w0.copy(), w0.copy()
+        up[f], down[f] = 1e-5, -1e-5
+        slope = (loss(up, bias, ridge) - loss(down, bias, ridge)) / 2e-5
+        assert abs(slope) < 1e-4 or np.sign(w[f]) == -np.sign(slope)
+    slope = (loss(w0, bias + 1e-5, ridge) - loss(w0, bias - 1e-5, ridge)) / 2e-5
+    assert np.sign(b - bias) == -np.sign(slope)
+    w, b = toxicity._train(sentences, sizes, feats, y, plain, 6, bias, 600, 0.05, ridge)
+    assert loss(w, b, ridge) < 0.6 * loss(w0, math.log(0.2 / 0.8), ridge) and w[2] == max(w)
+    for f in range(6):  # at the end no weight can be moved to lower the loss much
+        for step in (-0.02, 0.02):
+            moved = w.copy()
+            moved[f] += step
+            assert loss(moved, b, ridge) > loss(w, b, ridge) - 1e-3
+
+
+def test_tables_follow_planted_effects():
+    """The additive fit beside a search: a step in one figure and a product of two others are found and scored."""
+    rng = np.random.default_rng(5)
+    x = rng.random((4000, len(quality_gam.FIGURES)))
+    z = 2.0 * (x[:, 2] > 0.6) + 3.0 * ((x[:, 4] > 0.5) ^ (x[:, 7] > 0.5)) - 2.0
+    y = (rng.random(4000) < 1 / (1 + np.exp(-z))).astype(float)
+    model = quality_gam.fit(x, y)
+    effect = [t.max() - t.min() for t in model.tables]
+    assert int(np.argmax(effect)) == 2 and (7, 4) in [(i, j) for i, j, _ in model.pairs]
+    p, truth = model.score(x), 1 / (1 + np.exp(-z))
+    alone = quality_gam.Gam(model.base, model.edges, model.tables).score(x)
+    assert np.mean((p - truth) ** 2) < 0.6 * np.var(truth) and np.mean((p - truth) ** 2) < 0.75 * np.mean((alone - truth) ** 2)
+    naive = np.full(len(x), model.base)
+    for r in range(len(x)):
+        at = [int(sum(e <= x[r, j])) for j, e in enumerate(model.edges)]
+        naive[r] += sum(t[a] for t, a in zip(model.tables, at)) + sum(t[at[i], at[j]] for i, j, t in model.pairs)
+    assert np.allclose(p, 1 / (1 + np.exp(-np.clip(naive, -30, 30))))
