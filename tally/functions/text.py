@@ -10,6 +10,7 @@ import functools
 import glob
 import os
 import zipfile
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+from tally.session import cut_lineage
+
 
 @functools.lru_cache(maxsize=None)
 def stop_words(language: str = "english") -> tuple[str, ...]:
@@ -215,16 +218,6 @@ def stem_vocabulary(tokens: DataFrame, token_col: str = "token") -> DataFrame:
     return _spread(distinct, "token").select("token", stem("token").alias("stem"))
 
 
-def stemmed_counts(doc_tokens: DataFrame, doc_col: str, token_col: str = "token") -> DataFrame:
-    """``(doc, term, tf)`` of Porter stems. Tokens are counted per document first (partial
-    aggregation before any shuffle); the stemmed vocabulary is joined to those counts. A frequent token carries one row per
-    document there: AQE splits such a skewed partition. (Stemming the counts in place needs no join, but sends every
-    count through Python: 22.6 s against 13.4 s for the bag-of-words vectors of 10,000 documents.)"""
-    per_doc = doc_tokens.groupBy(doc_col, F.col(token_col).alias("token")).agg(F.count(F.lit(1)).alias("_c"))
-    stems = stem_vocabulary(per_doc, "token")
-    return per_doc.join(stems, "token").groupBy(doc_col, F.col("stem").alias("term")).agg(F.sum("_c").alias("tf"))
-
-
 def stem_corpus_counts(tokens: DataFrame, token_col: str = "token") -> DataFrame:
     """``(term, tf)`` corpus counts of Porter stems: tokens are counted first (map-side partial
     aggregation collapses repeats), then each distinct token is stemmed once."""
@@ -241,28 +234,36 @@ def bow_vocabulary_from_counts(counts: DataFrame, max_features: int = 1500) -> D
     return top.withColumn("term_index", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
 
 
-def bow_counts(counts: DataFrame, vocab: DataFrame, doc_col: str) -> DataFrame:
-    """Sparse document-term counts ``(doc, term_index, tf)``. The vocabulary has at most
-    ``max_features`` rows, so broadcasting it is bounded by construction."""
-    v = F.broadcast(vocab.select("term", "term_index"))
-    return counts.join(v, "term").select(doc_col, "term_index", F.col("tf").cast("bigint").alias("tf"))
-
-
-def bow_vectors(counts: DataFrame, doc_col: str, size: int, out: str = "features") -> DataFrame:
-    """One sparse ML vector of ``size`` terms per document from the long counts ``(doc, term_index, tf)``; a row holds at
-    most ``size`` entries. Documents without any counted term are not in ``counts``: see ``with_bow_vectors``."""
-    entries = F.map_from_entries(F.collect_list(F.struct("term_index", F.col("tf").cast("double"))))
-    return counts.groupBy(doc_col).agg(entries.alias("_e")).select(doc_col, _to_vector(size)("_e").alias(out))
-
-
-def _to_vector(size: int):
-    from pyspark.ml.linalg import SparseVector, VectorUDT
-
-    # pyspark.ml builds sparse vectors from Python only; one call per document, not per token
-    return F.udf(lambda e: SparseVector(size, e or {}), VectorUDT())
-
-
-def with_bow_vectors(df: DataFrame, vectors: DataFrame, doc_col: str, size: int, out: str = "features") -> DataFrame:
-    """``df`` with its documents' vectors; a document without counted terms gets the zero vector."""
-    empty = _to_vector(size)(F.lit(None).cast("map<int,double>"))
-    return df.join(vectors, doc_col, "left").withColumn(out, F.coalesce(F.col(out), empty))
+def term_numbers(tokens: DataFrame, max_features: int = 1500, token_col: str = "token") -> tuple[DataFrame, DataFrame]:
+    """M11 + M12: the vocabulary (term, corpus_count, term_index) and (token, term_index) of every token whose stem is in
+    it. Tokens are counted and stemmed once over the corpus; documents are not needed for it."""
+    per_token = tokens.groupBy(F.col(token_col).alias("token")).agg(F.count(F.lit(1)).alias("tf"))
+    stems = cut_lineage(_spread(per_token, "token").select("token", stem("token").alias("term"), "tf"))
+    vocab = cut_lineage(bow_vocabulary_from_counts(stems.groupBy("term").agg(F.sum("tf").alias("tf")), max_features))
+    # at most max_features rows
+    return vocab, stems.join(F.broadcast(vocab.select("term", "term_index")), "term").select("token", "term_index")
+
+
+def bow_counts_by_token(doc_tokens: DataFrame, numbers: DataFrame, doc_col: str, token_col: str = "token") -> DataFrame:
+    """``(doc, term_index, tf)``: each token is replaced by the number of its stem, then counted. ``numbers`` holds the
+    inflected forms of at most ``max_features`` stems, which Spark broadcasts by its written size, so the tokens are
+    shuffled once, as partial counts per document and term."""
+    j = doc_tokens.select(doc_col, F.col(token_col).alias("token")).join(numbers, "token")
+    return j.groupBy(doc_col, "term_index").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def bow_vectors(df: DataFrame, counts: DataFrame, terms: Sequence[str], doc_col: str, out: str = "features") -> DataFrame:
+    """``df`` with one sparse ML vector per document from the long counts ``(doc, term_index, tf)``: each document's
+    terms as an array, as often as they stand in it, and Spark's own ``CountVectorizerModel`` on it. ``terms`` is the
+    vocabulary in the order of its numbers; a document without counted terms gets the zero vector."""
+    from pyspark.ml.feature import CountVectorizerModel
+
+    if not terms:
+        raise ValueError("the vocabulary is empty")
+    names = F.array(*[F.lit(w) for w in terms])
+    each = F.array_repeat(F.get(names, F.col("term_index")), F.col("tf").cast("int"))
+    per = counts.groupBy(F.col(doc_col).alias("_doc")).agg(F.flatten(F.collect_list(each)).alias("_terms"))
+    j = df.join(per, F.col(doc_col) == F.col("_doc"), "left")
+    ready = j.withColumn("_terms", F.coalesce("_terms", F.array().cast("array<string>"))).drop("_doc")
+    model = CountVectorizerModel.from_vocabulary(list(terms), inputCol="_terms", outputCol=out)
+    return model.transform(ready).drop("_terms")

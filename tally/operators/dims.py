@@ -57,35 +57,22 @@ def planning_links(
 
 
 def warehouses_with_profile(warehouses: DataFrame, profiles: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
-    """B6 first half: active, named warehouses of the three types with their replenishment
-    centre. Sector warehouses take their physical warehouse's centre (J8: one profile table used
-    under two keys); ``is_crc`` flags warehouses that are some warehouse's centre (J7: existence
-    as a left join to distinct keys). ``exclude``: LIKE patterns of names to leave out, whatever their case (Q7)."""
-    prof = latest_value(profiles.filter(F.col("active") == 1), ["warehouse"], "replenishment_center", "modified")
-    own = prof.select(F.col("warehouse").alias("name"), F.col("replenishment_center").alias("_rc_own"))
-    sector = prof.select(F.col("warehouse").alias("physical_warehouse"), F.col("replenishment_center").alias("_rc_phys"))
-    centres = prof.select(F.col("replenishment_center").alias("name")).distinct().withColumn("_is_centre", F.lit(1))
-    ok_name = X.exclude_names("name", exclude) if exclude else F.lit(True)
-    return (
-        warehouses.filter(
-            (F.col("active") == 1)
-            & (F.coalesce(F.col("global_id"), F.lit("")) != "")
-            & (F.col("global_id") != "NULL")
-            & ok_name
-            & F.col("warehouse_type").isin(*WAREHOUSE_TYPES)
-        )
-        .join(own, "name", "left")
-        .join(sector, "physical_warehouse", "left")
-        .join(centres, "name", "left")
-        .withColumn(
-            "replenishment_center",
-            F.when(F.col("warehouse_type") == "Sector", F.coalesce("_rc_phys", F.lit("No-RC"))).otherwise(
-                F.coalesce("_rc_own", F.lit("No-RC"))
-            ),
-        )
-        .withColumn("is_crc", F.coalesce("_is_centre", F.lit(0)))
-        .drop("_rc_own", "_rc_phys", "_is_centre")
-    )
+    """B6 first half: active, named warehouses of the three types with the replenishment centre that serves them.
+
+    A sector warehouse is served as its physical warehouse is (J8), every other one under its own name, so one lookup by
+    that name finds the centre (``No-RC`` without one). ``is_crc`` tells whether a warehouse is some warehouse's
+    centre (J7). ``exclude``: LIKE patterns of names to leave out, whatever their case (Q7)."""
+    centre_of = latest_value(profiles.filter(F.col("active") == 1), ["warehouse"], "replenishment_center", "modified")
+    lookup = centre_of.select(F.col("warehouse").alias("_served_as"), F.col("replenishment_center").alias("_centre"))
+    centres = centre_of.select(F.col("replenishment_center").alias("_serves")).distinct()
+    wanted = warehouses.filter((F.col("active") == 1) & F.col("warehouse_type").isin(*WAREHOUSE_TYPES) & ~F.coalesce("global_id", F.lit("")).isin("", "NULL"))
+    if exclude:
+        wanted = wanted.filter(X.exclude_names("name", exclude))
+    served_as = F.when(F.col("warehouse_type") == "Sector", F.col("physical_warehouse")).otherwise(F.col("name"))
+    found = wanted.withColumn("_served_as", served_as).join(lookup, "_served_as", "left").join(centres, F.col("name") == F.col("_serves"), "left")
+    return found.withColumns(
+        {"replenishment_center": F.coalesce("_centre", F.lit("No-RC")), "is_crc": F.col("_serves").isNotNull().cast("int")}
+    ).drop("_served_as", "_centre", "_serves")
 
 
 def warehouse_hierarchy(

@@ -102,14 +102,19 @@ def seasonality_status(
     return out.select(*keys, *extra, *cols.keys())
 
 
+#: up to so many values a column's codes are looked up in a map, beyond it they are joined
+MAP_VALUES = 64
+
+
 def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_cat", materialize: bool = True) -> DataFrame:
     """Code of each value in the sorted distinct values of its column (0-based); null gets
     the code after the last value (as ``StringIndexer(alphabetAsc, keep)`` would).
 
     The vocabulary (distinct values of the encoded columns) is ranked in a long ``(column, value)``
-    table, which is written once; each column joins its codes from there. Spark knows the written
-    table's size, so a small vocabulary is broadcast and a large one is shuffled. The input is
-    materialised first so the vocabulary job and the coding pass read it once.
+    table, which is written once. Columns of few values get their codes from a map of their own (one
+    scalar subquery for all of them, no join); each other column joins its codes, broadcast or
+    shuffled by the written table's size. The input is materialised first so the vocabulary job
+    and the coding pass read it once.
     """
     cols = list(columns)
     if materialize:
@@ -118,11 +123,21 @@ def label_encode(df: DataFrame, columns: Sequence[str], suffix: str = "_cat", ma
     long = df.selectExpr(f"stack({len(cols)}, {parts}) as (_col, _val)").filter(F.col("_val").isNotNull()).distinct()
     w = Window.partitionBy("_col").orderBy("_val")
     codes = cut_lineage(long.withColumn("_code", (F.row_number().over(w) - 1).cast("int")))
-    sizes = codes.groupBy("_col").agg(F.count(F.lit(1)).cast("int").alias("_n"))
-    size_map = sizes.agg(F.map_from_entries(F.collect_list(F.struct("_col", "_n")))).scalar()  # one entry per column
-    out = df
+    sizes = {r["_col"]: r["n"] for r in codes.groupBy("_col").agg(F.count(F.lit(1)).cast("int").alias("n")).collect()}  # one row per column
+    few = [c for c in cols if 0 < sizes.get(c, 0) <= MAP_VALUES]
+    maps = None
+    if few:
+        own = codes.filter(F.col("_col").isin(few)).groupBy("_col").agg(F.map_from_entries(F.collect_list(F.struct("_val", "_code"))).alias("_m"))
+        maps = own.agg(F.struct(*[F.max_by(F.col("_m"), F.col("_col") == c).alias(f"m{i}") for i, c in enumerate(few)])).scalar()
+    out, coded = df, {}
     for c in cols:
-        own = codes.filter(F.col("_col") == c).select(F.col("_val").alias(f"_v_{c}"), F.col("_code").alias(f"_k_{c}"))
-        out = out.join(own, F.col(c).cast("string") == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
-    coded = {f"{c}{suffix}": F.coalesce(F.col(f"_k_{c}"), F.element_at(size_map, F.lit(c)), F.lit(0)) for c in cols}
+        if c in few:
+            code = F.element_at(maps[f"m{few.index(c)}"], F.col(c).cast("string"))
+        elif sizes.get(c):
+            joined = codes.filter(F.col("_col") == c).select(F.col("_val").alias(f"_v_{c}"), F.col("_code").alias(f"_k_{c}"))
+            out = out.join(joined, F.col(c).cast("string") == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
+            code = F.col(f"_k_{c}")
+        else:
+            code = F.lit(None).cast("int")
+        coded[f"{c}{suffix}"] = F.coalesce(code, F.lit(sizes.get(c, 0)))
     return out.withColumns(coded).drop(*(f"_k_{c}" for c in cols))

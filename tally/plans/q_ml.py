@@ -347,10 +347,6 @@ def _doc_tokens(t):
     return tx.tokens_long(texts(t), "doc_id", "text", tx.stop_words())
 
 
-def stemmed_counts(t):
-    return tx.stemmed_counts(_doc_tokens(t), "doc_id")
-
-
 def _tokens_sql():
     return f"""
 toks as (
@@ -386,9 +382,9 @@ def bow_vocab(t):
 )
 def bow_vectors(t):
     """Per document sparse stem counts over the 1500-term vocabulary."""
-    counts = stemmed_counts(t)
-    vocab = tx.bow_vocabulary_from_counts(counts, max_features=1500)
-    return tx.bow_counts(counts, vocab, "doc_id")
+    tokens = _doc_tokens(t)
+    _, numbers = tx.term_numbers(tokens, max_features=1500)
+    return tx.bow_counts_by_token(tokens, cut_lineage(numbers), "doc_id").select("doc_id", "term_index", F.col("tf").cast("bigint").alias("tf"))
 
 
 REVIEW_TERMS = 1500
@@ -397,10 +393,11 @@ REVIEW_TERMS = 1500
 def review_predictions(t, num_trees: int = 501):
     """M8 + M11 + M12: labelled documents as bags of stems, 75/25 split, entropy trees, predictions of the held-out ones."""
     rows = t.documents.select("doc_id", "text").join(t.labels.select("doc_id", "quality"), "doc_id")
-    counts = cut_lineage(tx.stemmed_counts(tx.tokens_long(rows, "doc_id", "text", tx.stop_words()), "doc_id"))
-    vocab = tx.bow_vocabulary_from_counts(counts, max_features=REVIEW_TERMS)
-    vectors = tx.bow_vectors(tx.bow_counts(counts, vocab, "doc_id"), "doc_id", REVIEW_TERMS)
-    data = tx.with_bow_vectors(rows.select("doc_id", F.col("quality").cast("double").alias("label")), vectors, "doc_id", REVIEW_TERMS)
+    tokens = tx.tokens_long(rows, "doc_id", "text", tx.stop_words())
+    vocab, numbers = tx.term_numbers(tokens, max_features=REVIEW_TERMS)
+    terms = [r["term"] for r in vocab.orderBy("term_index").collect()]  # at most REVIEW_TERMS
+    counts = tx.bow_counts_by_token(tokens, cut_lineage(numbers), "doc_id")
+    data = tx.bow_vectors(rows.select("doc_id", F.col("quality").cast("double").alias("label")), counts, terms, "doc_id")
     data = cut_lineage(data.withColumn("is_train", ml.split_hash("doc_id", 0.75)))
     return ml.forest_on_vectors(data.filter("is_train"), data.filter(~F.col("is_train")), num_trees=num_trees, impurity="entropy")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tally.operators import clean, dims, promo, seasonality as season
 from tally.plans import q_dims, q_promo
 from tally.plans.registry import query
+from tally.session import cut_lineage
 
 LEAD_COLS = [f"{m}_lead_{n}" for m in promo.PROMO_MEASURES for n in promo.LEADS]
 STATUS_COLS = [f"{m}_seasonality_status" for m in season.MONTHS]
@@ -29,7 +30,12 @@ def _located_sales(t):
 
 
 def training_frame(t):
-    sales = _located_sales(t)
+    # five tables joined once: the panel and the seasonality both read the written rows
+    sales = cut_lineage(
+        _located_sales(t).select(
+            "location", "state", "replenishment_center", "item_linkage", "brand", "item_sub_category", "item_classification", "l_shipdate", "l_quantity", "l_extendedprice", "l_linestatus"
+        )
+    )
     panel = sales.groupBy(
         "location", "state", "replenishment_center", "item_linkage", "brand", "item_sub_category",
         F.trunc("l_shipdate", "MM").alias("month_start_date"),
@@ -40,15 +46,18 @@ def training_frame(t):
     wh, prof, closure = q_dims._warehouse_inputs(t)
     feats = promo.promo_features(q_promo.promo_months_frame(t), dims.warehouse_hierarchy(wh, prof, closure, **q_dims.NAME_FILTERS))
 
-    def level(scope, keys, suffix):
-        f = feats.filter(F.col("apply_on") == scope).groupBy(*keys, F.col("month").alias("month_start_date")).agg(
-            *[F.round(F.avg(c), 9).alias(f"{c}_{suffix}") for c in LEAD_COLS]
-        )
-        return f
+    # the features are planned once: each row belongs to one level and is averaged under that level's key
+    scope = F.col("apply_on")
+    own_key = F.when(scope == "Brand", F.col("promo_brand")).when(scope == promo.SUB_CATEGORY_SCOPE, F.col("promo_item_sub_category")).when(scope == "Item Code", F.col("item_linkage"))
+    leads = feats.select("location", F.col("month").alias("month_start_date"), scope.alias("_scope"), own_key.alias("_key"), *LEAD_COLS)
+    means = cut_lineage(leads.groupBy("_scope", "location", "_key", "month_start_date").agg(*[F.round(F.avg(c), 9).alias(c) for c in LEAD_COLS]))
+
+    def level(name, key, suffix):
+        return means.filter(F.col("_scope") == name).select("location", F.col("_key").alias(key), "month_start_date", *[F.col(c).alias(f"{c}_{suffix}") for c in LEAD_COLS])
 
-    brand = level("Brand", ["location", F.col("promo_brand").alias("brand")], "brand")
-    category = level(promo.SUB_CATEGORY_SCOPE, ["location", F.col("promo_item_sub_category").alias("item_sub_category")], "category")
-    code = level("Item Code", ["location", "item_linkage"], "code")
+    brand = level("Brand", "brand", "brand")
+    category = level(promo.SUB_CATEGORY_SCOPE, "item_sub_category", "category")
+    code = level("Item Code", "item_linkage", "code")
     out = (
         panel.join(brand, ["location", "brand", "month_start_date"], "left")
         .join(category, ["location", "item_sub_category", "month_start_date"], "left")

@@ -93,7 +93,7 @@ def test_roc_with_ties_and_null_scores(spark):
 def test_vectors_of_documents_without_terms(spark):
     counts = spark.createDataFrame([(1, 0, 2), (1, 4, 1)], "doc_id int, term_index int, tf long")
     docs = spark.createDataFrame([(1,), (2,)], "doc_id int")
-    got = {r.doc_id: r.features.toArray().tolist() for r in tx.with_bow_vectors(docs, tx.bow_vectors(counts, "doc_id", 5), "doc_id", 5).collect()}
+    got = {r.doc_id: r.features.toArray().tolist() for r in tx.bow_vectors(docs, counts, ["a", "b", "c", "d", "e"], "doc_id").collect()}
     assert got == {1: [2.0, 0, 0, 0, 1.0], 2: [0.0] * 5}
 
 
