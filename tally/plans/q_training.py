@@ -41,30 +41,39 @@ def training_frame(t):
         F.trunc("l_shipdate", "MM").alias("month_start_date"),
     ).agg(F.sum("l_quantity").alias("order_sales"))
     panel = panel.withColumn("id", F.concat_ws("|", "location", "item_linkage"))
-    panel = clean.drop_ambiguous_keys(panel, ["id", "month_start_date"])
+    panel = cut_lineage(clean.drop_ambiguous_keys(panel, ["id", "month_start_date"]))
 
     wh, prof, closure = q_dims._warehouse_inputs(t)
-    feats = promo.promo_features(q_promo.promo_months_frame(t), dims.warehouse_hierarchy(wh, prof, closure, **q_dims.NAME_FILTERS))
+    # written, so its size is known: the few warehouses of many promotions are broadcast where that is small, not shuffled to
+    # the few names they hang under
+    hierarchy = cut_lineage(dims.warehouse_hierarchy(wh, prof, closure, **q_dims.NAME_FILTERS))
+    feats = promo.promo_features(q_promo.promo_months_frame(t), hierarchy)
 
     # the features are planned once: each row belongs to one level and is averaged under that level's key
     scope = F.col("apply_on")
     own_key = F.when(scope == "Brand", F.col("promo_brand")).when(scope == promo.SUB_CATEGORY_SCOPE, F.col("promo_item_sub_category")).when(scope == "Item Code", F.col("item_linkage"))
     leads = feats.select("location", F.col("month").alias("month_start_date"), scope.alias("_scope"), own_key.alias("_key"), *LEAD_COLS)
-    means = cut_lineage(leads.groupBy("_scope", "location", "_key", "month_start_date").agg(*[F.round(F.avg(c), 9).alias(c) for c in LEAD_COLS]))
+    # only features that some row of the panel can take go on: Spark broadcasts these keys or shuffles both by their size
+    levels = {"Brand": "brand", promo.SUB_CATEGORY_SCOPE: "item_sub_category", "Item Code": "item_linkage"}
+    wanted = None
+    for name, key in levels.items():
+        own = panel.select(F.lit(name).alias("_scope"), "location", F.col(key).alias("_key"), "month_start_date").distinct()
+        wanted = own if wanted is None else wanted.unionByName(own)
+    leads = leads.join(cut_lineage(wanted), ["_scope", "location", "_key", "month_start_date"], "left_semi")
+    means = cut_lineage(leads.groupBy("_scope", "location", "_key", "month_start_date").agg(*[F.avg(c).alias(c) for c in LEAD_COLS]))
 
     def level(name, key, suffix):
         return means.filter(F.col("_scope") == name).select("location", F.col("_key").alias(key), "month_start_date", *[F.col(c).alias(f"{c}_{suffix}") for c in LEAD_COLS])
 
-    brand = level("Brand", "brand", "brand")
-    category = level(promo.SUB_CATEGORY_SCOPE, "item_sub_category", "category")
-    code = level("Item Code", "item_linkage", "code")
+    brand, category, code = (level(name, key, suffix) for (name, key), suffix in zip(levels.items(), ("brand", "category", "code")))
     out = (
         panel.join(brand, ["location", "brand", "month_start_date"], "left")
         .join(category, ["location", "item_sub_category", "month_start_date"], "left")
         .join(code, ["location", "item_linkage", "month_start_date"], "left")
     )
+    # rounded where they are used: rounding is dear, and few of the features meet a row of the panel
     lead_out = [f"{c}_{s}" for s in ("brand", "category", "code") for c in LEAD_COLS]
-    out = out.fillna(0.0, subset=lead_out)
+    out = out.withColumns({c: F.coalesce(F.round(c, 9), F.lit(0.0)) for c in lead_out})
     variants = dims.item_variants(q_dims._items(t), q_dims._brands(t))
     out = dims.attach_variant(out, variants)
     seas_sales = sales.filter(F.col("l_linestatus") == "F").select(
