@@ -13,9 +13,10 @@ that one the last holder), up to ``reach`` bytes, and the span is extended by th
 ``min_words`` words or more are reported. Of equal chunks those in one row stay: the row with the least doc_id, of
 repeated rows with that id the one with the least row number; the extension goes or stays with the chunk next to it.
 
-The table of chunks is written once and read twice: for one aggregation by digest (least and largest row, with partial
-results in each task, so a passage that very many documents share is one row per task there) and for a join with the
-digests that two rows or more hold, whose skewed keys Spark splits. Only such chunks are looked at further. The texts
+The table of chunks is written once and read twice: for one aggregation by half the digest (least and largest row, with
+partial results in each task, so a passage that very many documents share is one row per task there) and for a join
+with the halves that two rows or more hold, whose skewed keys Spark splits. Only such chunks are looked at further, by
+their whole digests, and the table is removed once they are written. The texts
 are read a second time for the ends of runs; rows are numbered so that both scans agree. Spans are put together per
 document.
 
@@ -36,7 +37,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from tally.llm.common import as_texts, flat_list, fresh, numbered_rows
-from tally.session import cut_lineage
+from tally.session import cut_lineage, drop_scratch, write_scratch
 
 REACH = 16  # bytes that the rolling hash depends on
 SLICE = 1 << 20
@@ -143,13 +144,18 @@ def repeated_chunks(df: DataFrame, row: str, mean: int = 32, least: int = 12, mo
     p_start and p_last."""
     if most > 1000:
         raise ValueError("chunks have at most 1000 bytes")
-    table = cut_lineage(chunks(df, row, mean, least, most))
-    by_digest = table.select("row", F.explode(F.arrays_zip("d1", "d2")).alias("c")).select("row", "c.*").groupBy("d1", "d2")
-    known = by_digest.agg(F.min("row").alias("r0"), F.max("row").alias("r1")).where("r0 < r1").select("d1", "d2")
-    hits = cut_lineage(_placed(table).join(known, ["d1", "d2"]))
+    kept = chunks(df, row, mean, least, most)
+    path = write_scratch(kept)
+    table = df.sparkSession.read.schema(kept.schema).parquet(path)
+    # the first half of the digest tells which chunks to look at; what is equal is decided by the whole digest below
+    by_half = table.select("row", F.explode("d1").alias("d1")).groupBy("d1")
+    known = by_half.agg(F.min("row").alias("r0"), F.max("row").alias("r1")).where("r0 < r1").select("d1")
+    hits = cut_lineage(_placed(table).join(known, "d1"))
+    drop_scratch(df.sparkSession, path)
     # the complement turns the order round, so that null, the least in a struct, comes last
     turned = F.struct(F.bitwise_not("doc_id").alias("doc_id"), F.bitwise_not("row").alias("row"), F.bitwise_not("at").alias("at"))
     holders = hits.groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("copies"), F.max(turned).alias("keep"), F.min(turned).alias("other"))
+    holders = holders.where(F.col("keep.row") != F.col("other.row"))
     j = hits.join(holders, ["d1", "d2"])
     first = F.col("row") == F.bitwise_not("keep.row")
     partner = F.when(first, F.col("other")).otherwise(F.col("keep"))
