@@ -65,14 +65,19 @@ def cover(lo: Column, hi: Column, low_bits: int, high_bits: int) -> Column:
     return F.concat(*parts)
 
 
-def range_join(points: DataFrame, intervals: DataFrame, point: str, lo: str, hi: str, on: Sequence[str] = (), top_buckets: int = 256) -> DataFrame:
+def range_join(points: DataFrame, intervals: DataFrame, point: str, lo: str, hi: str, on: Sequence[str] = (), top_buckets: int | None = None) -> DataFrame:
     """Every (point row, interval row) with ``lo <= point <= hi`` and equal ``on`` columns: the points' columns, then the
-    intervals' (without ``on``). Other columns must not have the same names."""
+    intervals' (without ``on``). Other columns must not have the same names.
+
+    ``top_buckets``: how many of the widest buckets cover all points; more of them spread the points under a long interval
+    over more tasks, but an interval over everything is written that often. Left out, one for about 200,000 points,
+    4 to 256."""
     clash = ({c.lower() for c in points.columns} & {c.lower() for c in intervals.columns}) - {c.lower() for c in on}
     if clash:
         raise ValueError(f"columns of both sides: {sorted(clash)}")
     p = points.withColumn("_p", axis(points, point)).where(F.col("_p").isNotNull())
-    ends = p.agg(F.min("_p").alias("a"), F.max("_p").alias("b")).first()
+    ends = p.agg(F.min("_p").alias("a"), F.max("_p").alias("b"), F.count(F.lit(1)).alias("n")).first()
+    top_buckets = top_buckets or max(4, min(256, ends["n"] // 200_000))
     out = [*points.columns, *[c for c in intervals.columns if c not in on]]
     a, b = (ends["a"], ends["b"]) if ends["a"] is not None else (0, 0)
     # beyond the points an interval holds nothing, so open ends stop at the outermost points
