@@ -88,7 +88,7 @@ def correlations(df: DataFrame, columns: Sequence[str], block: int = 64, decimal
     r = F.when(varies, F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(F.round(xy / F.sqrt(xx * yy), decimals)))
     found = sums.select("i", "j", n.cast("long").alias("n"), r.alias("corr"))
     both = found.unionByName(found.where("i <> j").select(F.col("j").alias("i"), F.col("i").alias("j"), "n", "corr"))
-    names = df.sparkSession.createDataFrame(list(enumerate(cols)), "k int, name string")
-    # one row per column on either side
-    pairs = names.select(F.col("k").alias("i"), F.col("name").alias("col_a")).crossJoin(names.select(F.col("k").alias("j"), F.col("name").alias("col_b")))
+    # a row per pair of columns, from their names
+    names = df.sparkSession.createDataFrame(list(enumerate(cols)), "i int, col_a string")
+    pairs = names.select("*", F.posexplode(F.array(*[F.lit(c) for c in cols])).alias("j", "col_b"))
     return pairs.join(both, ["i", "j"], "left").select("col_a", "col_b", "corr", F.coalesce("n", F.lit(0).cast("long")).alias("n"))

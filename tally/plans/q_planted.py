@@ -73,7 +73,7 @@ def logistic_gradient(t):
     g = cut_lineage(ml.logistic_gradient(rows, [f"{c}_scaled" for c in _LOGISTIC], "label"))
     size, name = F.abs("coefficient"), F.regexp_replace("feature", "_scaled$", "")
     slopes = g.where("feature <> 'intercept'").agg(F.max(F.struct(F.abs("coefficient"), "feature"))["feature"].alias("top"))
-    return g.crossJoin(slopes).select(  # one row
+    return g.withColumn("top", slopes.scalar()).select(
         name.alias("feature"), (F.col("feature") == F.col("top")).alias("is_largest"), (F.abs("gradient") < 1e-5).alias("gradient_is_zero"), (size > 0.25).alias("is_strong")
     )
 
@@ -91,7 +91,7 @@ def kmeans_fixed_point(t):
         off = off | (F.abs(F.col(c) - F.get(F.get(at, F.col("cluster")), F.lit(j))) > 1e-6)
     means = per.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_clusters"), F.count(F.when(off, 1)).alias("off_centre"))
     wrong = found.agg(ml.nearest_centre_violations(found, _SCALED, centres).alias("nearer_elsewhere"))
-    return means.crossJoin(wrong).select("n_rows", "n_clusters", "nearer_elsewhere", "off_centre")  # one row each
+    return means.select("n_rows", "n_clusters", wrong.scalar().alias("nearer_elsewhere"), "off_centre")
 
 
 @query(

@@ -95,5 +95,5 @@ def ward_facts(t):
     )
     clusters = w.segments(4).agg(F.count_distinct("cluster").alias("n_clusters"))
     total = F.col("within") + F.col("raised")
-    both = inside.crossJoin(found).crossJoin(clusters)  # one row each
+    both = inside.select("*", found.select(F.struct("*").alias("s")).scalar().alias("s"), clusters.scalar().alias("n_clusters")).select("*", "s.*")
     return both.select("n_rows", F.round(total, 6).alias("total_squares"), "lower_than_before", "n_clusters", (F.col("between_four") > total / 2).alias("split_explains"))

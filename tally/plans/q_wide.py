@@ -110,7 +110,7 @@ def elbow_coreset_facts(t):
     e = cut_lineage(coreset.elbow(scaled, _SCALED, range(1, 15)))
     before = e.select((F.col("k") + 1).alias("k"), F.col("wcss").alias("before"))
     own = ml.kmeans_elbow(scaled, _SCALED, ks=[4]).select(F.col("wcss").alias("own"))
-    j = e.join(before, "k", "left").crossJoin(own)  # one row
+    j = e.join(before, "k", "left").withColumn("own", own.scalar())
     return j.agg(
         F.count(F.lit(1)).alias("n_k"),
         F.round(F.max(F.when(F.col("k") == 1, F.col("wcss"))), 4).alias("total_squares"),
