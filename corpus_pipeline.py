@@ -22,16 +22,16 @@ from tally.session import cut_lineage, ship_package
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in no language (null text, or no letter) go; where ``lang`` is null, the predicted language is filled in.
+    """Documents in no language (null text, or no letter) go; the others' ``lang`` becomes the language that their text is
+    found to be in, whatever was stated. ``pack_sequences`` goes by it.
 
     Learned from four folds of five. Only the text decides what goes, so a learned language of any name stays; where
     nothing can be learned, ``lang`` stays as it is."""
     model = langid.fit(docs.where(quality_gam.remainder("doc_id", 5) != 0))
-    found, lang = fresh(docs, "found"), F.col("lang")
-    wanted = lang.isNull() & F.lit(bool(model.names))
-    seen = docs.withColumn(found, langid.letters_and_language(spark, model)(F.col("text").cast("string"), wanted))
-    filled = F.coalesce(lang, F.col(found)["lang_pred"].cast(docs.schema["lang"].dataType))
-    return seen.where(F.col(found)["letter"]).select(*(filled.alias(c) if c == "lang" else F.col(c) for c in docs.columns))
+    found, learned = fresh(docs, "found"), bool(model.names)
+    seen = docs.withColumn(found, langid.letters_and_language(spark, model)(F.col("text").cast("string"), F.lit(learned)))
+    lang = F.col(found)["lang_pred"].cast(docs.schema["lang"].dataType) if learned else F.col("lang")
+    return seen.where(F.col(found)["letter"]).select(*(lang.alias(c) if c == "lang" else F.col(c) for c in docs.columns))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,8 +64,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece of a document, with its sequence and its place there."""
-    return packing.pack(docs, tokenizer_path()).drop("row")
+    """One row per piece of a document, with its sequence and its place there; a sequence holds one language only."""
+    return packing.pack(docs, tokenizer_path(), within="lang").drop("row")
 
 
 STAGES = [

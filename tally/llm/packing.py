@@ -18,6 +18,9 @@ pieces share is spread over buckets; the plan turns a rank into sequence and off
 
 Null texts count as empty and hold the end id only; rows repeat as given and are separate documents; an empty table
 gives an empty result; other columns are ignored.
+
+With ``within``, a column of few values (languages), documents of different values never share a sequence; null is a
+value of its own. Each value has a plan of its own, made on the driver from its number of pieces of each length.
 """
 
 from __future__ import annotations
@@ -37,26 +40,27 @@ from tally.llm.tokens import encode
 from tally.session import cut_lineage
 
 
-def pieces(df: DataFrame, row: str, tokenizer: str, capacity: int, end_id: int) -> DataFrame:
-    """(row, doc_id, piece, start, length, ids_crc32): the whole text's ids and the end id, cut from the end in pieces
-    of ``capacity``, so only the first may be shorter."""
-    names = ["row", "doc_id", "piece", "start", "length", "ids_crc32"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+def pieces(df: DataFrame, row: str, tokenizer: str, capacity: int, end_id: int, within: str | None = None) -> DataFrame:
+    """(row, doc_id, piece, start, length, ids_crc32, within): the whole text's ids and the end id, cut from the end in
+    pieces of ``capacity``, so only the first may be shorter."""
+    names = ["row", "doc_id", "piece", "start", "length", "ids_crc32", "within"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
 
     def run(batches):
         for b in batches:
             out: list[tuple] = []
-            for row_id, doc, text in zip(b["row"].to_pylist(), b["doc_id"].to_pylist(), as_texts(b["text"]), strict=True):
+            for row_id, doc, of, text in zip(b["row"].to_pylist(), b["doc_id"].to_pylist(), b["within"].to_pylist(), as_texts(b["text"]), strict=True):
                 ids = np.array([*encode(tokenizer, text), end_id], dtype="<u4")
                 start, end = 0, len(ids) % capacity or min(len(ids), capacity)
                 for piece in range(-(-len(ids) // capacity)):
-                    out.append((row_id, doc, piece, start, end - start, zlib.crc32(ids[start:end].tobytes())))
+                    out.append((row_id, doc, piece, start, end - start, zlib.crc32(ids[start:end].tobytes()), of))
                     start, end = end, end + capacity
             cols = list(zip(*out)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
 
-    src = df.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return src.mapInArrow(run, "row long, doc_id long, piece int, start long, length long, ids_crc32 long")
+    of = (F.lit(None) if within is None else F.col(within)).cast("string").alias("within")
+    src = df.select(F.col(row).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), of)
+    return src.mapInArrow(run, "row long, doc_id long, piece int, start long, length long, ids_crc32 long, within string")
 
 
 @dataclass
@@ -223,41 +227,51 @@ def _plan(counts: dict[int, int], capacity: int, groups: int, small_part: int) -
     return plan
 
 
-def pack(df: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, row: str | None = None) -> DataFrame:
-    """One row per piece of (doc_id, text) rows: row, doc_id, piece, start, length, ids_crc32, sequence_id, offset.
-    Sequences of full pieces have negative numbers."""
+def pack(df: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, row: str | None = None, within: str | None = None) -> DataFrame:
+    """One row per piece of (doc_id, text) rows: row, doc_id, piece, start, length, ids_crc32, sequence_id, offset, and the
+    column ``within``, if one is named, whose values share no sequence. Sequences of full pieces have negative numbers."""
     if row is None:
         row = fresh(df, "row")
         df = with_row_id(df, row)
-    cut = cut_lineage(pieces(df, row, tokenizer, capacity, end_id))
+    cut = cut_lineage(pieces(df, row, tokenizer, capacity, end_id, within))
     short = cut.where(F.col("length") < capacity)
-    counts = {r["length"]: r["count"] for r in short.groupBy("length").count().collect()}  # at most capacity rows
-    plan = plan_packing(counts, capacity)
-    buckets = 1 << max(6, (sum(counts.values()) // 1_000_000).bit_length())
-    where = short.withColumn("bucket", F.pmod(F.xxhash64("row", "piece"), F.lit(buckets)).cast("int"))
-    per = where.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
-    inside = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("row", "piece"))
-    ranked = where.withColumn("inside", inside).join(per.select("length", "bucket", before.alias("before")), ["length", "bucket"])
-    place = _placer(plan, capacity)
-    at = place(F.col("length"), F.col("before") + F.col("inside") - 1)
-    cols = ["row", "doc_id", "piece", "start", "length", "ids_crc32"]
+    counts: dict[str | None, dict[int, int]] = {}
+    for r in short.groupBy("within", "length").count().collect():  # at most capacity rows for each value
+        counts.setdefault(r["within"], {})[r["length"]] = r["count"]
+    values = sorted(counts, key=lambda v: (v is not None, v or ""))
+    plans = [plan_packing(counts[v], capacity) for v in values]
+    buckets = 1 << max(6, (sum(sum(c.values()) for c in counts.values()) // 1_000_000).bit_length())
+    named = [v for v in values if v is not None]
+    part = F.lit(0) if not named else F.array_position(F.array(*[F.lit(v) for v in named]), F.col("within")) - F.lit(0 if None in counts else 1)
+    where = short.withColumn("part", F.coalesce(part, F.lit(0)).cast("int"))
+    where = where.withColumn("bucket", F.pmod(F.xxhash64("row", "piece"), F.lit(buckets)).cast("int"))
+    per = where.groupBy("part", "length", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("part", "length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
+    inside = F.row_number().over(Window.partitionBy("part", "length", "bucket").orderBy("row", "piece"))
+    ranked = where.withColumn("inside", inside).join(per.select("part", "length", "bucket", before.alias("before")), ["part", "length", "bucket"])
+    place = _placer(plans, capacity)
+    at = place(F.col("part"), F.col("length"), F.col("before") + F.col("inside") - 1)
+    cols = ["row", "doc_id", "piece", "start", "length", "ids_crc32", *([] if within is None else ["within"])]
     packed = ranked.select(*cols, at.alias("p")).select(*cols, "p.sequence_id", "p.offset")
     full = cut.where(F.col("length") == capacity).select(*cols, (-(F.monotonically_increasing_id() + 1)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    return packed.unionByName(full)
+    return packed.unionByName(full).withColumnsRenamed({} if within is None else {"within": within})
 
 
-def _placer(plan: Plan, capacity: int):
-    """Column function from (length, rank) to (sequence_id, offset), by search among the plan's parts."""
-    parts = np.array(sorted((n, r, s, o) for n, r, _, s, o in plan.parts), dtype=np.int64).reshape(-1, 4)
-    span = np.int64(1) << np.int64(48)
+def _placer(plans: list[Plan], capacity: int):
+    """Column function from (number of the plan, length, rank) to (sequence_id, offset), by search among the plans' parts."""
+    parts, first = [], 0
+    for i, plan in enumerate(plans):
+        parts += [(i * capacity + n, r, first + s, o) for n, r, _, s, o in plan.parts]
+        first += plan.sequences
+    parts = np.array(sorted(parts), dtype=np.int64).reshape(-1, 4)
+    span = np.int64(1) << np.int64(40)
     keys = parts[:, 0] * span + parts[:, 1]
 
     @pandas_udf("struct<sequence_id: long, offset: long>")
-    def place(length, rank):
+    def place(part, length, rank):
         import pandas as pd
 
-        n, r = length.to_numpy(np.int64), rank.to_numpy(np.int64)
+        n, r = part.to_numpy(np.int64) * capacity + length.to_numpy(np.int64), rank.to_numpy(np.int64)
         at = np.searchsorted(keys, n * span + r, side="right") - 1
         if not len(keys):
             return pd.DataFrame({"sequence_id": np.zeros(len(n), np.int64), "offset": np.zeros(len(n), np.int64)})

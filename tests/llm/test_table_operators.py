@@ -464,6 +464,26 @@ def test_documents_stay_where_no_language_can_be_learned(shipped):
         assert sorted(r["text"] for r in kept) == ["déjà"] * 2 + ["plain words"] * 2
 
 
+def test_sequences_hold_one_language_as_the_text_tells(shipped):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    vocab = {"de": "der Hund und das Haus mit dem Baum ist nicht sehr".split(), "en": "the house and the tree with the dog is not very".split()}
+    # every fifth states the wrong language
+    rows = [(i, " ".join(rng.choices(vocab[k], k=60 + i % 90)), k if i % 5 else {"de": "en", "en": "de"}[k], "s") for i, k in enumerate(["de", "en"] * 60)]
+    docs = shipped.createDataFrame([*rows, (500, "12 !?", "de", "s")], "doc_id long, text string, lang string, source string")
+    truth = {i: ["de", "en"][i % 2] for i in range(120)}
+    named = corpus_pipeline.language_id(shipped, docs, "")
+    assert {r["doc_id"]: r["lang"] for r in named.collect()} == truth
+    packed = corpus_pipeline.pack_sequences(shipped, named, "").collect()
+    assert all(r["lang"] == truth[r["doc_id"]] for r in packed) and len(packed) >= 120
+    _check_packing(packed)
+    held = defaultdict(set)
+    for r in packed:
+        held[r["sequence_id"]].add(truth[r["doc_id"]])
+    assert all(len(v) == 1 for v in held.values())
+
+
 @pytest.mark.parametrize("ids", [(7, 7, 7), (None, None, None), (None, 9, 4), (4, None, 4)])
 def test_one_row_keeps_a_repeated_passage(shipped, ids):
     passage = _words(random.Random(3), 120)
