@@ -8,6 +8,10 @@ not one a day; a point has one bucket in each level that occurs. The two meet in
 equality join brings them together; an exact check of the ends follows, as the lowest buckets at either end may reach
 over. No pair is met twice, so nothing has to be made distinct.
 
+With ``on``, most keys have few points, and cutting their intervals would write many rows to save few comparisons. So where
+a key has at most ``FEW`` points or at most ``FEW`` intervals, they meet by the key alone, and only the remaining keys
+go by buckets. So a key's comparisons are at most ``FEW`` times its rows.
+
 Intervals hold both ends; a null end is open; an interval whose lower end is above its upper end holds nothing; null
 points match nothing. Rows repeat as given. ``on`` names columns that must be equal as well (null equals nothing).
 """
@@ -20,6 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tally.session import cut_lineage
+
+
+#: points (or intervals) of a key that are all compared
+FEW = 200
+
 
 def axis(df: DataFrame, col: str) -> Column:
     """A date, timestamp or whole number as a long."""
@@ -76,6 +86,25 @@ def range_join(points: DataFrame, intervals: DataFrame, point: str, lo: str, hi:
     if clash:
         raise ValueError(f"columns of both sides: {sorted(clash)}")
     p = points.withColumn("_p", axis(points, point)).where(F.col("_p").isNotNull())
+    if not on:
+        return _bucket_join(points, p, intervals, lo, hi, on, top_buckets)
+    i = intervals.withColumn("_lo", axis(intervals, lo)).withColumn("_hi", axis(intervals, hi))
+    many = p.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > FEW).select(*on)
+    if many.isEmpty():
+        return _key_join(points, p, intervals, i, on)
+    many = cut_lineage(i.join(many, [*on], "left_semi").groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > FEW).select(*on))
+    light = _key_join(points, p.join(many, [*on], "left_anti"), intervals, i, on)
+    return light.unionByName(_bucket_join(points, p.join(many, [*on], "left_semi"), intervals.join(many, [*on], "left_semi"), lo, hi, on, top_buckets))
+
+
+def _key_join(points: DataFrame, p: DataFrame, intervals: DataFrame, i: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Points and intervals of equal keys, then the ends."""
+    holds = (F.col("_lo").isNull() | (F.col("_p") >= F.col("_lo"))) & (F.col("_hi").isNull() | (F.col("_p") <= F.col("_hi")))
+    return p.join(i, [*on]).where(holds).select(*points.columns, *[c for c in intervals.columns if c not in on])
+
+
+def _bucket_join(points: DataFrame, p: DataFrame, intervals: DataFrame, lo: str, hi: str, on: Sequence[str], top_buckets: int | None) -> DataFrame:
+    """Points and intervals that meet in a bucket, then the ends."""
     ends = p.agg(F.min("_p").alias("a"), F.max("_p").alias("b"), F.count(F.lit(1)).alias("n")).first()
     top_buckets = top_buckets or max(4, min(256, ends["n"] // 200_000))
     out = [*points.columns, *[c for c in intervals.columns if c not in on]]

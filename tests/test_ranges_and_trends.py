@@ -37,6 +37,23 @@ def test_range_join_by_brute_force(spark, seed, spread, longest):
         assert got == want
 
 
+def test_keyed_range_join_cuts_intervals_of_crowded_keys_only(spark, monkeypatch):
+    from tally.operators import ranges
+
+    rng = random.Random(9)
+    # key: points, intervals; one has many of both, two have many of one, the others few
+    sizes = {"both": (120, 90), "points": (150, 3), "spans": (4, 160), "few": (5, 6), None: (40, 40)}
+    points = [(n, rng.randint(0, 500), k) for k, (m, _) in sizes.items() for n in range(m)]
+    spans = [(n, lo if rng.random() > 0.1 else None, lo + rng.randint(-2, 60) if rng.random() > 0.1 else None, k) for k, (_, m) in sizes.items() for n in range(m) for lo in [rng.randint(0, 500)]]
+    p, s = spark.createDataFrame(points, "i long, at long, k string"), spark.createDataFrame(spans, "j long, lo long, hi long, k string")
+    want = sorted((k, i, j) for i, at, k in points for j, lo, hi, m in spans if k is not None and k == m and (lo is None or lo <= at) and (hi is None or at <= hi))
+    assert "Generate" not in _plan(range_join(p, s, "at", "lo", "hi", on=["k"]))
+    monkeypatch.setattr(ranges, "FEW", 20)
+    j = range_join(p, s, "at", "lo", "hi", on=["k"])
+    assert "Generate" in _plan(j) and j.columns == ["i", "at", "k", "j", "lo", "hi"]
+    assert sorted((r["k"], r["i"], r["j"]) for r in j.collect()) == want
+
+
 def test_range_join_of_dates_and_times(spark):
     day = dt.date(2024, 1, 1)
     p = spark.createDataFrame([(day + dt.timedelta(i),) for i in range(400)], "d date")
