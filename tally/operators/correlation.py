@@ -17,24 +17,41 @@ column's correlation with itself is 1 where it varies; an empty table gives a ro
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tally.session import cut_lineage
+
 
 def _known(c: str):
     v = F.col(c).cast("double")
     return F.when(~F.isnan(v), v)
 
 
+@contextmanager
+def _small_methods(spark: SparkSession) -> Iterator[None]:
+    """Dozens of column expressions make one generated method that the JVM runs uncompiled, being over 8000 bytes; for the
+    jobs in here Spark generates a small method for each expression instead."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def pair_sums(df: DataFrame, columns: Sequence[str], block: int = 64) -> DataFrame:
     """(i, j, n, sx, sy, sxx, syy, sxy) for i <= j, about the columns' means."""
     cols = list(columns)
     k = len(cols)
-    means = df.agg(*[F.avg(_known(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    with _small_methods(df.sparkSession):
+        means = df.agg(*[F.avg(_known(c)).alias(f"m{i}") for i, c in enumerate(cols)]).first()
     centre = np.array([m or 0.0 for m in means])
     kinds = ("n", "s", "q", "p")
 
@@ -59,7 +76,8 @@ def pair_sums(df: DataFrame, columns: Sequence[str], block: int = 64) -> DataFra
                     part = total[kind][a : a + block, b : b + block]
                     yield pd.DataFrame({"kind": [kind], "a": [a], "b": [b], "w": [part.shape[1]], "v": [part.ravel().tolist()]})
 
-    parts = df.select(*[_known(c).alias(f"c{i}") for i, c in enumerate(cols)]).mapInPandas(products, "kind string, a int, b int, w int, v array<double>")
+    # null comes as NaN, so the mask leaves out both
+    parts = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)]).mapInPandas(products, "kind string, a int, b int, w int, v array<double>")
     each = parts.select("kind", "a", "b", "w", F.posexplode("v").alias("at", "v"))
     i, j = F.col("a") + F.floor(F.col("at") / F.col("w")), F.col("b") + F.col("at") % F.col("w")
     summed = each.groupBy("kind", i.cast("int").alias("i"), j.cast("int").alias("j")).agg(F.sum("v").alias("v"))
@@ -71,9 +89,12 @@ def pair_sums(df: DataFrame, columns: Sequence[str], block: int = 64) -> DataFra
             hit = hit & ((F.col("i") <= F.col("j")) if order else (F.col("i") >= F.col("j")))
         return F.max(F.when(hit, F.col("v")))
 
-    return summed.groupBy(low.alias("x"), high.alias("y")).agg(
+    sums = summed.groupBy(low.alias("x"), high.alias("y")).agg(
         of("n").alias("n"), of("s", True).alias("sx"), of("s", False).alias("sy"), of("q", True).alias("sxx"), of("q", False).alias("syy"), of("p", True).alias("sxy")
     ).withColumnsRenamed({"x": "i", "y": "j"})
+    # written, a row per pair: the rows of ``df`` are gone through once, however often the sums are read
+    with _small_methods(df.sparkSession):
+        return cut_lineage(sums)
 
 
 def correlations(df: DataFrame, columns: Sequence[str], block: int = 64, decimals: int = 6) -> DataFrame:

@@ -143,3 +143,14 @@ def test_head_tail_and_samples(spark):
     assert a == b and len(a) == 10
     assert seg.sample_share(df, "k", 1.0).count() == 100 and seg.sample_share(df, "k", 0.0).count() == 0
     assert seg.head(df.limit(0), [F.col("k")]).count() == seg.tail(df.limit(0), [F.col("k")]).count() == 0
+
+
+def test_correlations_go_through_the_rows_once_and_leave_the_session_as_it_was(spark):
+    from tally.operators import correlation
+
+    before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    rows = spark.range(50).select(*[F.when(F.col("id") % (i + 5) != 0, F.col("id") * (i + 1) % 11).alias(f"v{i}") for i in range(4)])
+    j = correlation.correlations(rows.withColumn("v0", F.when(F.col("v0") == 3, float("nan")).otherwise(F.col("v0"))), [f"v{i}" for i in range(4)], block=2)
+    assert "MapInPandas" not in j._jdf.queryExecution().toString()
+    assert j.count() == 16 and {r["n"] for r in j.collect() if r["col_a"] == r["col_b"] == "v3"} == {rows.where("v3 is not null").count()}
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == before
