@@ -105,10 +105,15 @@ def kmeans_segments(df: DataFrame, features: Sequence[str], k: int = 4, seed: in
 
 def kmeans_elbow(df: DataFrame, features: Sequence[str], ks: Sequence[int] = range(1, 15), seed: int = 42) -> DataFrame:
     """M5: within-cluster sum of squares per k. k = 1 is the total sum of squares (plain SQL);
-    the others are ``trainingCost`` of fitted models. The data is cached once for all fits."""
+    the others are ``trainingCost`` of fitted models. The data is cached once for all fits, read from written files, whose
+    tasks are as many as the cores or the bytes ask for and not one per shuffle partition: each of some hundred jobs
+    sends the driver a result per task."""
     from pyspark.ml.clustering import KMeans
 
+    from tally.session import cut_lineage
+
     spark = df.sparkSession
+    df = cut_lineage(df.select(*features))
     data = assemble(df, features).select("features").cache()
     rows = []
     for k in ks:

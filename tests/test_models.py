@@ -58,3 +58,20 @@ def test_scaling_is_population_std(spark):
     got = [r.x_scaled for r in ml.standard_scale(df, ["x"]).orderBy("x").collect()]
     exp = (np.array([1, 2, 3, 4]) - 2.5) / np.std([1, 2, 3, 4])
     assert np.allclose(got, exp)
+
+
+def _fitted_on(monkeypatch, estimator):
+    """The rows that an estimator is fitted on, one entry per fit."""
+    seen, fit = [], estimator.fit
+    monkeypatch.setattr(estimator, "fit", lambda self, rows, *a: (seen.append(rows.rdd.getNumPartitions()), fit(self, rows, *a))[1])
+    return seen
+
+
+def test_elbow_runs_no_task_per_shuffle_partition(spark, monkeypatch):
+    from pyspark.ml.clustering import KMeans
+
+    rows = spark.range(400).select((F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 5).cast("double").alias("b"))
+    seen = _fitted_on(monkeypatch, KMeans)
+    got = {r["k"]: r["wcss"] for r in ml.kmeans_elbow(rows.repartition(64), ["a", "b"], ks=[1, 2, 35]).collect()}
+    assert len(seen) == 2 and max(seen) <= 8
+    assert abs(got[1] - 400 * np.var(np.arange(400) % 7) - 400 * np.var(np.arange(400) % 5)) < 1e-6 and got[35] <= got[2] <= got[1]
