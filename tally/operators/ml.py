@@ -185,6 +185,17 @@ def _fit_predict(estimator, train: DataFrame, test: DataFrame, features: Sequenc
     return model.transform(te)
 
 
+#: bytes of cached training rows that one task should read at most
+_TASK_BYTES = 128 << 20
+
+
+def _spread(rows: DataFrame, row_bytes: int) -> DataFrame:
+    """``rows`` in as many partitions as their cached form of ``row_bytes`` each asks for. A file split holds many more rows
+    than that: they are a few bytes each in a file, but an array of ``numTrees`` counts when they are cached."""
+    wanted = -(-rows.count() * row_bytes // _TASK_BYTES)
+    return rows.repartition(wanted) if wanted > 1 and wanted > rows.rdd.getNumPartitions() else rows
+
+
 def clf_tree(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, max_depth: int = 5, seed: int = 42) -> DataFrame:
     """M7: decision tree, gini impurity."""
     from pyspark.ml.classification import DecisionTreeClassifier
@@ -200,6 +211,8 @@ def clf_forest(
     from pyspark.ml.classification import RandomForestClassifier
 
     est = RandomForestClassifier(numTrees=num_trees, impurity=impurity, seed=seed)
+    # Spark caches a row as its binned features and its count in each tree
+    train = _spread(train.select(*features, label), 4 * (num_trees + len(features)) + 100)
     return _fit_predict(est, train, test, features, label)
 
 

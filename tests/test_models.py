@@ -75,3 +75,16 @@ def test_elbow_runs_no_task_per_shuffle_partition(spark, monkeypatch):
     got = {r["k"]: r["wcss"] for r in ml.kmeans_elbow(rows.repartition(64), ["a", "b"], ks=[1, 2, 35]).collect()}
     assert len(seen) == 2 and max(seen) <= 8
     assert abs(got[1] - 400 * np.var(np.arange(400) % 7) - 400 * np.var(np.arange(400) % 5)) < 1e-6 and got[35] <= got[2] <= got[1]
+
+
+def test_forest_spreads_rows_by_what_they_weigh_when_cached(spark, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassifier
+
+    rows = spark.range(0, 3000, 1, 2).select((F.col("id") % 10).alias("x"), (F.col("id") % 10 > 4).cast("int").alias("y"))
+    seen = _fitted_on(monkeypatch, RandomForestClassifier)
+    few = ml.clf_forest(rows, rows, ["x"], "y", num_trees=10)
+    monkeypatch.setattr(ml, "_TASK_BYTES", 40_000)
+    many = ml.clf_forest(rows, rows, ["x"], "y", num_trees=10)
+    assert seen == [2, -(-3000 * 144 // 40_000)]
+    for p in (few, many):
+        assert p.where("prediction = y").count() == 3000
