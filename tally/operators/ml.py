@@ -267,20 +267,41 @@ def clf_grid(
     """Grid search with k-fold cross-validation on a decision tree (``min_samples_leaf`` ->
     ``minInstancesPerNode``); predictions of the best model on the test rows. Folds come from the hash of ``key``, so they do not
     depend on partitioning."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
     from pyspark.ml.classification import DecisionTreeClassifier
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    from pyspark.ml.tuning import ParamGridBuilder
 
     dt = DecisionTreeClassifier(impurity="gini", seed=seed)
     grid = ParamGridBuilder().addGrid(dt.maxDepth, list(depths)).addGrid(dt.minInstancesPerNode, list(min_leaf)).build()
-    cv = CrossValidator(
-        estimator=dt,
-        estimatorParamMaps=grid,
-        evaluator=MulticlassClassificationEvaluator(metricName="accuracy"),
-        numFolds=folds,
-        parallelism=parallelism,
-        seed=seed,
-        foldCol="_fold",
-    )
+    accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
     fold = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(folds)).cast("int")
-    return _fit_predict(cv, train.withColumn("_fold", fold), test, features, label)
+    # Spark's CrossValidator would send every row through a Python function and cache a copy of all rows for each fold;
+    # here all rows are cached once, and a fold is a filter on them
+    rows = _spread(train.select(*features, F.col(label).cast("double").alias("label"), fold.alias("_fold")), 8 * len(features) + 100)
+    rows = assemble(rows, features).select("features", "label", "_fold").persist()
+    try:
+        have = {r["_fold"] for r in rows.select("_fold").distinct().collect()}
+        missing = sorted(set(range(folds)) - have)
+        if missing:
+            raise ValueError(f"The validation data at fold {missing[0]} is empty.")
+
+        def score(task: tuple[int, int]) -> float:
+            k, at = task
+            model = dt.fit(rows.where(F.col("_fold") != k), grid[at])
+            return accuracy.evaluate(model.transform(rows.where(F.col("_fold") == k)))
+
+        tasks = [(k, at) for k in range(folds) for at in range(len(grid))]
+        pool = ThreadPool(processes=min(parallelism, len(tasks)))
+        try:
+            scores = pool.map(inheritable_thread_target(train.sparkSession)(score), tasks, chunksize=1)
+        finally:
+            pool.close()
+        means = [sum(x for (_, i), x in zip(tasks, scores) if i == at) / folds for at in range(len(grid))]
+        best = means.index(max(means))  # the first of equals
+        model = dt.fit(rows.drop("_fold"), grid[best])
+    finally:
+        rows.unpersist()
+    return model.transform(assemble(test, features).withColumn("label", F.col(label).cast("double")))

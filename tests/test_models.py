@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tally.operators import ml
@@ -88,3 +89,27 @@ def test_forest_spreads_rows_by_what_they_weigh_when_cached(spark, monkeypatch):
     assert seen == [2, -(-3000 * 144 // 40_000)]
     for p in (few, many):
         assert p.where("prediction = y").count() == 3000
+
+
+def test_grid_equals_the_cross_validator_without_python_rows(spark, monkeypatch):
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 2))
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0) ^ (rng.random(400) < 0.1)).astype(int)
+    df = spark.createDataFrame([(i, float(a), float(b), int(c)) for i, ((a, b), c) in enumerate(zip(x, y))], "k long, a double, b double, y int").coalesce(1)
+    tr, te = df.where("k < 300"), df.where("k >= 300")
+    dt = DecisionTreeClassifier(impurity="gini", seed=42)
+    grid = ParamGridBuilder().addGrid(dt.maxDepth, [1, 4]).addGrid(dt.minInstancesPerNode, [1, 5]).build()
+    cv = CrossValidator(estimator=dt, estimatorParamMaps=grid, evaluator=MulticlassClassificationEvaluator(metricName="accuracy"), numFolds=4, foldCol="_fold")
+    folded = tr.withColumn("_fold", F.pmod(F.xxhash64(F.lit(42), F.col("k")), F.lit(4)).cast("int"))
+    want = ml._fit_predict(cv, folded, te, ["a", "b"], "y").select("k", "prediction").collect()
+    plans, fit = [], DecisionTreeClassifier.fit
+    monkeypatch.setattr(DecisionTreeClassifier, "fit", lambda self, rows, *a: (plans.append(rows._jdf.queryExecution().toString()), fit(self, rows, *a))[1])
+    got = ml.clf_grid(tr, te, ["a", "b"], "y", "k", depths=(1, 4), min_leaf=(1, 5), folds=4).select("k", "prediction").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    assert len(plans) == 17 and not any("EvalPython" in p for p in plans)
+    with pytest.raises(ValueError, match="validation data"):
+        ml.clf_grid(tr.where("k < 2"), te, ["a", "b"], "y", "k", folds=4)
