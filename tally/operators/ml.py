@@ -105,23 +105,22 @@ def kmeans_segments(df: DataFrame, features: Sequence[str], k: int = 4, seed: in
 
 def kmeans_elbow(df: DataFrame, features: Sequence[str], ks: Sequence[int] = range(1, 15), seed: int = 42) -> DataFrame:
     """M5: within-cluster sum of squares per k. k = 1 is the total sum of squares (plain SQL);
-    the others are ``trainingCost`` of fitted models. The data is cached once for all fits, read from written files, whose
-    tasks are as many as the cores or the bytes ask for and not one per shuffle partition: each of some hundred jobs
-    sends the driver a result per task."""
+    the others are ``trainingCost`` of fitted models. The data is cached once for all fits. Each of some hundred
+    jobs sends the driver a result per task, so there are at most two tasks a core, or one for 200,000 rows, and not
+    one per shuffle partition."""
     from pyspark.ml.clustering import KMeans
 
-    from tally.session import cut_lineage
-
     spark = df.sparkSession
-    df = cut_lineage(df.select(*features))
-    data = assemble(df, features).select("features").cache()
+    cached = assemble(df, features).select("features").cache()
+    most = max(2 * spark.sparkContext.defaultParallelism, cached.count() // 200_000)
+    data = cached.coalesce(most) if cached.rdd.getNumPartitions() > most else cached
     rows = []
     for k in ks:
         if k == 1:
             continue
         model = KMeans(k=k, seed=seed, featuresCol="features").fit(data)
         rows.append((int(k), float(model.summary.trainingCost)))
-    data.unpersist()
+    cached.unpersist()
     out = spark.createDataFrame(rows, "k int, wcss double")
     if 1 in ks:
         total = total_ss(df, features)
