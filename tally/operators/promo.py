@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tally.functions import scalar as X
-from tally.session import cut_lineage
 
 # Fixed values that must equal the reference: the scope label written for brand promotions
 # restricted to a category (spelling as in the reference), and the lead feature names.
@@ -41,6 +40,7 @@ def promo_scope(promos: DataFrame) -> DataFrame:
     ``apply_on_custom`` is the category scope when a brand promotion names a category.
     ``promo_brand`` is the brand for every brand-scope promotion (the reference left it empty for
     a brand promotion without category, so its brand join found nothing: Q6, fixed here).
+    Rows are dealt out by scope and name, so that they stay where they are for all that is counted per name.
     """
     cat_set = F.coalesce(F.col("er_category_to_apply_on"), F.lit("")) != ""
     brand_scope = F.col("apply_on") == "Brand"
@@ -57,7 +57,7 @@ def promo_scope(promos: DataFrame) -> DataFrame:
         "valid_upto",
         "discount_percentage",
         "discount_amount",
-    ).distinct()
+    ).repartition(*GROUP, "name").distinct()
 
 
 def promo_months(
@@ -79,27 +79,26 @@ def promo_months(
     cal_lo, cal_hi = F.trunc(calendar_start, "MM"), F.trunc(calendar_end, "MM")
     lo = F.greatest(X.month_start_quirk("valid_from"), cal_lo)
     hi = F.least(F.trunc("valid_upto", "MM"), cal_hi)
-    active = scoped.filter(F.col("valid_upto").isNotNull() & (lo <= hi)).withColumn(
-        "month", F.explode(F.sequence(lo, hi, F.expr("interval 1 month")))
-    )
+    # a condition inside the sequence, not a filter: a filter would move below the exchange of ``promo_scope`` and make another
+    # exchange of it, where now all readers of ``scoped`` share one
+    runs = F.when(F.col("valid_upto").isNotNull() & (lo <= hi), F.sequence(lo, hi, F.expr("interval 1 month")))
+    active = scoped.withColumn("month", F.explode_outer(runs)).filter(F.col("month").isNotNull())
     days = X.overlap_days("month", F.last_day("month"), "valid_from", "valid_upto")
-    # reduced to distinct (name, percentage) rows per month and scope, once; each distinct aggregate then reads these, so
-    # no row is copied per distinct column
-    schemes = cut_lineage(
-        active.groupBy("month", *GROUP, "name", "discount_percentage").agg(
-            F.sum("discount_amount").alias("_amount"),
-            F.count("discount_amount").alias("_amounts"),
-            F.max(days).alias("_max_days"),
-            F.count(F.lit(1)).alias("_active"),
-        )
+    # one row per month, scope and name, made where the promotions lie; a month's names are then counted without ``distinct``,
+    # so only sums per month and scope are shuffled
+    names = active.groupBy("month", *GROUP, "name").agg(
+        F.sum("discount_amount").alias("_amount"),
+        F.count("discount_amount").alias("_amounts"),
+        F.max(days).alias("_max_days"),
+        F.count(F.lit(1)).alias("_active"),
     )
-    per = schemes.groupBy("month", *GROUP).agg(
-        F.count_distinct("name").alias("schemes"),
+    per = names.groupBy("month", *GROUP).agg(
+        F.count("name").alias("schemes"),
         F.try_divide(F.sum("_amount"), F.sum("_amounts")).alias("avg_discount_amount"),
         F.max("_max_days").alias("_max_days"),
         F.sum("_active").alias("_active"),
     )
-    percent = schemes.groupBy("month", *GROUP).agg(F.expr("avg(distinct discount_percentage)").alias("avg_discount_percentage"))
+    percent = active.groupBy("month", *GROUP).agg(F.expr("avg(distinct discount_percentage)").alias("avg_discount_percentage"))
     percent = percent.select(F.col("month").alias("_g_month"), *[F.col(c).alias(f"_g_{c}") for c in GROUP], "avg_discount_percentage")
     same = [per[c].eqNullSafe(percent[f"_g_{c}"]) for c in ["month", *GROUP]]
     per = per.join(percent, same).drop("_g_month", *[f"_g_{c}" for c in GROUP])
@@ -148,10 +147,17 @@ def location_key(city: str = "city", global_id: str = "global_id", centre: str =
     return F.concat(F.col(city), F.lit("~"), F.col(global_id), F.lit("~"), F.col(centre))
 
 
+def level_key() -> Column:
+    """What a feature row is joined by at the level of its scope: brand, sub-category or item linkage."""
+    scope = F.col("apply_on")
+    return F.when(scope == "Brand", F.col("promo_brand")).when(scope == SUB_CATEGORY_SCOPE, F.col("promo_item_sub_category")).otherwise(F.col("item_linkage"))
+
+
 def promo_features(
     months: DataFrame,
     hierarchy: DataFrame,
     strict_keys: bool = False,
+    level: str | None = None,
 ) -> DataFrame:
     """B9 + W2: promotions moved to locations, regrouped, with leads 0-2 of five measures.
 
@@ -160,12 +166,17 @@ def promo_features(
     null (most brand promotions have no linkage, Q3): by default the window groups by the
     columns (nulls form a group); ``strict_keys=True`` reproduces the reference, where null-key
     rows keep their own value at lead 0 and get 0 at leads 1 and 2.
+
+    Rows are dealt out once, by (location, scope, ``level_key``): every key lies in one of these, so the groups, the leads
+    and a join by the three need no further shuffle. ``level`` names a column for that key, to join by.
     """
+    own = level or "_level"
     loc = months.join(hierarchy, months.promo_warehouse == hierarchy.higher_hier_warehouse, "left").withColumn(
         "location", location_key()
     ).filter(F.col("location").isNotNull())
+    loc = loc.withColumn(own, level_key()).repartition("location", "apply_on", own)
     keys = ["location", "promo_item_sub_category", "item_linkage", "promo_brand", "apply_on"]
-    g = loc.groupBy("location", "month", "promo_item_sub_category", "item_linkage", "promo_brand", "apply_on").agg(
+    g = loc.groupBy("location", "month", "promo_item_sub_category", "item_linkage", "promo_brand", "apply_on", own).agg(
         F.sum("schemes").alias("schemes"),
         F.avg("avg_discount_amount").alias("avg_discount_amount"),
         F.avg("avg_discount_percentage").alias("avg_discount_percentage"),
@@ -177,7 +188,7 @@ def promo_features(
     for k in keys:
         null_key = null_key | F.col(k).isNull()
     g = g.withColumn("key", F.when(~null_key, key))
-    w = Window.partitionBy(*keys).orderBy("month")
+    w = Window.partitionBy(*keys, own).orderBy("month")
     cols = {}
     for m in PROMO_MEASURES:
         for n in LEADS:
@@ -185,4 +196,5 @@ def promo_features(
             if strict_keys and n > 0:
                 v = F.when(null_key, F.lit(None)).otherwise(v)
             cols[f"{m}_lead_{n}"] = F.coalesce(v.cast("double"), F.lit(0.0))
-    return g.withColumns(cols)
+    out = g.withColumns(cols)
+    return out if level else out.drop(own)

@@ -47,19 +47,18 @@ def training_frame(t):
     # written, so its size is known: the few warehouses of many promotions are broadcast where that is small, not shuffled to
     # the few names they hang under
     hierarchy = cut_lineage(dims.warehouse_hierarchy(wh, prof, closure, **q_dims.NAME_FILTERS))
-    feats = promo.promo_features(q_promo.promo_months_frame(t), hierarchy)
+    feats = promo.promo_features(q_promo.promo_months_frame(t), hierarchy, level="_key")
 
     # the features are planned once: each row belongs to one level and is averaged under that level's key
-    scope = F.col("apply_on")
-    own_key = F.when(scope == "Brand", F.col("promo_brand")).when(scope == promo.SUB_CATEGORY_SCOPE, F.col("promo_item_sub_category")).when(scope == "Item Code", F.col("item_linkage"))
-    leads = feats.select("location", F.col("month").alias("month_start_date"), scope.alias("_scope"), own_key.alias("_key"), *LEAD_COLS)
-    # only features that some row of the panel can take go on: Spark broadcasts these keys or shuffles both by their size
+    leads = feats.select("location", F.col("month").alias("month_start_date"), F.col("apply_on").alias("_scope"), "_key", *LEAD_COLS)
+    # only features that some row of the panel can take go on. A level's key has its months in an array, as many as the
+    # calendar has, so that the features are joined and averaged where ``promo_features`` has put them
     levels = {"Brand": "brand", promo.SUB_CATEGORY_SCOPE: "item_sub_category", "Item Code": "item_linkage"}
     wanted = None
     for name, key in levels.items():
-        own = panel.select(F.lit(name).alias("_scope"), "location", F.col(key).alias("_key"), "month_start_date").distinct()
+        own = panel.groupBy(F.lit(name).alias("_scope"), "location", F.col(key).alias("_key")).agg(F.collect_set("month_start_date").alias("_months"))
         wanted = own if wanted is None else wanted.unionByName(own)
-    leads = leads.join(cut_lineage(wanted), ["_scope", "location", "_key", "month_start_date"], "left_semi")
+    leads = leads.join(cut_lineage(wanted), ["_scope", "location", "_key"]).filter(F.array_contains("_months", F.col("month_start_date")))
     means = cut_lineage(leads.groupBy("_scope", "location", "_key", "month_start_date").agg(*[F.avg(c).alias(c) for c in LEAD_COLS]))
 
     def level(name, key, suffix):
