@@ -52,9 +52,10 @@ def clean_tokens(text: str | Column, stop: tuple[str, ...] | None = None, min_le
 
 def tokens_long(df: DataFrame, doc_col: str, text_col: str, stop: tuple[str, ...] | None = None) -> DataFrame:
     """``(doc, token)`` rows of the cleaned texts; stop words are removed after the explode,
-    where ``isin`` is planned as a hash-set probe."""
-    letters = F.lower(F.regexp_replace(F.col(text_col), "[^a-zA-Z]", " "))
-    out = df.select(doc_col, F.explode(F.split(F.trim(letters), r"\s+")).alias("token")).filter(F.length("token") >= 1)
+    where ``isin`` is planned as a hash-set probe. A run of other signs becomes one blank, so words are split at a single
+    blank without a second pattern."""
+    letters = F.lower(F.regexp_replace(F.col(text_col), "[^a-zA-Z]+", " "))
+    out = df.select(doc_col, F.explode(F.split(letters, " ")).alias("token")).filter(F.length("token") >= 1)
     if stop:
         out = out.filter(~F.col("token").isin(list(stop)))
     return out
@@ -261,8 +262,10 @@ def bow_vectors(df: DataFrame, counts: DataFrame, terms: Sequence[str], doc_col:
     if not terms:
         raise ValueError("the vocabulary is empty")
     names = F.array(*[F.lit(w) for w in terms])
-    each = F.array_repeat(F.get(names, F.col("term_index")), F.col("tf").cast("int"))
-    per = counts.groupBy(F.col(doc_col).alias("_doc")).agg(F.flatten(F.collect_list(each)).alias("_terms"))
+    # numbers and counts are shuffled, not the repeated terms: those are written out once a document's list is complete
+    listed = counts.groupBy(F.col(doc_col).alias("_doc")).agg(F.collect_list(F.struct("term_index", F.col("tf").cast("int").alias("tf"))).alias("_counts"))
+    each = F.transform("_counts", lambda c: F.array_repeat(F.get(names, c["term_index"]), c["tf"]))
+    per = listed.select("_doc", F.flatten(each).alias("_terms"))
     j = df.join(per, F.col(doc_col) == F.col("_doc"), "left")
     ready = j.withColumn("_terms", F.coalesce("_terms", F.array().cast("array<string>"))).drop("_doc")
     model = CountVectorizerModel.from_vocabulary(list(terms), inputCol="_terms", outputCol=out)

@@ -91,6 +91,30 @@ def test_forest_spreads_rows_by_what_they_weigh_when_cached(spark, monkeypatch):
         assert p.where("prediction = y").count() == 3000
 
 
+def test_forest_on_vectors_deals_rows_evenly_and_takes_small_passes_where_rows_fit(spark, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassifier
+
+    rows = spark.range(0, 4000, 1, 1).select("id", (F.col("id") % 10).alias("x"), (F.col("id") % 10 > 4).cast("double").alias("label"))
+    rows = ml.assemble(rows, ["x"]).select("id", "features", "label")
+    seen, passes, fit = [], [], RandomForestClassifier.fit
+
+    def watched(self, data, *a):
+        seen.append(data.rdd.getNumPartitions())
+        passes.append(self.getMaxMemoryInMB())
+        return fit(self, data, *a)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", watched)
+    fits = ml.forest_on_vectors(rows, rows, num_trees=5)
+    few = ml.forest_on_vectors(rows.where("id < 300"), rows, num_trees=5)
+    monkeypatch.setattr(ml, "_storage_bytes", lambda spark: 4000 * 124 - 1)
+    monkeypatch.setattr(ml, "_TASK_BYTES", 20_000)
+    heavy = ml.forest_on_vectors(rows, rows, num_trees=5)
+    assert seen == [2 * spark.sparkContext.defaultParallelism, 1, -(-4000 * 124 // 20_000)]
+    assert passes == [4, 4, 256]
+    for p in (fits, few, heavy):
+        assert p.where("prediction = label").count() == 4000
+
+
 def test_grid_equals_the_cross_validator_without_python_rows(spark, monkeypatch):
     from pyspark.ml.classification import DecisionTreeClassifier
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator

@@ -97,6 +97,31 @@ def test_vectors_of_documents_without_terms(spark):
     assert got == {1: [2.0, 0, 0, 0, 1.0], 2: [0.0] * 5}
 
 
+def test_vectors_shuffle_numbers_and_counts_not_terms(spark):
+    rng = random.Random(8)
+    want = {d: [rng.choice([0, 0, 1, 3]) for _ in range(6)] for d in range(40)}
+    rows = [(d, i, n) for d, each in want.items() for i, n in enumerate(each) if n]
+    counts = spark.createDataFrame(rows, "doc_id int, term_index int, tf long").repartition(5)
+    out = tx.bow_vectors(spark.range(40).selectExpr("cast(id as int) as doc_id"), counts, list("abcdef"), "doc_id")
+    assert {r.doc_id: r.features.toArray().tolist() for r in out.collect()} == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    shuffled = [line for line in plan.splitlines() if "partial_collect_list" in line]
+    assert shuffled and not any("array_repeat" in line for line in shuffled)
+
+
+def test_words_of_odd_texts_by_one_pattern(spark):
+    import re
+
+    texts = ["", " ", "a", "  Two  words ", "it's a-b_c\td\r\ne", "\u212aelvin \u0130stanbul STRASSE \u00dfx", "caf\u00e9 na\u00efve", "\U0001f600x\U0001f600\U0001f600y",
+             "1234 !?", "\u00a0non\u2003breaking\u0085next", "ABC" * 2000 + " z", None]
+    df = spark.createDataFrame(list(enumerate(texts)) + [(3, "again")], "k int, t string")
+    out = tx.tokens_long(df, "k", "t", ("two", "again"))
+    got = sorted((r.k, r.token) for r in out.collect())
+    words = [(k, w.lower()) for k, t in enumerate(texts) for w in re.findall("[a-zA-Z]+", t or "")]
+    assert got == sorted((k, w) for k, w in words if w != "two")
+    assert "\\s+" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_nearest_centre_violations(spark):
     df = spark.createDataFrame([(0.0, 0), (1.0, 1), (0.9, 0)], "x double, cluster int")
     assert df.agg(ml.nearest_centre_violations(df, ["x"], [[0.0], [1.0]])).first().violations == 1
