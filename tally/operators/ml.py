@@ -3,10 +3,14 @@ estimators; preparation steps are plain column expressions."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tally.operators import trees
 
 
 def standard_scale(df: DataFrame, columns: Sequence[str], suffix: str = "_scaled", fit_on: DataFrame | None = None) -> DataFrame:
@@ -178,10 +182,23 @@ def bisecting_segments(df: DataFrame, features: Sequence[str], k: int = 4, seed:
 
 
 def _fit_predict(estimator, train: DataFrame, test: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    tr = assemble(train, features).withColumn("label", F.col(label).cast("double"))
-    te = assemble(test, features).withColumn("label", F.col(label).cast("double"))
-    model = estimator.fit(tr)
-    return model.transform(te)
+    return _predict(estimator.fit(assemble(train, features).withColumn("label", F.col(label).cast("double"))), test, features, label)
+
+
+def _predict(model, test: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    return model.transform(assemble(test, features).withColumn("label", F.col(label).cast("double")))
+
+
+#: training rows above which trees are grown by ``operators.trees``: from some hundred thousand rows on, Spark's passes over
+#: vectors and cached objects, one fit at a time, take several times as long
+_SPARK_ROWS = 500_000
+
+
+def _many(train: DataFrame, features: Sequence[str], n: int) -> bool:
+    """More rows than Spark's own fit is used for, and features that are plain numbers to it, none of them nominal or a vector."""
+    kinds = {f: train.schema[f] for f in features}
+    plain = all(isinstance(k.dataType, (T.NumericType, T.BooleanType)) and "ml_attr" not in k.metadata for k in kinds.values())
+    return n > _SPARK_ROWS and plain
 
 
 #: bytes of cached training rows that one task should read at most
@@ -199,6 +216,13 @@ def clf_tree(train: DataFrame, test: DataFrame, features: Sequence[str], label:
     """M7: decision tree, gini impurity."""
     from pyspark.ml.classification import DecisionTreeClassifier
 
+    if _many(train, features, train.count()):
+        data, tree = trees.bin_rows(train, features, label, seed=seed), trees.Tree()
+        try:
+            trees.grow(data, [tree], max_depth, seed=seed)
+        finally:
+            data.blocks.unpersist()
+        return _predict(trees.tree_model(train.sparkSession, tree, data, max_depth), test, features, label)
     est = DecisionTreeClassifier(maxDepth=max_depth, impurity="gini", seed=seed)
     return _fit_predict(est, train, test, features, label)
 
@@ -210,6 +234,13 @@ def clf_forest(
     from pyspark.ml.classification import RandomForestClassifier
 
     est = RandomForestClassifier(numTrees=num_trees, impurity=impurity, seed=seed)
+    if _many(train, features, train.count()):
+        data, grown, depth = trees.bin_rows(train, features, label, seed=seed), [trees.Tree(draw=i) for i in range(num_trees)], est.getMaxDepth()
+        try:
+            trees.grow(data, grown, depth, impurity, math.ceil(math.sqrt(len(features))) if num_trees > 1 else None, seed)
+        finally:
+            data.blocks.unpersist()
+        return _predict(trees.forest_model(train.sparkSession, grown, data, depth, impurity), test, features, label)
     # Spark caches a row as its binned features and its count in each tree
     train = _spread(train.select(*features, label), 4 * (num_trees + len(features)) + 100)
     return _fit_predict(est, train, test, features, label)
@@ -301,6 +332,8 @@ def clf_grid(
     grid = ParamGridBuilder().addGrid(dt.maxDepth, list(depths)).addGrid(dt.minInstancesPerNode, list(min_leaf)).build()
     accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
     fold = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(folds)).cast("int")
+    if _many(train, features, train.count()):
+        return _predict(_grown_grid(train, features, label, fold, depths, min_leaf, folds, seed), test, features, label)
     # Spark's CrossValidator would send every row through a Python function and cache a copy of all rows for each fold;
     # here all rows are cached once, and a fold is a filter on them
     rows = _spread(train.select(*features, F.col(label).cast("double").alias("label"), fold.alias("_fold")), 8 * len(features) + 100)
@@ -327,4 +360,20 @@ def clf_grid(
         model = dt.fit(rows.drop("_fold"), grid[best])
     finally:
         rows.unpersist()
-    return model.transform(assemble(test, features).withColumn("label", F.col(label).cast("double")))
+    return _predict(model, test, features, label)
+
+
+def _grown_grid(train: DataFrame, features: Sequence[str], label: str, fold: Column, depths: Sequence[int], min_leaf: Sequence[int], folds: int, seed: int):
+    """M10 on many rows: the trees of all folds and of the last fit grow together, each once to the largest depth. A tree of less
+    depth is the same tree cut off there, since its splits do not depend on how far it may grow."""
+    data = trees.bin_rows(train, features, label, fold, folds, seed)
+    try:
+        grown = {(k, m): trees.Tree(without=k, min_leaf=m) for k in (*range(folds), -1) for m in min_leaf}
+        trees.grow(data, [*grown.values()], max(depths), seed=seed)
+        grid = [(d, m) for d in depths for m in min_leaf]
+        scores = trees.accuracies(data, [(grown[k, m], d) for k in range(folds) for d, m in grid])
+    finally:
+        data.blocks.unpersist()
+    means = [sum(scores[at :: len(grid)]) / folds for at in range(len(grid))]
+    depth, least = grid[means.index(max(means))]  # the first of equals
+    return trees.tree_model(train.sparkSession, grown[-1, least], data, depth)
