@@ -319,6 +319,8 @@ def _choose(batches: Iterator[pa.RecordBatch], items: list[_Item], widths: list[
 def grow(data: Binned, trees: list[Tree], max_depth: int, impurity: str = "gini", subset: int | None = None, seed: int = 42) -> None:
     """Grow all ``trees``, one level of all of them at a time. ``subset``: how many features a node may choose from, drawn anew for
     each node. Trees that differ in their least leaf alone share their counts until they part."""
+    if impurity not in ("gini", "entropy"):
+        raise ValueError(f"impurity is {impurity}, not gini or entropy")
     widths, spark = [len(e) + 1 for e in data.edges], data.blocks.sparkSession
     draws = {t.draw: np.random.default_rng([seed, t.draw]) for t in trees if t.draw >= 0}
     row_bytes = 8 * int(_layout(widths, data.classes, subset)[-1])
@@ -348,7 +350,8 @@ def grow(data: Binned, trees: list[Tree], max_depth: int, impurity: str = "gini"
             per_pass[-1].append(entry)
             held += size
         for entries in per_pass:
-            for r in _pass(spark, data, [e[0] for e in entries], widths, impurity, row_bytes, seed):
+            # in one order, since the numbers of new nodes and later draws of features follow it
+            for r in sorted(_pass(spark, data, [e[0] for e in entries], widths, impurity, row_bytes, seed), key=lambda r: (r["item"], r["node"], r["variant"])):
                 item, group = entries[r["item"]]
                 for t in group:
                     if t.min_leaf == item.least[r["variant"]]:
